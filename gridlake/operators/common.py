@@ -16,3 +16,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def project_once(df: DataFrame, *cols) -> DataFrame:
+    """Append ``cols`` to ``df``, each evaluated exactly once per row.
+
+    Catalyst pushes a filter through a projection by inlining the projected
+    expressions into the predicate, so a filter on a costly derived column
+    (a parsed payload, a detected source) would evaluate it twice, or many
+    times when the column feeds other derived columns.  Emitting the columns
+    from a generator (``inline`` of a one-element array) stops that: predicates
+    on generator output stay above it, and projections are not merged across it.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*cols))))

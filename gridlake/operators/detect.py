@@ -26,7 +26,8 @@ from ..catalog import SIGNATURE_THRESHOLD_PERCENT
 from ..functions.keys import count_present, has_key, payload_keys
 from ..functions.variant import as_object, string_if_string
 from ..sources.registry import CompiledMapping, active
-from .common import broadcast_if_small
+from ..functions.memo import memo
+from .common import broadcast_if_small, project_once
 from .intake import vget
 
 
@@ -44,50 +45,50 @@ def with_keys(df: DataFrame, v: str = "v") -> DataFrame:
     return df.withColumn("keys", payload_keys(as_object(F.col(v))))
 
 
-def signature_scores(mappings: list[CompiledMapping]) -> dict[str, tuple[Column, Column]]:
-    """source_id -> (score, all-required-present) over column ``keys``."""
-    keys = F.col("keys")
-    out = {}
-    for m in mappings:
-        score = count_present(keys, [r.source_field for r in m.rules])
-        req = F.lit(True)
-        for f in m.required_fields:
-            req = req & has_key(keys, f)
-        out[m.source_id] = (score, req)
-    return out
-
-
 def detect(df: DataFrame, mappings: list[CompiledMapping], *, v: str = "v",
            default_source: str | None = None, use_signature: bool = True,
            out: str = "source_id") -> DataFrame:
     """Add the detected source id as ``out`` (NULL = unknown data source)."""
     mappings = sorted(mappings, key=lambda m: m.source_id)
+    stages = memo(("detect", repr(mappings), v, default_source, use_signature),
+                  lambda: _detect_stages(mappings, v, default_source, use_signature))
+    staged = df
+    for cols in stages[:-1]:
+        staged = staged.select("*", *cols)
+    result = project_once(staged, stages[-1][0].alias(out))
+    return result.drop(*[c for c in result.columns if c.startswith("_dt_")])
+
+
+def _detect_stages(mappings: list[CompiledMapping], v: str, default_source: str | None,
+                   use_signature: bool) -> list[list[Column]]:
+    """Column lists of the detection projections (hint; keys; scores; pick)."""
     ids = [m.source_id for m in mappings]
-    staged = df.withColumn("_hint", hint(F.col(v), ids))
-    parts = [F.col("_hint")]
+    stages = [[hint(F.col(v), ids).alias("_dt_hint")]]
+    parts = [F.col("_dt_hint")]
     if use_signature and mappings:
-        staged = with_keys(staged, v)
-        scores = signature_scores(mappings)
+        stages.append([payload_keys(as_object(F.col(v))).alias("_dt_keys")])
+        keys = F.col("_dt_keys")
         score_cols = []
         for i, m in enumerate(mappings):
-            score, req = scores[m.source_id]
-            staged = staged.withColumn(f"_s{i}", F.when(F.col("_hint").isNull(), score)) \
-                           .withColumn(f"_r{i}", F.when(F.col("_hint").isNull(), req))
-            score_cols.append(i)
+            score = count_present(keys, [r.source_field for r in m.rules])
+            req = F.lit(True)
+            for f in m.required_fields:
+                req = req & has_key(keys, f)
+            unhinted = F.col("_dt_hint").isNull()
+            score_cols += [F.when(unhinted, score).alias(f"_dt_s{i}"),
+                           F.when(unhinted, req).alias(f"_dt_r{i}")]
+        stages.append(score_cols)
         cands = []
         for i, m in enumerate(mappings):
-            s, r = F.col(f"_s{i}"), F.col(f"_r{i}")
+            s, r = F.col(f"_dt_s{i}"), F.col(f"_dt_r{i}")
             ok = r & (s >= F.lit(m.threshold)) & (s > 0)
             cands.append(F.when(ok, F.struct(s.alias("score"), F.lit(-i).alias("rank"),
                                              F.lit(m.source_id).alias("sid"))))
         parts.append(F.array_max(F.array(*cands)).getField("sid"))
-        drop = ["keys"] + [f"_s{i}" for i in score_cols] + [f"_r{i}" for i in score_cols]
-    else:
-        drop = []
     if default_source is not None and default_source in ids:
         parts.append(F.lit(default_source))
-    result = staged.withColumn(out, F.coalesce(*parts) if len(parts) > 1 else parts[0])
-    return result.drop("_hint", *drop)
+    stages.append([F.coalesce(*parts) if len(parts) > 1 else parts[0]])
+    return stages
 
 
 # --------------------------------------------------------------- join plan

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import ERR_DUPLICATE, ERR_INVALID_JSON
 from ..functions.variant import as_object, string_if_string
+from .common import project_once
 
 
 def path(*keys: str) -> str:
@@ -42,16 +43,18 @@ def parse(raw: DataFrame) -> DataFrame:
 
     ``v`` is the parsed payload (NULL for text that is not JSON); ``is_object``
     is true only for a JSON object (arrays, scalars and ``null`` are not).
+    The text is parsed once; both derived columns come from a generator so a
+    later ``where(is_object)`` cannot re-inline the parse into the predicate.
     """
-    v = F.try_parse_json(F.col("payload"))
-    staged = raw.select("raw_id", "payload", "received_at",
-                        *([F.col("request_id").alias("_rid")] if "request_id" in raw.columns else []),
-                        v.alias("v"))
-    staged = staged.withColumn("is_object", as_object(F.col("v")).isNotNull())
-    rid = (F.coalesce(F.col("_rid"), request_id_of(F.col("v"), F.col("raw_id")))
-           if "_rid" in staged.columns else request_id_of(F.col("v"), F.col("raw_id")))
-    staged = staged.withColumn("request_id", F.when(F.col("is_object"), rid)
-                               .otherwise(F.col("raw_id")))
+    rid_in = [F.col("request_id").alias("_rid")] if "request_id" in raw.columns else []
+    staged = project_once(raw.select("raw_id", "payload", "received_at", *rid_in),
+                          F.try_parse_json(F.col("payload")).alias("v"))
+    obj = as_object(F.col("v")).isNotNull()
+    rid = request_id_of(F.col("v"), F.col("raw_id"))
+    if rid_in:
+        rid = F.coalesce(F.col("_rid"), rid)
+    staged = project_once(staged, obj.alias("is_object"),
+                          F.when(obj, rid).otherwise(F.col("raw_id")).alias("request_id"))
     return staged.select("raw_id", "request_id", "payload", "received_at", "v", "is_object")
 
 

@@ -25,6 +25,7 @@ from ..catalog import (DETAIL_COLUMNS, ERR_REQUIRED, ERR_UNKNOWN_SOURCE,
 from ..functions.transform import apply_transform
 from ..functions.variant import number_value, to_bool, to_string
 from ..sources.registry import CompiledMapping, Rule
+from ..functions.memo import memo
 from .intake import vget
 
 NATIVE = {"string": "string", "int": "double", "float": "double", "bool": "boolean"}
@@ -192,9 +193,16 @@ def map_canonical(df: DataFrame, mappings: list[CompiledMapping], *, v: str = "v
        pushed below it and projections cannot be merged across it, so Catalyst
        never re-inlines the raw values into later filters or columns.
     """
+    raw_cols, generator = memo(("map_canonical", repr(mappings), v, source, int_mode),
+                               lambda: _canonical_exprs(mappings, v, source, int_mode))
+    keep = [c for c in df.columns if c not in DETAIL_COLUMNS and c != "error"]
+    return df.select("*", *raw_cols).select(*keep, generator)
+
+
+def _canonical_exprs(mappings: list[CompiledMapping], v: str, source: str, int_mode: str):
     src = F.col(source)
-    staged = df.select("*", *[F.when(src == F.lit(m.source_id), _raw_struct(F.col(v), m)).alias(f"_x{i}")
-                              for i, m in enumerate(mappings)])
+    raw_cols = [F.when(src == F.lit(m.source_id), _raw_struct(F.col(v), m)).alias(f"_x{i}")
+                for i, m in enumerate(mappings)]
     per_source = [(i, _canonical_values(F.col(f"_x{i}"), m, int_mode)) for i, m in enumerate(mappings)]
     fields = []
     for name in DETAIL_COLUMNS:
@@ -208,8 +216,7 @@ def map_canonical(df: DataFrame, mappings: list[CompiledMapping], *, v: str = "v
     for i, vals in per_source:
         error = error.when(F.col(f"_x{i}").isNotNull(), vals["_error"])
     fields.append(error.cast("string").alias("error"))
-    keep = [c for c in df.columns if c not in DETAIL_COLUMNS and c != "error"]
-    return staged.select(*keep, F.inline(F.array(F.struct(*fields))))
+    return raw_cols, F.inline(F.array(F.struct(*fields)))
 
 
 FILL = {"string": "", "double": 0.0, "bigint": 0}

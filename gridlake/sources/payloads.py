@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.memo import memo
 from ..session import prepare
 
 RESEND_MOD, RESEND_REM = 50, 7
@@ -114,7 +115,7 @@ def payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         F.concat(F.lit("raw-"), _s(F.col("event_id")), F.lit("-"), _s(F.col("copy"))).alias("raw_id"),
         "event_id", "kind", "copy",
-        payload_text().alias("payload"),
+        memo("payload_text", payload_text).alias("payload"),
         (F.col("ts").cast("timestamp")
          + F.make_dt_interval(mins=F.col("copy") + 1)).alias("received_at"),
     )

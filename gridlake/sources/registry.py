@@ -50,8 +50,10 @@ def mapping_row(spec: dict, version: int = 1, active: bool = True,
 
 def registry_frame(spark: SparkSession, specs: list[dict], version: int = 1,
                    at: datetime = EPOCH) -> DataFrame:
-    return spark.createDataFrame([mapping_row(s, version, True, at) for s in specs],
-                                 REGISTRY_SCHEMA)
+    df = spark.createDataFrame([mapping_row(s, version, True, at) for s in specs],
+                               REGISTRY_SCHEMA)
+    df._gridlake_specs = list(specs)   # the rows' source: lets the compiler skip a job
+    return df
 
 
 def empty_registry(spark: SparkSession) -> DataFrame:
@@ -307,7 +309,18 @@ def compile_rows(rows) -> list[CompiledMapping]:
 
 
 def compile_registry(registry: DataFrame) -> list[CompiledMapping]:
-    """Pull the active registry to the driver, after checking its size."""
+    """Pull the active registry to the driver, after checking its size.
+
+    A registry frame built from Python specs carries its specs in
+    ``_gridlake_specs``; those compile without a Spark job.
+    """
+    specs = getattr(registry, "_gridlake_specs", None)
+    if specs is not None:
+        return compile_specs(specs)
+    return _compile_registry(registry)
+
+
+def _compile_registry(registry: DataFrame) -> list[CompiledMapping]:
     cur = active(registry).select("source_id", "nested_path", "mappings")
     probe = cur.select(F.count("*").alias("n"), F.sum(F.size("mappings")).alias("r")).first()
     n, r = int(probe["n"] or 0), int(probe["r"] or 0)
