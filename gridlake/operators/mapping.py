@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..catalog import (DETAIL_COLUMNS, ERR_REQUIRED, ERR_UNKNOWN_SOURCE,
+from ..catalog import (DETAIL_COLUMNS, ERR_INVALID_JSON, ERR_REQUIRED, ERR_UNKNOWN_SOURCE,
                        STANDARD_ALIASES, canonical_type)
 from ..functions.transform import apply_transform
 from ..functions.variant import number_value, to_bool, to_string
@@ -181,7 +181,8 @@ def _canonical_values(raw: Column, mapping: CompiledMapping, int_mode: str) -> d
 
 
 def map_canonical(df: DataFrame, mappings: list[CompiledMapping], *, v: str = "v",
-                  source: str = "source_id", int_mode: str = "keep") -> DataFrame:
+                  source: str = "source_id", int_mode: str = "keep",
+                  valid: str | None = None) -> DataFrame:
     """Add the canonical detail columns (unfilled) and ``error`` to ``df``.
 
     Two steps keep every variant lookup single and the plan small:
@@ -193,13 +194,14 @@ def map_canonical(df: DataFrame, mappings: list[CompiledMapping], *, v: str = "v
        pushed below it and projections cannot be merged across it, so Catalyst
        never re-inlines the raw values into later filters or columns.
     """
-    raw_cols, generator = memo(("map_canonical", repr(mappings), v, source, int_mode),
-                               lambda: _canonical_exprs(mappings, v, source, int_mode))
+    raw_cols, generator = memo(("map_canonical", repr(mappings), v, source, int_mode, valid),
+                               lambda: _canonical_exprs(mappings, v, source, int_mode, valid))
     keep = [c for c in df.columns if c not in DETAIL_COLUMNS and c != "error"]
     return df.select("*", *raw_cols).select(*keep, generator)
 
 
-def _canonical_exprs(mappings: list[CompiledMapping], v: str, source: str, int_mode: str):
+def _canonical_exprs(mappings: list[CompiledMapping], v: str, source: str, int_mode: str,
+                     valid: str | None):
     src = F.col(source)
     raw_cols = [F.when(src == F.lit(m.source_id), _raw_struct(F.col(v), m)).alias(f"_x{i}")
                 for i, m in enumerate(mappings)]
@@ -213,6 +215,8 @@ def _canonical_exprs(mappings: list[CompiledMapping], v: str, source: str, int_m
                 expr = F.when(cond, vals[name]) if expr is None else expr.when(cond, vals[name])
         fields.append((expr if expr is not None else F.lit(None)).cast(canonical_type(name)).alias(name))
     error = F.when(src.isNull(), F.lit(ERR_UNKNOWN_SOURCE))
+    if valid is not None:
+        error = F.when(~F.col(valid), F.lit(ERR_INVALID_JSON)).when(src.isNull(), F.lit(ERR_UNKNOWN_SOURCE))
     for i, vals in per_source:
         error = error.when(F.col(f"_x{i}").isNotNull(), vals["_error"])
     fields.append(error.cast("string").alias("error"))

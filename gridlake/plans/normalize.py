@@ -1,10 +1,11 @@
 """Payload -> canonical readings plan (L1: S1, P1-P4, P17, P19-P20, J2-J5, W8).
 
-One logical plan per batch::
+One logical plan per batch, one scan and one parse of the input::
 
-    raw text -> try_parse_json (once) -> split objects / invalid
+    raw text -> try_parse_json (once) -> is_object, request_id
              -> first row per request_id (partial WindowGroupLimit, one shuffle)
-             -> detect source + mapped columns + error (one projection)
+             -> detect source -> mapped columns + error ("invalid JSON",
+                "unknown data source", "required field missing: <f>")
              -> readings (error IS NULL) / rejects (error IS NOT NULL)
 
 Rows in = readings + rejects + duplicates.
@@ -22,7 +23,7 @@ from ..catalog import DETAIL_COLUMNS, READING_COLUMNS, REJECTS_COLUMNS
 from ..functions.timefn import event_time
 from ..functions.variant import string_if_string, to_string
 from ..operators.detect import detect
-from ..operators.intake import (duplicates, first_per_request, invalid_rejects, parse, vget)
+from ..operators.intake import duplicates, first_per_request, parse, vget
 from ..operators.mapping import fill_canonical, map_canonical
 from ..sources.registry import CompiledMapping, compile_registry
 
@@ -46,27 +47,44 @@ class Normalized:
     def objects(self) -> DataFrame:
         return self.parsed.where(F.col("is_object"))
 
+    @cached_property
+    def firsts_all(self) -> DataFrame:
+        """First row per request id, JSON objects and invalid text alike.
+
+        Invalid text carries its raw id as request id, so it is never merged;
+        it flows through the same plan and leaves as a reject, which keeps the
+        whole run to one scan and one parse of the input.
+        """
+        return first_per_request(self.parsed)
+
     @cached_property
     def firsts(self) -> DataFrame:
-        return first_per_request(self.objects)
+        """Deduplicated JSON objects."""
+        return self.firsts_all.where(F.col("is_object"))
 
     @cached_property
-    def detected(self) -> DataFrame:
-        return detect(self.firsts, self.mappings, default_source=self.default_source,
+    def detected_all(self) -> DataFrame:
+        return detect(self.firsts_all, self.mappings, default_source=self.default_source,
                       use_signature=self.use_signature)
 
+    @cached_property
+    def detected(self) -> DataFrame:
+        """Deduplicated objects with their detected ``source_id`` (NULL = unknown)."""
+        return self.detected_all.where(F.col("is_object"))
+
     @cached_property
     def mapped(self) -> DataFrame:
-        """Deduped objects with source_id, error and unfilled canonical columns."""
+        """Every first row with source_id, error and unfilled canonical columns."""
         v, src = F.col("v"), F.col("source_id")
-        base = self.detected.select(
-            "raw_id", "request_id", "payload", "received_at", "source_id", "v",
+        base = self.detected_all.select(
+            "raw_id", "request_id", "payload", "received_at", "source_id", "v", "is_object",
             src.alias("device_type"),
             meta_string(v, "device_name", "unknown").alias("device_name"),
             meta_string(v, "device_id", "unknown").alias("device_id"),
             meta_string(v, "signal_strength", "").alias("signal_strength"),
             event_time(string_if_string(vget(v, "device_timestamp")), F.col("received_at")).alias("ts"))
-        return map_canonical(base, self.mappings, int_mode=self.int_mode).drop("v")
+        return map_canonical(base, self.mappings, int_mode=self.int_mode,
+                             valid="is_object").drop("v", "is_object")
 
     @cached_property
     def readings(self) -> DataFrame:
@@ -76,18 +94,14 @@ class Normalized:
         cols += [fill_canonical(c, F.col(c)).alias(c) for c in DETAIL_COLUMNS]
         return ok.select(*cols)
 
-    @cached_property
-    def mapping_rejects(self) -> DataFrame:
-        return self.mapped.where(F.col("error").isNotNull()).select(*REJECTS_COLUMNS)
-
     @cached_property
     def rejects(self) -> DataFrame:
         """Invalid JSON, unknown source and missing required fields."""
-        return invalid_rejects(self.parsed).unionByName(self.mapping_rejects)
+        return self.mapped.where(F.col("error").isNotNull()).select(*REJECTS_COLUMNS)
 
     @cached_property
     def duplicates(self) -> DataFrame:
-        return duplicates(self.objects, self.firsts)
+        return duplicates(self.parsed, self.firsts_all)
 
     @cached_property
     def outcomes(self) -> DataFrame:
@@ -98,15 +112,13 @@ class Normalized:
         alarms = [F.coalesce(F.col(c), F.lit(0)) > 0
                   for c in ("alarm_1", "alarm_2", "alarm_3", "fault_code")]
         fault = alarms[0] | alarms[1] | alarms[2] | alarms[3]
-        ok = (self.mapped.select(
-                "raw_id", "request_id", "received_at", "error",
-                F.when(F.col("error").isNull(), F.lit("reading")).otherwise(F.lit("reject")).alias("outcome"),
-                (F.col("error").isNull() & fault).alias("fault")))
-        bad = (invalid_rejects(self.parsed).select("raw_id", "request_id", "received_at", "error")
-               .withColumn("outcome", F.lit("reject")).withColumn("fault", F.lit(False)))
+        done = self.mapped.select(
+            "raw_id", "request_id", "received_at", "error",
+            F.when(F.col("error").isNull(), F.lit("reading")).otherwise(F.lit("reject")).alias("outcome"),
+            (F.col("error").isNull() & fault).alias("fault"))
         dup = (self.duplicates.select("raw_id", "request_id", "received_at", "error")
                .withColumn("outcome", F.lit("duplicate")).withColumn("fault", F.lit(False)))
-        return ok.unionByName(bad).unionByName(dup)
+        return done.unionByName(dup)
 
 
 def normalize(raw: DataFrame, registry: DataFrame | None = None, *,

@@ -216,10 +216,7 @@ def q_event_time(spark, sf):
 
 
 def q_request_ids(spark, sf):
-    n = ingest(spark, sf)
-    objs = n.firsts.select("request_id", "raw_id")
-    bad = n.parsed.where(~F.col("is_object")).select("request_id", "raw_id")
-    return objs.unionByName(bad)
+    return ingest(spark, sf).firsts_all.select("request_id", "raw_id")
 
 
 def q_expected_format(spark, sf):
