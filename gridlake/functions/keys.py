@@ -8,17 +8,22 @@ from pyspark.sql import functions as F
 from ..catalog import SHORT_KEYS
 
 
-def payload_keys(root: Column) -> Column:
-    """Top-level keys plus the keys of every object-valued entry (one level), sorted.
+def key_set(root: Column) -> Column:
+    """Top-level keys plus the keys of every object-valued entry (one level).
 
-    ``root`` is the payload as ``map<string,variant>``.  Duplicates are kept, as
-    the key list is a multiset of root and nested keys.
+    ``root`` is the payload as ``map<string,variant>``.  Unordered: membership
+    tests (``array_contains``) need no sort.
     """
     nested = F.flatten(F.transform(
         F.map_values(root),
         lambda v: F.coalesce(F.map_keys(v.try_cast("map<string,variant>")),
                              F.array().cast("array<string>"))))
-    return F.array_sort(F.concat(F.map_keys(root), nested))
+    return F.concat(F.map_keys(root), nested)
+
+
+def payload_keys(root: Column) -> Column:
+    """The key set sorted, as the key-extraction operator returns it."""
+    return F.array_sort(key_set(root))
 
 
 def has_key(keys: Column, key: str) -> Column:

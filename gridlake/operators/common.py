@@ -29,3 +29,18 @@ def project_once(df: DataFrame, *cols) -> DataFrame:
     on generator output stay above it, and projections are not merged across it.
     """
     return df.select("*", F.inline(F.array(F.struct(*cols))))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a scan at least as many partitions as the application has cores.
+
+    A large input arrives as many file splits and is returned unchanged (no
+    shuffle).  A small input stored as one file or row group would otherwise
+    run every per-row step before the first shuffle in a single task; it is
+    spread round-robin instead.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

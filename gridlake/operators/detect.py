@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..catalog import SIGNATURE_THRESHOLD_PERCENT
-from ..functions.keys import count_present, has_key, payload_keys
+from ..functions.keys import count_present, has_key, key_set, payload_keys
 from ..functions.variant import as_object, string_if_string
 from ..sources.registry import CompiledMapping, active
 from ..functions.memo import memo
@@ -66,7 +66,7 @@ def _detect_stages(mappings: list[CompiledMapping], v: str, default_source: str
     stages = [[hint(F.col(v), ids).alias("_dt_hint")]]
     parts = [F.col("_dt_hint")]
     if use_signature and mappings:
-        stages.append([payload_keys(as_object(F.col(v))).alias("_dt_keys")])
+        stages.append([key_set(as_object(F.col(v))).alias("_dt_keys")])
         keys = F.col("_dt_keys")
         score_cols = []
         for i, m in enumerate(mappings):

@@ -17,6 +17,9 @@ SESSION_CONF = {
 }
 
 
+JIT_FLAGS = "-XX:-DontCompileHugeMethods"
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "gridlake", extra: dict | None = None) -> SparkSession:
     """Local session for tests and the bench (a cluster supplies its own)."""
@@ -24,7 +27,11 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "8g"))
+               .config("spark.driver.memory", "8g")
+               # generated code for wide mapping projections exceeds the JIT's
+               # 8000-byte method limit; let HotSpot compile it anyway
+               .config("spark.driver.extraJavaOptions", JIT_FLAGS)
+               .config("spark.executor.extraJavaOptions", JIT_FLAGS))
     for k, v in {**SESSION_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

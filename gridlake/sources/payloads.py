@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.memo import memo
+from ..operators.common import spread
 from ..session import prepare
 
 RESEND_MOD, RESEND_REM = 50, 7
@@ -108,7 +109,7 @@ def payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``received_at = ts + (copy + 1) minutes``; resends are the ``copy = 1`` rows.
     """
     prepare(spark)
-    ev = event_columns(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    ev = event_columns(spread(spark.read.parquet(f"{sf_dir}/events.parquet")))
     copies = F.when((F.col("event_id") % RESEND_MOD) == RESEND_REM, F.array(F.lit(0), F.lit(1))) \
               .otherwise(F.array(F.lit(0)))
     rows = ev.withColumn("copy", F.explode(copies))
