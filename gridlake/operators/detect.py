@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..catalog import SIGNATURE_THRESHOLD_PERCENT
-from ..functions.keys import count_present, has_key, key_set, payload_keys
+from ..functions.keys import count_present, has_key, key_set
 from ..functions.variant import as_object, string_if_string
 from ..sources.registry import CompiledMapping, active
 from ..functions.memo import memo
@@ -41,8 +41,8 @@ def hint(v: Column, active_ids: list[str]) -> Column:
 
 
 def with_keys(df: DataFrame, v: str = "v") -> DataFrame:
-    """Add ``keys``: the payload's root and one-level nested keys, sorted."""
-    return df.withColumn("keys", payload_keys(as_object(F.col(v))))
+    """Add ``keys``: the payload's root and one-level nested keys (P13, unordered)."""
+    return df.withColumn("keys", key_set(as_object(F.col(v))))
 
 
 def detect(df: DataFrame, mappings: list[CompiledMapping], *, v: str = "v",

@@ -14,7 +14,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..catalog import ERR_INVALID_JSON, RATE_INTERVAL_SECONDS, RETRY_BATCH, STORE_TYPE
+from ..catalog import RATE_INTERVAL_SECONDS, RETRY_BATCH, STORE_TYPE
 from .intake import request_id_of
 from ..functions.variant import as_object
 
@@ -219,6 +219,3 @@ def reconcile(outcomes: DataFrame, readings: DataFrame) -> DataFrame:
         (F.count_if(i) - F.count_if(s)).alias("discrepancy"),
         F.count_if(i & ~s).alias("missing"))
 
-
-def invalid_json_message() -> str:
-    return ERR_INVALID_JSON

@@ -121,6 +121,27 @@ class Normalized:
         return done.unionByName(dup)
 
 
+    def persist(self) -> "Normalized":
+        """Cache the mapped rows and duplicates for a run written to several sinks.
+
+        Readings, rejects, status entries and counters then read the cached
+        rows instead of re-running parse, dedupe, detection and mapping once
+        per sink.  Lost cached blocks are recomputed from lineage.
+        """
+        from pyspark import StorageLevel
+        self.__dict__["mapped"] = self.mapped.persist(StorageLevel.MEMORY_AND_DISK)
+        self.__dict__["duplicates"] = self.duplicates.persist(StorageLevel.MEMORY_AND_DISK)
+        for name in ("readings", "rejects", "outcomes"):
+            self.__dict__.pop(name, None)
+        return self
+
+    def unpersist(self) -> None:
+        for name in ("mapped", "duplicates"):
+            df = self.__dict__.get(name)
+            if df is not None:
+                df.unpersist()
+
+
 def normalize(raw: DataFrame, registry: DataFrame | None = None, *,
               mappings: list[CompiledMapping] | None = None,
               default_source: str | None = None, int_mode: str = "keep",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..catalog import READING_COLUMNS, SAMPLE_MAPPING, SEED_MAPPINGS
 from ..functions.keys import payload_keys, rename_short_keys
 from ..functions.timefn import event_time
-from ..functions.transform import parse_transform, scale
+from ..functions.transform import scale
 from ..functions.variant import (as_object, convert, get_float, get_int, get_string,
                                  get_string_strict, string_if_string)
 from ..operators import expected as X
@@ -530,4 +530,3 @@ QUERIES = {
     "stream_ingest": q_stream_ingest,
 }
 
-_unused = (parse_transform, get_string_strict)

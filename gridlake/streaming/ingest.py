@@ -22,15 +22,17 @@ from pyspark.sql import functions as F
 from ..catalog import (BATCH_SIZE_BOUNDS, DEFAULT_FLUSH_INTERVAL_MS, FLUSH_INTERVAL_MS_BOUNDS,
                        RATE_INTERVAL_SECONDS)
 from ..operators import lifecycle as L
+from ..operators.intake import request_id_of
 from ..plans.normalize import normalize
 from ..session import prepare, scratch_path
+from ..sources.sinks import write_readings
 
 RAW_INPUT_SCHEMA = "raw_id string, payload string, received_at timestamp"
 
 
 @dataclass
 class StreamConfig:
-    sink: str                               # folder of readings/, rejects/, status/, batches/
+    sink: str                               # folder of raw/, readings/, rejects/, status/, ids/, batches/
     checkpoint: str
     flush_interval_ms: int = DEFAULT_FLUSH_INTERVAL_MS
     max_files_per_trigger: int | None = None
@@ -71,19 +73,22 @@ def make_batch_writer(cfg: StreamConfig, registry_loader: Callable[[SparkSession
         spark = batch.sparkSession
         prepare(spark)
         batch = batch.persist()
+        run = None
         try:
             first = batch.agg(F.min("received_at").alias("m")).first()["m"]
             if first is None:
                 return
-            raw = L.land(batch.withColumn("source_ip", F.lit("")))
+            landed = L.land(batch.withColumn("source_ip", F.lit("")))
+            suffix = f"batch_id={batch_id}"
+            L.write_raw(landed, f"{cfg.path('raw')}/{suffix}", mode="overwrite")   # S2/S3
+            raw = landed
             stored = _stored_ids(spark, cfg, first - cfg.dedupe_horizon)
             late_dups = None
             if stored is not None:
                 late_dups = raw.join(stored, "request_id", "left_semi")
                 raw = raw.join(stored, "request_id", "left_anti")
-            run = normalize(raw, registry_loader(spark), default_source=cfg.default_source)
-            suffix = f"batch_id={batch_id}"
-            run.readings.write.mode("overwrite").parquet(f"{cfg.path('readings')}/{suffix}")
+            run = normalize(raw, registry_loader(spark), default_source=cfg.default_source).persist()
+            write_readings(run.readings, f"{cfg.path('readings')}/{suffix}", mode="overwrite")
             run.rejects.write.mode("overwrite").parquet(f"{cfg.path('rejects')}/{suffix}")
             outcomes = run.outcomes
             if late_dups is not None:
@@ -91,8 +96,7 @@ def make_batch_writer(cfg: StreamConfig, registry_loader: Callable[[SparkSession
                     "raw_id", "request_id", "received_at",
                     F.lit("duplicate request_id").alias("error"),
                     F.lit("duplicate").alias("outcome"), F.lit(False).alias("fault")))
-            status = L.landing_status(L.land(batch.withColumn("source_ip", F.lit("")))) \
-                      .unionByName(L.outcome_status(outcomes))
+            status = L.landing_status(landed).unionByName(L.outcome_status(outcomes))
             status.write.mode("overwrite").parquet(f"{cfg.path('status')}/{suffix}")
             outcomes.where(F.col("outcome") != "duplicate").select("request_id", "received_at") \
                 .write.mode("overwrite").parquet(f"{cfg.path('ids')}/{suffix}")
@@ -109,6 +113,8 @@ def make_batch_writer(cfg: StreamConfig, registry_loader: Callable[[SparkSession
                 if n_bad:
                     raise RuntimeError(f"strict mode: {n_bad} rejected payloads in batch {batch_id}")
         finally:
+            if run is not None:
+                run.unpersist()
             batch.unpersist()
 
     return write_batch
@@ -134,9 +140,7 @@ def start_ingest(spark: SparkSession, source_dir: str, cfg: StreamConfig,
 def dedupe_stream(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Stateful duplicate suppression by request id within a watermark (T4)."""
     v = F.try_parse_json(F.col("payload"))
-    rid = F.coalesce(F.nullif(F.try_variant_get(v, "$.request_id", "string"), F.lit("")),
-                     F.col("raw_id"))
-    return (stream.withColumn("request_id", rid)
+    return (stream.withColumn("request_id", request_id_of(v, F.col("raw_id")))
             .withWatermark("received_at", delay)
             .dropDuplicatesWithinWatermark(["request_id"]))
 
@@ -159,7 +163,7 @@ def batch_stats(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
 
 
 def run_available_now(spark: SparkSession, raw_rows: DataFrame, registry: DataFrame,
-                      files: int = 8, max_files_per_trigger: int = 2) -> DataFrame:
+                      files: int = 8, max_files_per_trigger: int = 4) -> DataFrame:
     """Stage ``raw_rows`` as input files, drain them with an availableNow stream,
     and return the readings written by the stream.
 
@@ -179,4 +183,4 @@ def run_available_now(spark: SparkSession, raw_rows: DataFrame, registry: DataFr
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(cfg.path("readings")).drop("batch_id")
+    return spark.read.parquet(cfg.path("readings")).drop("batch_id", "ts_date")

@@ -86,3 +86,27 @@ def test_fault_dim_broadcast_and_latest_per_code_partial(spark, registry):
     assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
     got = Q.latest_per_code(n.readings, 2).groupBy("fault_code").count().collect()
     assert sorted(r["count"] for r in got) == [2, 2]
+
+
+def test_sql_views_and_show_tables(spark, registry):
+    n = normalize(raw_frame(spark, [json.dumps(p) for p in PAYLOADS]), registry)
+    names = Q.register_views(spark, {"inverter_data": n.readings, "rejects_view": n.rejects})
+    got = {r["tableName"] for r in Q.list_tables(spark, names).collect()}
+    assert got == {"inverter_data", "rejects_view"}
+    row = Q.sql(spark, "SELECT count(*) AS c, max(time) AS t FROM inverter_data").first()
+    assert row["c"] == 4 and row["t"] is not None     # a, b, c, e map; d is unknown
+
+
+def test_document_omits_empty_fields_p24(spark):
+    from gridlake.operators.expected import to_document
+    df = spark.createDataFrame([("a", 0.0, 5, "")], "id string, p double, n bigint, s string")
+    doc = json.loads(to_document(df, ["id", "p", "n", "s"]).first()["document"])
+    assert doc == {"id": "a", "n": 5}
+
+
+def test_device_local_time_p25(spark):
+    from gridlake.functions.timefn import device_local_time
+    row = spark.range(1).select(
+        device_local_time(F.lit("17/11/2025"), F.lit("06:45:00"), F.lit("Asia/Kolkata"))
+        .cast("timestamp_ntz").alias("t")).first()
+    assert row["t"] == datetime(2025, 11, 17, 1, 15)
