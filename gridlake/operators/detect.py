@@ -119,16 +119,18 @@ def detect_by_join(df: DataFrame, registry: DataFrame, *, v: str = "v",
     ids = active(registry).select("source_id")
     sid = string_if_string(vget(F.col(v), "source_id"))
     dtype = string_if_string(vget(F.col(v), "device_type"))
-    base = df.select(id_col, F.col(v), sid.alias("_sid"), dtype.alias("_dt"))
-
-    # hints: semi-joins against the (small, size-checked) active id list
+    # hints: left joins against the active id list (size-checked broadcast: no shuffle)
     small_ids = broadcast_if_small(ids, 100_000)
-    hinted = (base.join(small_ids.withColumnRenamed("source_id", "_sid"), "_sid", "left_semi")
-              .select(id_col, F.col("_sid").alias("_h1")))
-    dt_hint = (base.join(small_ids.withColumnRenamed("source_id", "_dt"), "_dt", "left_semi")
-               .select(id_col, F.col("_dt").alias("_h2")))
-
-    keys = with_keys(base, v).select(id_col, F.explode(F.array_distinct("keys")).alias("key"))
+    base = project_once(df, sid.alias("_sid"), dtype.alias("_dt"))
+    base = (base.join(small_ids.select(F.col("source_id").alias("_sid"), F.col("source_id").alias("_h1")),
+                      "_sid", "left")
+                .join(small_ids.select(F.col("source_id").alias("_dt"), F.col("source_id").alias("_h2")),
+                      "_dt", "left"))
+
+    # signature: exploded keys of unhinted rows x rule table, two aggregations
+    unhinted = base.where(F.col("_h1").isNull() & F.col("_h2").isNull())
+    keys = with_keys(unhinted.select(id_col, v), v).select(
+        id_col, F.explode(F.array_distinct("keys")).alias("key"))
     hits = keys.join(broadcast_if_small(rules, 1_000_000), "key")
     scores = hits.groupBy(id_col, "source_id").agg(
         F.count("*").alias("score"),
@@ -142,8 +144,7 @@ def detect_by_join(df: DataFrame, registry: DataFrame, *, v: str = "v",
         F.max(F.struct("score", (-F.col("rank")).alias("neg_rank"), "source_id"))
          .getField("source_id").alias("_sig"))
 
-    joined = (df.join(hinted, id_col, "left").join(dt_hint, id_col, "left")
-              .join(best, id_col, "left"))
+    joined = base.join(best, id_col, "left").drop("_sid", "_dt")
     parts = [F.col("_h1"), F.col("_h2"), F.col("_sig")]
     if default_source is not None and ids.where(F.col("source_id") == default_source).take(1):
         parts.append(F.lit(default_source))

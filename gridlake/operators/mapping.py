@@ -245,3 +245,112 @@ def preview(df: DataFrame, mapping: CompiledMapping, v: str = "v", int_mode: str
     cols += [val.alias(std) for std, (_t, val) in fields.items()]
     cols.append(required_error(values, mapping).alias("error"))
     return staged.select(*cols)
+
+
+# --------------------------------------------------------------- rule-array plan
+#
+# For large registries: the rules travel with the rows instead of being
+# compiled into the plan.  The active registry becomes one row per source with
+# an array of typed rules (built by Spark, nothing collected), broadcast after
+# a size check and equi-joined on source_id; higher-order functions apply the
+# rules.  Generated code no longer grows with the registry; per row, only the
+# rules of the row's own source are touched.
+
+_OPS = ("multiply", "divide", "add", "subtract")
+
+
+def rule_arrays(registry: DataFrame) -> DataFrame:
+    """Active registry -> ``_rule_source, _nested_path, _rules`` (one row per source)."""
+    from ..catalog import STANDARD_ALIASES
+    from ..functions.variant import number_value as _num
+    from ..sources.registry import active
+    alias_items = []
+    for k, val in STANDARD_ALIASES.items():
+        alias_items += [F.lit(k), F.lit(val)]
+    alias = F.create_map(*alias_items)
+
+    def rule(r):
+        parts = F.split(F.coalesce(r["transform"], F.lit("")), ":")
+        op = F.trim(parts.getItem(0))
+        k = F.trim(F.try_element_at(parts, F.lit(2))).try_cast("double")
+        ok = (F.size(parts) == 2) & op.isin(*_OPS) & k.isNotNull() & ~F.isnan(k) \
+            & (F.abs(k) != F.lit(float("inf")))
+        op = F.when(ok & ~((op == "divide") & (k == 0)), op)
+        dflt = F.try_parse_json(r["default_json"])
+        dtype = F.coalesce(r["data_type"], F.lit(""))
+        ntype = (F.when(dtype == "string", "string").when(dtype.isin("int", "float"), "double")
+                 .when(dtype == "bool", "boolean").otherwise("string"))
+        return F.struct(
+            r["source_field"].alias("field"),
+            F.coalesce(alias[r["standard_field"]], r["standard_field"]).alias("target"),
+            ntype.alias("ntype"), dtype.alias("dtype"), op.alias("op"), k.alias("k"),
+            dflt.isNotNull().alias("has_default"),
+            F.coalesce(_num(dflt), F.lit(0.0)).alias("def_d"),
+            F.when(dflt.isNotNull(), to_string(dflt)).alias("def_s"),
+            F.when(dflt.isNotNull(), to_bool(dflt)).alias("def_b"),
+            F.coalesce(r["required"], F.lit(False)).alias("required"))
+
+    return active(registry).select(
+        F.col("source_id").alias("_rule_source"),
+        F.coalesce("nested_path", F.lit("")).alias("_nested_path"),
+        F.transform("mappings", rule).alias("_rules"))
+
+
+def _apply_op(x: Column, op: Column, k: Column) -> Column:
+    return (F.when(op == "multiply", x * k).when(op == "divide", x / k)
+            .when(op == "add", x + k).when(op == "subtract", x - k).otherwise(x))
+
+
+def map_by_rules(df: DataFrame, registry: DataFrame, *, v: str = "v", source: str = "source_id",
+                 int_mode: str = "keep", valid: str | None = None,
+                 max_broadcast_sources: int = 100_000) -> DataFrame:
+    """Same output as :func:`map_canonical`, with the rules joined in as data."""
+    from .common import broadcast_if_small, project_once
+    rules = broadcast_if_small(rule_arrays(registry), max_broadcast_sources)
+    joined = df.join(rules, F.col(source) == F.col("_rule_source"), "left")
+    root = as_object_col(F.col(v))
+    staged = project_once(joined, root.alias("_root"))
+    staged = project_once(staged, F.when(F.col("_nested_path") != "",
+                                         as_object_col(F.col("_root")[F.col("_nested_path")]))
+                          .alias("_nest"))
+
+    def value(r):
+        raw = F.coalesce(F.col("_nest")[r["field"]], F.col("_root")[r["field"]])
+        missing = raw.isNull()
+        num = _apply_op(F.coalesce(number_value(raw), F.lit(0.0)), r["op"], r["k"])
+        if int_mode == "truncate":
+            num = F.when(r["dtype"] == "int", num.try_cast("bigint").cast("double")).otherwise(num)
+        return F.struct(
+            r["field"].alias("field"), r["target"].alias("target"), r["ntype"].alias("ntype"),
+            (~missing | r["has_default"]).alias("present"),
+            (missing & ~r["has_default"] & r["required"]).alias("fails"),
+            F.when(missing, F.when(r["has_default"], r["def_d"])).otherwise(num).alias("d"),
+            F.when(missing, r["def_s"]).otherwise(to_string(raw)).alias("s"),
+            F.when(missing, r["def_b"]).otherwise(to_bool(raw)).alias("b"))
+
+    staged = project_once(staged, F.transform("_rules", value).alias("_vals"))
+    out = []
+    for name in DETAIL_COLUMNS:
+        e = F.try_element_at(F.filter("_vals", lambda x: (x["target"] == name) & x["present"]), F.lit(-1))
+        want = canonical_type(name)
+        if want == "double":
+            val = F.when(e["ntype"] == "double", e["d"]).when(e["ntype"] == "string", e["s"].try_cast("double"))
+        elif want == "bigint":
+            val = F.when(e["ntype"] == "double", e["d"].try_cast("bigint"))
+        else:
+            val = (F.when(e["ntype"] == "string", e["s"]).when(e["ntype"] == "double", render_double(e["d"]))
+                   .when(e["ntype"] == "boolean", F.when(e["b"], F.lit("true")).otherwise(F.lit("false"))))
+        out.append(val.cast(want).alias(name))
+    first_fail = F.try_element_at(F.filter("_vals", lambda x: x["fails"]), F.lit(1))["field"]
+    error = F.when(F.col(source).isNull(), F.lit(ERR_UNKNOWN_SOURCE))
+    if valid is not None:
+        error = F.when(~F.col(valid), F.lit(ERR_INVALID_JSON)).when(F.col(source).isNull(),
+                                                                     F.lit(ERR_UNKNOWN_SOURCE))
+    error = error.when(first_fail.isNotNull(), F.concat(F.lit(ERR_REQUIRED), first_fail))
+    out.append(error.cast("string").alias("error"))
+    keep = [c for c in df.columns if c not in DETAIL_COLUMNS and c != "error"]
+    return staged.select(*keep, F.inline(F.array(F.struct(*out))))
+
+
+def as_object_col(x: Column) -> Column:
+    return x.try_cast("map<string,variant>")

@@ -22,11 +22,15 @@ from pyspark.sql import functions as F
 from ..catalog import DETAIL_COLUMNS, READING_COLUMNS, REJECTS_COLUMNS
 from ..functions.timefn import event_time
 from ..functions.variant import string_if_string, to_string
-from ..operators.detect import detect
+from ..operators.detect import detect, detect_by_join
 from ..operators.intake import duplicates, first_per_request, parse, vget
-from ..operators.mapping import fill_canonical, map_canonical
+from ..operators.mapping import fill_canonical, map_by_rules, map_canonical
 from ..sources.registry import CompiledMapping, compile_registry
 
+# Above this many active sources the rules travel as data (rule-array plan):
+# the compiled plan's generated code grows with every source.
+COMPILED_PLAN_MAX_SOURCES = 8
+
 
 def meta_string(v: Column, key: str, default: str) -> Column:
     """Envelope string getter: missing -> default, non-string -> its text."""
@@ -42,6 +46,8 @@ class Normalized:
     default_source: str | None = None
     int_mode: str = "keep"
     use_signature: bool = True
+    plan: str = "compiled"              # "compiled" | "rules"
+    registry: DataFrame | None = None
 
     @cached_property
     def objects(self) -> DataFrame:
@@ -64,6 +70,8 @@ class Normalized:
 
     @cached_property
     def detected_all(self) -> DataFrame:
+        if self.plan == "rules":
+            return detect_by_join(self.firsts_all, self.registry, default_source=self.default_source)
         return detect(self.firsts_all, self.mappings, default_source=self.default_source,
                       use_signature=self.use_signature)
 
@@ -83,8 +91,11 @@ class Normalized:
             meta_string(v, "device_id", "unknown").alias("device_id"),
             meta_string(v, "signal_strength", "").alias("signal_strength"),
             event_time(string_if_string(vget(v, "device_timestamp")), F.col("received_at")).alias("ts"))
-        return map_canonical(base, self.mappings, int_mode=self.int_mode,
-                             valid="is_object").drop("v", "is_object")
+        if self.plan == "rules":
+            out = map_by_rules(base, self.registry, int_mode=self.int_mode, valid="is_object")
+        else:
+            out = map_canonical(base, self.mappings, int_mode=self.int_mode, valid="is_object")
+        return out.drop("v", "is_object")
 
     @cached_property
     def readings(self) -> DataFrame:
@@ -145,10 +156,32 @@ class Normalized:
 def normalize(raw: DataFrame, registry: DataFrame | None = None, *,
               mappings: list[CompiledMapping] | None = None,
               default_source: str | None = None, int_mode: str = "keep",
-              use_signature: bool = True) -> Normalized:
-    """Build the lazy normalisation plan over raw rows (raw_id, payload, received_at[, request_id])."""
+              use_signature: bool = True, plan: str = "auto") -> Normalized:
+    """Build the lazy normalisation plan over raw rows (raw_id, payload, received_at[, request_id]).
+
+    ``plan``: ``"compiled"`` turns the registry into column expressions (fast
+    for a few sources), ``"rules"`` joins the rules in as data (constant plan
+    size for any registry), ``"auto"`` picks by the number of active sources.
+    """
     if mappings is None:
         if registry is None:
             raise ValueError("registry or mappings required")
-        mappings = compile_registry(registry)
-    return Normalized(parse(raw), mappings, default_source, int_mode, use_signature)
+        specs = getattr(registry, "_gridlake_specs", None)
+        n_sources = len(specs) if specs is not None else None
+        if plan == "auto" and n_sources is None:
+            from ..sources.registry import active
+            n_sources = active(registry).limit(COMPILED_PLAN_MAX_SOURCES + 1).count()
+        if plan == "auto":
+            plan = "compiled" if n_sources <= COMPILED_PLAN_MAX_SOURCES else "rules"
+        if plan == "compiled":
+            mappings = compile_registry(registry)
+    else:
+        if plan == "auto":
+            plan = "compiled" if len(mappings) <= COMPILED_PLAN_MAX_SOURCES else "rules"
+        if plan == "rules" and registry is None:
+            raise ValueError("the rule-array plan needs the registry DataFrame")
+    if not use_signature and plan == "rules":
+        plan = "compiled"
+        mappings = mappings or compile_registry(registry)
+    return Normalized(parse(raw), mappings or [], default_source, int_mode, use_signature,
+                      plan, registry)

@@ -371,6 +371,7 @@ def statements() -> dict[str, str]:
     detect_default = w("SELECT coalesce(src, 'Inv') AS source_id, count(*) AS n FROM obj GROUP BY 1")
     return {
         "normalize_canonical": w(f"SELECT {READING_COLS} FROM rd"),
+        "normalize_rule_plan": w(f"SELECT {READING_COLS} FROM rd"),
         "detect_source": w("SELECT src AS source_id, count(*) AS n FROM obj GROUP BY src"),
         "detect_default_source": detect_default,
         "detect_rule_join": w("SELECT src AS source_id, count(*) AS n FROM obj GROUP BY src"),

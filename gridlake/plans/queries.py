@@ -86,6 +86,11 @@ def q_normalize_canonical(spark, sf):
     return out_ts(readings(spark, sf).select(*READING_COLUMNS), "ts")
 
 
+def q_normalize_rule_plan(spark, sf):
+    """The same readings through the rule-array plan used for large registries."""
+    return out_ts(ingest(spark, sf, plan="rules").readings.select(*READING_COLUMNS), "ts")
+
+
 def q_detect_source(spark, sf):
     n = ingest(spark, sf)
     return n.detected.groupBy("source_id").agg(F.count("*").alias("n"))
@@ -474,6 +479,7 @@ def q_stream_ingest(spark, sf):
 
 QUERIES = {
     "normalize_canonical": q_normalize_canonical,
+    "normalize_rule_plan": q_normalize_rule_plan,
     "detect_source": q_detect_source,
     "detect_default_source": q_detect_default_source,
     "detect_rule_join": q_detect_rule_join,

@@ -110,3 +110,24 @@ def test_device_local_time_p25(spark):
         device_local_time(F.lit("17/11/2025"), F.lit("06:45:00"), F.lit("Asia/Kolkata"))
         .cast("timestamp_ntz").alias("t")).first()
     assert row["t"] == datetime(2025, 11, 17, 1, 15)
+
+
+def test_rule_array_plan_matches_compiled(spark, registry):
+    from test_golden import LEGACY, LONG_KEY
+    texts = [json.dumps(p) for p in PAYLOADS + [LONG_KEY, LEGACY]] + ["[1]", "{bad"]
+    raw = raw_frame(spark, texts)
+    a = normalize(raw, registry, plan="compiled")
+    b = normalize(raw, registry, plan="rules")
+    for name in ("readings", "rejects"):
+        x, y = getattr(a, name), getattr(b, name)
+        assert x.count() == y.count() and x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+def test_auto_plan_switches_on_registry_size(spark):
+    from gridlake.sources.registry import registry_frame
+    specs = [{"source_id": f"s{i:02d}", "nested_path": "", "rules": [(f"k{i}", "slave_id", "string", "", None, False)]}
+             for i in range(12)]
+    n = normalize(raw_frame(spark, [json.dumps({"k7": "x"})]), registry_frame(spark, specs))
+    assert n.plan == "rules"
+    r = n.readings.first()
+    assert r["device_type"] == "s07" and r["slave_id"] == "x"
