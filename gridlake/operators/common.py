@@ -39,8 +39,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     run every per-row step before the first shuffle in a single task; it is
     spread round-robin instead.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: no RDD view; leave the scan as it is
+        return df
+    if current < target:
         return df.repartition(target)
     return df

@@ -56,7 +56,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
+        try:
+            current = spark.sparkContext.getCheckpointDir()
+        except Exception:  # Spark Connect has no SparkContext
+            current = None
     if not current:
         current = tempfile.mkdtemp(prefix="gridlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)

@@ -103,6 +103,18 @@ def test_stream_matches_batch_and_is_idempotent(spark, registry, tmp_path):
     assert sorted(r["request_id"] for r in got.collect()) == sorted(r["request_id"] for r in batch.collect())
     st = batch_stats(spark, cfg).first()
     assert st["records"] == len(texts)
+    # overlapping input arrives later: a resend of r3 and one new payload
+    late = [json.dumps(dict(GOOD, request_id="r3")), json.dumps(dict(GOOD, request_id="r99"))]
+    raw_frame(spark, late, start="2025-11-17 06:30:00").select("raw_id", "payload", "received_at") \
+        .withColumn("raw_id", F.concat(F.lit("late-"), "raw_id")).write.mode("append").parquet(src)
+    q = start_ingest(spark, src, cfg, lambda s: s.read.parquet(reg_path), available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = spark.read.parquet(cfg.path("readings"))
+    assert got.count() == 21 and got.where("request_id = 'r3'").count() == 1
+    log = spark.read.parquet(cfg.path("batches"))
+    assert log.agg(F.sum("duplicates")).first()[0] == 2   # in-batch resend + late resend
+    assert spark.read.parquet(cfg.path("raw")).count() == len(texts) + 2
 
 
 def test_stream_rate_and_dedupe(spark, tmp_path):
