@@ -7,21 +7,16 @@ from pyspark.sql import functions as F
 
 # RFC 3339: date 'T' time, optional fraction of 1-9 digits, zone 'Z' or +hh:mm.
 RFC3339_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})$"
-RFC3339_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS][.SSSSSS][.SSS][.S]XXX"
+RFC3339_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX"
 
 
 def parse_rfc3339(text: Column) -> Column:
     """Timestamp of an RFC 3339 string, NULL for anything else.
 
     The shape check keeps lenient forms (date only, space separator) out; the
-    fraction is normalised to 9 digits so one strict pattern parses it.
+    optional 9-letter fraction accepts 1 to 9 digits when parsing.
     """
-    frac = F.regexp_extract(text, r"\.(\d{1,9})", 1)
-    normalised = F.when(
-        frac != "",
-        F.regexp_replace(text, r"\.\d{1,9}", F.concat(F.lit("."), F.rpad(frac, 9, "0"))),
-    ).otherwise(text)
-    parsed = F.try_to_timestamp(normalised, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX"))
+    parsed = F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX"))
     return F.when(text.rlike(RFC3339_SHAPE), parsed)
 
 

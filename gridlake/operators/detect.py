@@ -54,7 +54,8 @@ def detect(df: DataFrame, mappings: list[CompiledMapping], *, v: str = "v",
                   lambda: _detect_stages(mappings, v, default_source, use_signature))
     staged = df
     for cols in stages[:-1]:
-        staged = staged.select("*", *cols)
+        # each stage is evaluated once per row (its columns feed many terms)
+        staged = project_once(staged, *cols)
     result = project_once(staged, stages[-1][0].alias(out))
     return result.drop(*[c for c in result.columns if c.startswith("_dt_")])
 
@@ -70,10 +71,15 @@ def _detect_stages(mappings: list[CompiledMapping], v: str, default_source: str
         keys = F.col("_dt_keys")
         score_cols = []
         for i, m in enumerate(mappings):
-            score = count_present(keys, [r.source_field for r in m.rules])
-            req = F.lit(True)
-            for f in m.required_fields:
-                req = req & has_key(keys, f)
+            fields = [r.source_field for r in m.rules]
+            if len(set(fields)) == len(fields):
+                # one hash-set intersection per source instead of a scan per field
+                score = F.size(F.array_intersect(keys, F.array(*[F.lit(f) for f in fields])))
+            else:
+                score = count_present(keys, fields)
+            req_fields = sorted(set(m.required_fields))
+            req = (F.size(F.array_intersect(keys, F.array(*[F.lit(f) for f in req_fields])))
+                   == F.lit(len(req_fields))) if req_fields else F.lit(True)
             unhinted = F.col("_dt_hint").isNull()
             score_cols += [F.when(unhinted, score).alias(f"_dt_s{i}"),
                            F.when(unhinted, req).alias(f"_dt_r{i}")]
