@@ -48,6 +48,7 @@ class Normalized:
     use_signature: bool = True
     plan: str = "compiled"              # "compiled" | "rules"
     registry: DataFrame | None = None
+    raw: DataFrame | None = None
 
     @cached_property
     def objects(self) -> DataFrame:
@@ -112,7 +113,10 @@ class Normalized:
 
     @cached_property
     def duplicates(self) -> DataFrame:
-        return duplicates(self.parsed, self.firsts_all)
+        """Rows that lost the dedupe.  A landed raw table already carries the
+        request id, so the anti join reads it directly instead of re-parsing."""
+        src = self.raw if self.raw is not None and "request_id" in self.raw.columns else self.parsed
+        return duplicates(src, self.firsts_all)
 
     @cached_property
     def outcomes(self) -> DataFrame:
@@ -184,4 +188,4 @@ def normalize(raw: DataFrame, registry: DataFrame | None = None, *,
         plan = "compiled"
         mappings = mappings or compile_registry(registry)
     return Normalized(parse(raw), mappings or [], default_source, int_mode, use_signature,
-                      plan, registry)
+                      plan, registry, raw)
