@@ -131,3 +131,11 @@ def test_auto_plan_switches_on_registry_size(spark):
     assert n.plan == "rules"
     r = n.readings.first()
     assert r["device_type"] == "s07" and r["slave_id"] == "x"
+
+
+def test_spread_only_touches_small_inputs(spark):
+    from gridlake.operators.common import spread
+    many = spark.range(0, 1000, numPartitions=64)
+    assert spread(many, 16) is many                      # enough splits: no shuffle added
+    one = spark.range(0, 1000, numPartitions=1)
+    assert spread(one, 16).rdd.getNumPartitions() == 16
