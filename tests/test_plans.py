@@ -139,3 +139,20 @@ def test_spread_only_touches_small_inputs(spark):
     assert spread(many, 16) is many                      # enough splits: no shuffle added
     one = spark.range(0, 1000, numPartitions=1)
     assert spread(one, 16).rdd.getNumPartitions() == 16
+
+
+def test_points_roundtrip_absent_fields_s5_s6(spark):
+    from gridlake.sources.sinks import from_points, tag_set, to_points
+    pts = spark.createDataFrame(
+        [("r1", {"device_id": "D1", "source": "solar_monitoring"}, (5.5, 2), datetime(2025, 1, 1))],
+        "request_id string, tags map<string,string>, fields struct<total_output_power:double, alarm_1:bigint>, "
+        "time timestamp")
+    back = from_points(pts).first()
+    assert back["device_id"] == "D1" and back["device_name"] == "" and back["signal_strength"] == ""
+    assert back["total_output_power"] == 5.5 and back["alarm_1"] == 2
+    assert back["inverter_temp"] == 0.0 and back["fault_code"] == 0 and back["serial_no"] == ""
+    n = normalize(raw_frame(spark, [json.dumps(PAYLOADS[0])]), __import__("gridlake.sources.registry",
+                  fromlist=["x"]).seed_registry(spark))
+    p = to_points(n.readings).select(tag_set(F.col("tags")).alias("t"), "measurement").first()
+    assert p["measurement"] == "inverter_data"
+    assert p["t"] == "device_id=unknown,device_name=unknown,device_type=Inv,source=solar_monitoring"
