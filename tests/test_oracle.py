@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = os.environ.get("GRIDLAKE_TEST_SF", "/root/testdata/sf0.001")
-KEYS = sorted(E.queries())
+KEYS = sorted(E.QUERIES)
 
 
 def _norm(v):
@@ -39,7 +39,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(KEYS) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
