@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import byte_bpe, jaccard_join, quality, secret_scan, url_rules
+from . import byte_bpe, jaccard_join, quality, secret_scan, suffix_dedup, url_rules
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -31,6 +31,11 @@ def op9_jaccard_join(spark, sf_dir):
     return jaccard_join.join(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_quality, op4_url_rules, op8_secrets, op9_jaccard_join)}
+def op10_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_quality, op4_url_rules, op8_secrets, op9_jaccard_join,
+                                   op10_suffix_dedup)}
 
 ORACLE: dict[str, str] = {}
