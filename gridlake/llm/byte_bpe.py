@@ -194,6 +194,11 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 def round_trip_digest(docs: DataFrame, ranks_path: str, pattern: str, **sizes) -> DataFrame:
     """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    return tokenised(docs, ranks_path, pattern, **sizes).drop("ids")
+
+
+def tokenised(docs: DataFrame, ranks_path: str, pattern: str, **sizes) -> DataFrame:
+    """``round_trip_digest`` with the ids themselves (little-endian u32 bytes)."""
     both = decode(encode(docs, ranks_path, pattern, **sizes), ranks_path, pattern)
-    return both.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+    return both.select("doc_id", "ids", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -221,30 +221,52 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
             "a": out["a"], "b": out["b"]}
 
 
+def _scores(texts, n_rows: int, model: dict) -> np.ndarray:
+    scale, w = model["scale"], model["w"]
+    product, square = scale * w[:-1], scale * scale
+    score = np.empty(n_rows)
+    for at, data, offsets in slices(texts):
+        n = len(offsets) - 1
+        text, feat = features(data, offsets)
+        dot = np.bincount(text, product[feat], n)
+        norm = np.sqrt(np.bincount(text, square[feat], n))
+        margin = dot / np.where(norm > 0, norm, 1.0) + w[-1]
+        score[at:at + n] = 1 / (1 + np.exp(-np.clip(model["a"] * margin + model["b"], -30, 30)))
+    return score
+
+
 def score_column(docs: DataFrame, model: dict) -> DataFrame:
     """``docs(doc_id, text)`` -> ``(doc_id, score)``, one row per row, in one narrow pass."""
     plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                         F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     if "constant" in model:
         return plain.select("doc_id", F.lit(float(model["constant"])).alias("score"))
-    scale, w, a, b = model["scale"], model["w"], model["a"], model["b"]
-    product, square = scale * w[:-1], scale * scale
 
     def run(batches):
         for batch in batches:
-            score = np.empty(batch.num_rows)
-            for at, data, offsets in slices(batch["text"]):
-                n = len(offsets) - 1
-                text, feat = features(data, offsets)
-                dot = np.bincount(text, product[feat], n)
-                norm = np.sqrt(np.bincount(text, square[feat], n))
-                margin = dot / np.where(norm > 0, norm, 1.0) + w[-1]
-                score[at:at + n] = 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
+            score = _scores(batch["text"], batch.num_rows, model)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(score)], names=["doc_id", "score"])
 
     return plain.mapInArrow(run, "doc_id bigint, score double")
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """``docs`` without the rows that score below ``threshold``; all columns stay, nothing is shuffled but the fit."""
+    model = fit(training_rows(docs, labels), fit_rows)
+    if "constant" in model:
+        return docs if model["constant"] >= threshold else docs.limit(0)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            text = batch.column(at).cast(pa.binary())
+            if text.null_count:
+                text = text.fill_null(b"")
+            yield batch.filter(pa.array(_scores(text, batch.num_rows, model) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id="doc_id"):
     """Rows whose crc32 of the id's text leaves 0 modulo 5 (false for a null id)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))

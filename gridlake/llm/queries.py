@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import byte_bpe, jaccard_join, quality, secret_scan, suffix_dedup, url_rules
+from . import (byte_bpe, decontaminate, embed_dedup, jaccard_join, license_scan, quality, secret_scan, suffix_dedup,
+               url_rules, warc_fixity)
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op1_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return byte_bpe.round_trip_digest(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
@@ -23,6 +28,18 @@ def op4_url_rules(spark, sf_dir):
     return url_rules.judge(table(spark, sf_dir, "pages"))
 
 
+def op5_embed_dedup(spark, sf_dir):
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op6_warc_fixity(spark, sf_dir):
+    return warc_fixity.report(table(spark, sf_dir, "pages"))
+
+
+def op7_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_secrets(spark, sf_dir):
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
@@ -35,7 +52,8 @@ def op10_suffix_dedup(spark, sf_dir):
     return suffix_dedup.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_quality, op4_url_rules, op8_secrets, op9_jaccard_join,
-                                   op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_license_scan, op2_byte_bpe, op3_quality, op4_url_rules, op5_embed_dedup, op6_warc_fixity, op7_decontaminate,
+    op8_secrets, op9_jaccard_join, op10_suffix_dedup)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_warc_fixity": warc_fixity.ORACLE}

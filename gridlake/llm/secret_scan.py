@@ -131,7 +131,10 @@ def report(docs: DataFrame, **holders) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[secret]", **holders) -> DataFrame:
-    """``docs`` with every live span of ``text`` replaced by ``mark``; all rows and columns stay."""
+    """``docs`` with every live span of ``text`` replaced by ``mark``; all rows and columns stay.
+
+    A column n_chars, if there is one, follows the new text.
+    """
     live = (scan(docs, **holders).where("kind = 'live'")
             .groupBy("doc_id", "text_hash")
             .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__live"))
@@ -144,5 +147,8 @@ def redact(docs: DataFrame, mark: str = "[secret]", **holders) -> DataFrame:
         f"if(s.start < a.at, '', '{mark}')))), "
         "a -> concat(a.out, substring(text, int(a.at) + 1)))")
     joined = docs.join(live, F.expr("doc_id <=> __id and xxhash64(text) = __hash"), "left")
-    return joined.withColumn("text", F.when(F.col("__live").isNull(), F.col("text")).otherwise(rebuilt)) \
-                 .select(*docs.columns)
+    out = joined.withColumn("text", F.when(F.col("__live").isNull(), F.col("text")).otherwise(rebuilt))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("__live").isNull(), F.col("n_chars"))
+                             .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return out.select(*docs.columns)

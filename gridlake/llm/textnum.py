@@ -156,3 +156,16 @@ def shingle_hashes(words: np.ndarray, text: np.ndarray, k: int, whole_if_short:
                 order = np.argsort(t, kind="stable")
                 h, t = h[order], t[order]
     return h, t
+
+
+def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of every ``width`` consecutive values."""
+    n = len(h) - width + 1
+    if n <= 0:
+        return h[:0]
+    m, have = h, 1
+    while 2 * have <= width:
+        m = np.minimum(m[:-have], m[have:])
+        have *= 2
+    rest = width - have
+    return np.minimum(m[:n], m[rest:rest + n]) if rest else m[:n]
