@@ -97,6 +97,7 @@ ERR_INVALID_JSON = "invalid JSON"
 ERR_UNKNOWN_SOURCE = "unknown data source"
 ERR_REQUIRED = "required field missing: "
 ERR_DUPLICATE = "duplicate request_id"
+ERR_UNKNOWN_RAW_ID = "unknown raw id"
 ERR_NO_DATA = "no data object found in payload"
 
 MEASUREMENT = "inverter_data"

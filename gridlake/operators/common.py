@@ -6,18 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking it has at most ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1).count()``; column pruning
-    leaves no columns to move), so it is cheap whatever the size.  Above the
-    bound the planner is left to pick a shuffle join.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def project_once(df: DataFrame, *cols) -> DataFrame:
     """Append ``cols`` to ``df``, each evaluated exactly once per row.
 

@@ -12,14 +12,14 @@ Two physical plans compute the same answer:
 
 * :func:`detect` - one projection, no shuffle.  The compiled registry turns
   into ``array_contains`` terms and an ``array_max`` over candidate structs.
-* :func:`detect_by_join` - the keys are exploded and equi-joined to the rule
-  table, scores aggregated per (payload, source).  Its cost does not depend on
-  the registry size per row, so it is the plan for very large registries.
+* :func:`detect_by_join` - each distinct key set is equi-joined to the rule
+  table and scored once.  Its cost per row does not depend on the registry, so
+  it is the plan for very large registries.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import SIGNATURE_THRESHOLD_PERCENT
@@ -27,7 +27,7 @@ from ..functions.keys import count_present, has_key, key_set
 from ..functions.variant import as_object, string_if_string
 from ..sources.registry import CompiledMapping, active
 from ..functions.memo import memo
-from .common import broadcast_if_small, project_once
+from .common import project_once
 from .intake import vget
 
 
@@ -100,58 +100,49 @@ def _detect_stages(mappings: list[CompiledMapping], v: str, default_source: str
 # --------------------------------------------------------------- join plan
 
 def rule_table(registry: DataFrame) -> DataFrame:
-    """Active rules: source_id, source_field, required, n_rules, n_required, threshold, rank."""
+    """Active rules: source_id, source_field, required, n_rules, n_required, threshold."""
     act = active(registry).select(
         "source_id", "mappings",
         F.size("mappings").alias("n_rules"),
         F.size(F.filter("mappings", lambda r: r["required"])).alias("n_required"))
-    act = act.withColumn("rank", F.dense_rank().over(Window.orderBy("source_id")))
     return act.select(
-        "source_id", "n_rules", "n_required", "rank",
+        "source_id", "n_rules", "n_required",
         F.floor(F.col("n_rules") * SIGNATURE_THRESHOLD_PERCENT / 100).cast("int").alias("threshold"),
         F.explode("mappings").alias("r")
-    ).select("source_id", "n_rules", "n_required", "rank", "threshold",
+    ).select("source_id", "n_rules", "n_required", "threshold",
              F.col("r.source_field").alias("key"), F.col("r.required").alias("required"))
 
 
 def detect_by_join(df: DataFrame, registry: DataFrame, *, v: str = "v",
-                   id_col: str = "request_id", default_source: str | None = None,
+                   default_source: str | None = None, use_signature: bool = True,
                    out: str = "source_id") -> DataFrame:
-    """Same answer as :func:`detect`, as explode + equi-join + two aggregations.
+    """Same answer as :func:`detect`, as joins whose plan does not grow with the registry.
 
-    ``id_col`` must be unique in ``df`` (it is after :func:`first_per_request`).
+    A signature depends on the payload's keys only, and there are few distinct
+    key sets however many payloads: each distinct set is exploded, joined to the
+    rule table and scored once, and its source is joined back.
     """
     rules = rule_table(registry)
     ids = active(registry).select("source_id")
     sid = string_if_string(vget(F.col(v), "source_id"))
     dtype = string_if_string(vget(F.col(v), "device_type"))
-    # hints: left joins against the active id list (size-checked broadcast: no shuffle)
-    small_ids = broadcast_if_small(ids, 100_000)
-    base = project_once(df, sid.alias("_sid"), dtype.alias("_dt"))
-    base = (base.join(small_ids.select(F.col("source_id").alias("_sid"), F.col("source_id").alias("_h1")),
-                      "_sid", "left")
-                .join(small_ids.select(F.col("source_id").alias("_dt"), F.col("source_id").alias("_h2")),
-                      "_dt", "left"))
-
-    # signature: exploded keys of unhinted rows x rule table, two aggregations
-    unhinted = base.where(F.col("_h1").isNull() & F.col("_h2").isNull())
-    keys = with_keys(unhinted.select(id_col, v), v).select(
-        id_col, F.explode(F.array_distinct("keys")).alias("key"))
-    hits = keys.join(broadcast_if_small(rules, 1_000_000), "key")
-    scores = hits.groupBy(id_col, "source_id").agg(
-        F.count("*").alias("score"),
-        F.count_if("required").alias("req_hit"),
-        F.first("n_required").alias("n_required"),
-        F.first("threshold").alias("threshold"),
-        F.first("rank").alias("rank"))
-    eligible = scores.where((F.col("req_hit") == F.col("n_required"))
-                            & (F.col("score") >= F.col("threshold")) & (F.col("score") > 0))
-    best = eligible.groupBy(id_col).agg(
-        F.max(F.struct("score", (-F.col("rank")).alias("neg_rank"), "source_id"))
-         .getField("source_id").alias("_sig"))
-
-    joined = base.join(best, id_col, "left").drop("_sid", "_dt")
-    parts = [F.col("_h1"), F.col("_h2"), F.col("_sig")]
+    base = project_once(df, sid.alias("_sid"), dtype.alias("_dt"),
+                        F.array_sort(F.array_distinct(key_set(as_object(F.col(v))))).alias("_keys"))
+    base = (base.join(ids.select(F.col("source_id").alias("_sid"), F.col("source_id").alias("_h1")), "_sid", "left")
+                .join(ids.select(F.col("source_id").alias("_dt"), F.col("source_id").alias("_h2")), "_dt", "left"))
+    parts = [F.col("_h1"), F.col("_h2")]
+    if use_signature:
+        sets = base.where("_h1 is null and _h2 is null and _keys is not null").select("_keys").distinct()
+        hits = sets.select("_keys", F.explode("_keys").alias("key")).join(rules, "key")
+        scores = hits.groupBy("_keys", "source_id").agg(
+            F.count("*").alias("score"), F.count_if("required").alias("req_hit"),
+            F.first("n_required").alias("n_required"), F.first("threshold").alias("threshold"))
+        best = (scores.where("req_hit = n_required and score >= threshold and score > 0")
+                .groupBy("_keys").agg(F.min(F.struct((-F.col("score")).alias("low"), "source_id"))
+                                      .getField("source_id").alias("_sig")))
+        base = base.join(best, "_keys", "left")
+        parts.append(F.col("_sig"))
     if default_source is not None and ids.where(F.col("source_id") == default_source).take(1):
         parts.append(F.lit(default_source))
-    return joined.withColumn(out, F.coalesce(*parts)).drop("_h1", "_h2", "_sig")
+    return (base.withColumn(out, F.coalesce(*parts))
+            .drop("_h1", "_h2", "_sig", "_sid", "_dt", "_keys"))

@@ -60,7 +60,8 @@ def expected_format(df: DataFrame, v: str = "v", keep: list[str] | None = None)
             keys = [k for k, t in table.items() if t == target]
             if not keys:
                 continue
-            val = _target_value(vget(F.col("_v"), "data", keys[0]), target)
+            # of several source keys the first that is there gives the value
+            val = _target_value(F.coalesce(*[vget(F.col("_v"), "data", k) for k in keys]), target)
             expr = F.when(layout == name, val) if expr is None else expr.when(layout == name, val)
         zero = F.lit("") if target in STRING_DETAILS else (
             F.lit(0.0) if target in DOUBLE_DETAILS else F.lit(0).cast("bigint"))

@@ -10,22 +10,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..catalog import ERR_DUPLICATE, ERR_INVALID_JSON
+from ..catalog import ERR_DUPLICATE
 from ..functions.variant import as_object, string_if_string
 from .common import project_once
 
 
 def path(*keys: str) -> str:
-    """Variant path for nested keys, bracket-quoted so any key text is safe."""
-    out = "$"
-    for k in keys:
-        out += "['" + k.replace("\\", "\\\\").replace("'", "\\'") + "']"
-    return out
+    """Variant path for nested keys, each in brackets and the kind of quotes it does not hold."""
+    return "$" + "".join(f'["{k}"]' if "'" in k else f"['{k}']" for k in keys)
+
+
+def _plain(key: str) -> bool:
+    """Whether a variant path can name the key."""
+    return key != "" and "?" not in key and not ("'" in key and '"' in key) and "\\" not in key
 
 
 def vget(v: Column, *keys: str) -> Column:
-    """Sub-variant at a key path; SQL NULL when a key is missing."""
-    return F.try_variant_get(v, path(*keys), "variant")
+    """Sub-variant at a key path; SQL NULL when a key is missing.
+
+    Keys that no variant path can name are looked up in the object's map.
+    """
+    if all(map(_plain, keys)):
+        return F.try_variant_get(v, path(*keys), "variant")
+    for k in keys:
+        v = F.try_variant_get(v, path(k), "variant") if _plain(k) else as_object(v)[k]
+    return v
 
 
 def request_id_of(v: Column, raw_id: Column) -> Column:
@@ -38,16 +47,19 @@ def request_id_of(v: Column, raw_id: Column) -> Column:
     return F.coalesce(F.nullif(rid, F.lit("")), raw_id)
 
 
-def parse(raw: DataFrame) -> DataFrame:
+def parse(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """raw rows -> raw_id, request_id, payload, received_at, v, is_object.
 
     ``v`` is the parsed payload (NULL for text that is not JSON); ``is_object``
     is true only for a JSON object (arrays, scalars and ``null`` are not).
     The text is parsed once; both derived columns come from a generator so a
     later ``where(is_object)`` cannot re-inline the parse into the predicate.
+    Rows that ``land(..., keep_parsed=True)`` has parsed are taken as they are.
     """
+    if {"v", "is_object", "request_id"} <= set(raw.columns):
+        return raw.select("raw_id", "request_id", "payload", "received_at", "v", "is_object")
     rid_in = [F.col("request_id").alias("_rid")] if "request_id" in raw.columns else []
-    staged = project_once(raw.select("raw_id", "payload", "received_at", *rid_in),
+    staged = project_once(raw.select("raw_id", "payload", "received_at", *keep, *rid_in),
                           F.try_parse_json(F.col("payload")).alias("v"))
     obj = as_object(F.col("v")).isNotNull()
     rid = request_id_of(F.col("v"), F.col("raw_id"))
@@ -55,13 +67,7 @@ def parse(raw: DataFrame) -> DataFrame:
         rid = F.coalesce(F.col("_rid"), rid)
     staged = project_once(staged, obj.alias("is_object"),
                           F.when(obj, rid).otherwise(F.col("raw_id")).alias("request_id"))
-    return staged.select("raw_id", "request_id", "payload", "received_at", "v", "is_object")
-
-
-def invalid_rejects(parsed: DataFrame) -> DataFrame:
-    """Rows whose text is not a JSON object -> reject rows."""
-    return parsed.where(~F.col("is_object")).select(
-        "raw_id", "request_id", "payload", F.lit(ERR_INVALID_JSON).alias("error"), "received_at")
+    return staged.select("raw_id", "request_id", "payload", "received_at", *keep, "v", "is_object")
 
 
 def first_per_request(objects: DataFrame) -> DataFrame:

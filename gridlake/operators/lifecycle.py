@@ -14,30 +14,27 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..catalog import RATE_INTERVAL_SECONDS, RETRY_BATCH, STORE_TYPE
-from .intake import request_id_of
-from ..functions.variant import as_object
-
-MAX_ATTEMPTS = 3
+from ..catalog import ERR_UNKNOWN_RAW_ID, RATE_INTERVAL_SECONDS, RETRY_BATCH, STORE_TYPE
+from .intake import parse
 
 
 # ------------------------------------------------------------------ landing
 
-def land(payloads: DataFrame) -> DataFrame:
+def land(payloads: DataFrame, keep_parsed: bool = False) -> DataFrame:
     """Payload rows -> raw rows with request id (P20) and receive date.
 
     ``raw_id`` is assigned by the caller before landing (a stable id such as
-    a source offset), so a re-run lands the same ids.
+    a source offset), so a re-run lands the same ids.  ``keep_parsed`` also
+    returns the parsed payload (``v``, ``is_object``) for a run that goes on
+    with these very rows, so that no text is parsed twice.
     """
-    v = F.try_parse_json(F.col("payload"))
-    staged = payloads.select("raw_id", "payload", "received_at",
-                             F.coalesce(F.col("source_ip"), F.lit("")).alias("source_ip")
-                             if "source_ip" in payloads.columns else F.lit("").alias("source_ip"),
-                             v.alias("_v"))
-    rid = F.when(as_object(F.col("_v")).isNotNull(),
-                 request_id_of(F.col("_v"), F.col("raw_id"))).otherwise(F.col("raw_id"))
-    return staged.select("raw_id", rid.alias("request_id"), "payload", "received_at", "source_ip",
-                         F.to_date("received_at").alias("received_date"))
+    source_ip = F.coalesce(F.col("source_ip"), F.lit("")) if "source_ip" in payloads.columns else F.lit("")
+    staged = parse(payloads.select("raw_id", "payload", "received_at", source_ip.alias("source_ip")),
+                   keep=("source_ip",))
+    out = staged.select("raw_id", "request_id", "payload", "received_at", "source_ip",
+                        F.to_date("received_at").alias("received_date"),
+                        *(("v", "is_object") if keep_parsed else ()))
+    return out
 
 
 def write_raw(raw: DataFrame, path: str, mode: str = "append") -> None:
@@ -82,28 +79,44 @@ def outcome_status(outcomes: DataFrame, attempt: int = 1, seq: int = 1,
         F.lit(seq).cast("bigint").alias("seq"))
 
 
-def mark(raw_ids: DataFrame, processed: bool, error: str | None, seq: int,
-         at: datetime | None = None) -> DataFrame:
+def mark(raw_ids: DataFrame, raw: DataFrame, processed: bool, error: str | None,
+         status: DataFrame | None = None, at: datetime | None = None) -> tuple[DataFrame, DataFrame]:
     """Explicit status entries: mark processed / mark error / reset for reprocessing.
 
-    Ids that are not well-formed raw ids are dropped here (the id check).
+    Returns ``(entries, unknown)``.  Any landed id is valid, whatever its shape;
+    ids that were never landed come back in ``unknown`` (``raw_id, error``), so
+    nothing is lost silently.  With the current ``status`` the entries follow it
+    in ``seq`` and keep counting attempts; a reset starts counting anew.
     """
-    good = raw_ids.where(F.col("raw_id").rlike(r"^raw-\d+-\d+$|^[0-9a-fA-F]{24}$"))
-    return good.select(
+    ids = raw_ids.select("raw_id").distinct()
+    landed = raw.select("raw_id").distinct()
+    unknown = (ids.join(landed, "raw_id", "left_anti")
+               .select("raw_id", F.lit(ERR_UNKNOWN_RAW_ID).alias("error")))
+    known = ids.join(landed, "raw_id", "left_semi")
+    reset = not processed and error is None
+    if status is not None:
+        known = known.join(status.select("raw_id", F.col("attempts").alias("_n"), F.col("seq").alias("_s")),
+                           "raw_id", "left")
+        attempts = F.lit(0) if reset else F.coalesce("_n", F.lit(0)) + 1
+        seq = F.coalesce("_s", F.lit(0)) + 1
+    else:
+        attempts, seq = F.lit(0 if reset else 1), F.lit(1)
+    entries = known.select(
         "raw_id", F.lit(processed).alias("processed"),
         F.lit(error).cast("string").alias("error"),
-        F.lit(0 if (not processed and error is None) else 1).alias("attempts"),
+        attempts.cast("int").alias("attempts"),
         (F.lit(at).cast("timestamp") if at else F.current_timestamp()).alias("at"),
-        F.lit(seq).cast("bigint").alias("seq"))
+        seq.cast("bigint").alias("seq"))
+    return entries, unknown
 
 
 def current_status(log: DataFrame) -> DataFrame:
-    """Latest status per raw row (W7): the entry with the highest ``seq``.
+    """Latest status per raw row (W7): the entry with the highest ``(seq, at)``.
 
     A hash aggregation with a partial (map-side) step, so a raw id with many
     entries collapses before the shuffle.
     """
-    latest = F.max_by(F.struct("processed", "error", "attempts", "at"), F.col("seq"))
+    latest = F.max_by(F.struct("processed", "error", "attempts", "at"), F.struct("seq", "at"))
     return (log.groupBy("raw_id")
             .agg(latest.alias("s"), F.max("seq").alias("seq"))
             .select("raw_id", "s.processed", "s.error", "s.attempts", "s.at", "seq"))
@@ -113,15 +126,27 @@ def with_status(raw: DataFrame, status: DataFrame) -> DataFrame:
     return raw.join(status.drop("at"), "raw_id", "left")
 
 
-def pending(raw: DataFrame, status: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """Raw rows still to process: not processed and under the attempt limit."""
+def pending(raw: DataFrame, status: DataFrame, max_attempts: int | None = None) -> DataFrame:
+    """Raw rows still to process: every unprocessed one.
+
+    The count of attempts is information, not a limit; a caller that wants a
+    limit passes ``max_attempts`` and finds the rest in :func:`exhausted`.
+    """
+    open_ = with_status(raw, status).where(~F.coalesce(F.col("processed"), F.lit(False)))
+    if max_attempts is None:
+        return open_
+    return open_.where(F.coalesce(F.col("attempts"), F.lit(0)) < max_attempts)
+
+
+def exhausted(raw: DataFrame, status: DataFrame, max_attempts: int) -> DataFrame:
+    """Unprocessed rows that ``pending`` leaves out under the same limit."""
     return (with_status(raw, status)
             .where(~F.coalesce(F.col("processed"), F.lit(False))
-                   & (F.coalesce(F.col("attempts"), F.lit(0)) < max_attempts)))
+                   & (F.coalesce(F.col("attempts"), F.lit(0)) >= max_attempts)))
 
 
 def pending_oldest(raw: DataFrame, status: DataFrame, limit: int = RETRY_BATCH,
-                   max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+                   max_attempts: int | None = None) -> DataFrame:
     """The oldest ``limit`` pending rows."""
     return (pending(raw, status, max_attempts)
             .orderBy(F.col("received_at").asc(), F.col("raw_id").asc())
@@ -184,20 +209,49 @@ def ingest_rate(outcomes: DataFrame, seconds: int = RATE_INTERVAL_SECONDS) -> Da
 def retention(raw: DataFrame, status: DataFrame, cutoff: datetime) -> tuple[DataFrame, DataFrame]:
     """(kept rows, deleted count): processed rows received strictly before ``cutoff`` go.
 
-    Pending rows are kept whatever their age.  Only date partitions up to the
-    cutoff's date can lose rows; later partitions are copied as they are.
+    Pending rows are kept whatever their age.  Only rows up to the cutoff's date
+    are joined with the status; later ones pass as they are.
     """
-    joined = with_status(raw, status)
-    old = F.col("received_at") < F.lit(cutoff).cast("timestamp")
-    drop = old & F.coalesce(F.col("processed"), F.lit(False))
-    kept = joined.where(~drop).select(*raw.columns)
-    deleted = joined.where(drop).agg(F.count("*").alias("deleted"))
+    upto = F.col("received_date") <= F.lit(cutoff.date())
+    old = with_status(raw.where(upto), status)
+    drop = ((F.col("received_at") < F.lit(cutoff).cast("timestamp"))
+            & F.coalesce(F.col("processed"), F.lit(False)))
+    kept = old.where(~drop).select(*raw.columns).unionByName(
+        raw.where(~upto | F.col("received_date").isNull()))
+    deleted = old.where(drop).agg(F.count("*").alias("deleted"))
     return kept, deleted
 
 
-def write_snapshot(df: DataFrame, path: str) -> None:
-    """Write a new snapshot folder; readers switch to it afterwards (no in-place delete)."""
-    df.write.mode("overwrite").partitionBy("received_date").parquet(path)
+def apply_retention(spark, table: str, status: DataFrame, cutoff: datetime) -> int:
+    """Delete processed rows before ``cutoff`` from a stored raw table; return how many.
+
+    ``table`` holds ``received_date=`` folders.  Only the dates up to the
+    cutoff's are read, joined and written again: the new version of each of them
+    is written beside the table and then switched in date by date, so a job that
+    is lost before the switch has changed nothing and one lost within it is
+    finished by the next call with the same cutoff.  Later dates are not touched.
+    """
+    raw = spark.read.parquet(table)
+    old = raw.where(F.col("received_date") <= F.lit(cutoff.date()))
+    joined = with_status(old, status)
+    drop = ((F.col("received_at") < F.lit(cutoff).cast("timestamp"))
+            & F.coalesce(F.col("processed"), F.lit(False)))
+    n = joined.where(drop).count()
+    if n:
+        staged = table.rstrip("/") + "_retained"
+        write_raw(joined.where(~drop).select(*raw.columns), staged, mode="overwrite")
+        # dates that lose all their rows have nothing to write; one row a date
+        gone = (joined.groupBy("received_date").agg(F.count_if(~drop).alias("kept"))
+                .where("kept = 0").select("received_date").collect())
+        # the staged dates replace theirs, the others go
+        kept = spark.read.schema(raw.schema).parquet(staged)
+        (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("received_date").parquet(table))
+        fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for row in gone:
+            path = fs_path(f"{table.rstrip('/')}/received_date={row[0].isoformat()}")
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
 
 
 # ------------------------------------------------------------------ reconciliation

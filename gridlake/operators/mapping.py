@@ -166,16 +166,28 @@ def _raw_struct(v: Column, mapping: CompiledMapping) -> Column:
 
 
 def _canonical_values(raw: Column, mapping: CompiledMapping, int_mode: str) -> dict[str, Column]:
-    """Canonical column -> typed value of one mapping, from its raw-value struct."""
+    """Canonical column -> typed value of one mapping, from its raw-value struct.
+
+    Of several rules for one column the last whose value is present (or has a
+    default) decides, converted by its own type, even if the value cannot be
+    read as the column's type.
+    """
     values = [raw.getField(f"r{j}") for j in range(len(mapping.rules))]
-    fields = map_fields(values, mapping, int_mode)
-    by_target: dict[str, list[Column]] = {}
-    for std, (t, val) in fields.items():
-        name = canonical_name(std)
+    by_target: dict[str, list[tuple[Column | None, Column]]] = {}
+    for x, r in zip(values, mapping.rules):
+        name = canonical_name(r.standard_field)
         if name in DETAIL_COLUMNS:
-            by_target.setdefault(name, []).append(to_canonical(t, val, name))
-    out = {name: (vals[0] if len(vals) == 1 else F.coalesce(*reversed(vals)))
-           for name, vals in by_target.items()}
+            value = to_canonical(native_type(r), rule_output(x, r, int_mode), name)
+            by_target.setdefault(name, []).append((None if r.has_default else x.isNotNull(), value))
+    out = {}
+    for name, rules in by_target.items():
+        expr = None
+        for present, value in rules:            # later rules end up outermost
+            if present is None:
+                expr = value
+            else:
+                expr = F.when(present, value) if expr is None else F.when(present, value).otherwise(expr)
+        out[name] = expr
     out["_error"] = required_error(values, mapping)
     return out
 
@@ -251,9 +263,8 @@ def preview(df: DataFrame, mapping: CompiledMapping, v: str = "v", int_mode: str
 #
 # For large registries: the rules travel with the rows instead of being
 # compiled into the plan.  The active registry becomes one row per source with
-# an array of typed rules (built by Spark, nothing collected), broadcast after
-# a size check and equi-joined on source_id; higher-order functions apply the
-# rules.  Generated code no longer grows with the registry; per row, only the
+# an array of typed rules (built by Spark, nothing collected), equi-joined on
+# source_id; higher-order functions apply the rules.  Generated code no longer grows with the registry; per row, only the
 # rules of the row's own source are touched.
 
 _OPS = ("multiply", "divide", "add", "subtract")
@@ -277,6 +288,7 @@ def rule_arrays(registry: DataFrame) -> DataFrame:
             & (F.abs(k) != F.lit(float("inf")))
         op = F.when(ok & ~((op == "divide") & (k == 0)), op)
         dflt = F.try_parse_json(r["default_json"])
+        dflt = F.when(~F.is_variant_null(dflt), dflt)          # a JSON null is no default
         dtype = F.coalesce(r["data_type"], F.lit(""))
         ntype = (F.when(dtype == "string", "string").when(dtype.isin("int", "float"), "double")
                  .when(dtype == "bool", "boolean").otherwise("string"))
@@ -302,11 +314,13 @@ def _apply_op(x: Column, op: Column, k: Column) -> Column:
 
 
 def map_by_rules(df: DataFrame, registry: DataFrame, *, v: str = "v", source: str = "source_id",
-                 int_mode: str = "keep", valid: str | None = None,
-                 max_broadcast_sources: int = 100_000) -> DataFrame:
-    """Same output as :func:`map_canonical`, with the rules joined in as data."""
-    from .common import broadcast_if_small, project_once
-    rules = broadcast_if_small(rule_arrays(registry), max_broadcast_sources)
+                 int_mode: str = "keep", valid: str | None = None) -> DataFrame:
+    """Same output as :func:`map_canonical`, with the rules joined in as data.
+
+    Spark picks the join by the rules' size in bytes.
+    """
+    from .common import project_once
+    rules = rule_arrays(registry)
     joined = df.join(rules, F.col(source) == F.col("_rule_source"), "left")
     root = as_object_col(F.col(v))
     staged = project_once(joined, root.alias("_root"))

@@ -7,6 +7,7 @@ partitions; sort + limit plans as TakeOrderedAndProject (a per-task top-k).
 
 from __future__ import annotations
 
+import re
 import math
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
@@ -32,6 +33,9 @@ def is_normal() -> Column:
             & (F.col("fault_code") == 0))
 
 
+RFC3339 = re.compile(r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})")
+
+
 def _parse_time(text) -> datetime | None:
     if text is None or text == "":
         return None
@@ -39,11 +43,12 @@ def _parse_time(text) -> datetime | None:
         return text if text.tzinfo else text.replace(tzinfo=timezone.utc)
     if isinstance(text, date):
         return datetime(text.year, text.month, text.day, tzinfo=timezone.utc)
+    if not RFC3339.fullmatch(str(text)):      # anything else is ignored (F4)
+        return None
     try:
-        t = datetime.fromisoformat(str(text).replace("Z", "+00:00"))
+        return datetime.fromisoformat(str(text).replace("Z", "+00:00"))
     except ValueError:
         return None
-    return t if t.tzinfo else t.replace(tzinfo=timezone.utc)
 
 
 def _parse_int(text, default: int) -> int:
@@ -210,7 +215,7 @@ def fault_codes(spark: SparkSession, readings: DataFrame) -> DataFrame:
     """The fault list with how many readings carry each code (S13, 0 when none)."""
     counts = readings.groupBy("fault_code").agg(F.count("*").alias("readings"))
     dim = fault_dim(spark)
-    return (dim.join(F.broadcast(counts.withColumnRenamed("fault_code", "code")), "code", "left")
+    return (dim.join(counts.withColumnRenamed("fault_code", "code"), "code", "left")
             .select("code", "name", "description", "severity", "action",
                     F.coalesce("readings", F.lit(0)).cast("bigint").alias("readings"))
             .orderBy("code"))

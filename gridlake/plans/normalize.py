@@ -72,7 +72,8 @@ class Normalized:
     @cached_property
     def detected_all(self) -> DataFrame:
         if self.plan == "rules":
-            return detect_by_join(self.firsts_all, self.registry, default_source=self.default_source)
+            return detect_by_join(self.firsts_all, self.registry, default_source=self.default_source,
+                                  use_signature=self.use_signature)
         return detect(self.firsts_all, self.mappings, default_source=self.default_source,
                       use_signature=self.use_signature)
 
@@ -184,8 +185,5 @@ def normalize(raw: DataFrame, registry: DataFrame | None = None, *,
             plan = "compiled" if len(mappings) <= COMPILED_PLAN_MAX_SOURCES else "rules"
         if plan == "rules" and registry is None:
             raise ValueError("the rule-array plan needs the registry DataFrame")
-    if not use_signature and plan == "rules":
-        plan = "compiled"
-        mappings = mappings or compile_registry(registry)
     return Normalized(parse(raw), mappings or [], default_source, int_mode, use_signature,
                       plan, registry, raw)

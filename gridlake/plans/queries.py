@@ -68,7 +68,7 @@ def registry(spark: SparkSession) -> DataFrame:
 
 def ingest(spark: SparkSession, sf_dir: str, **kw) -> Normalized:
     prepare(spark)
-    raw = L.land(payloads(spark, sf_dir))
+    raw = L.land(payloads(spark, sf_dir), keep_parsed=True)
     return normalize(raw, registry(spark), **kw)
 
 
@@ -425,7 +425,7 @@ def q_mapping_usage(spark, sf):
         F.size(F.filter("mappings", lambda r: r["transform"] != "")).cast("bigint").alias("transformed_fields"),
         F.array_join(F.transform("mappings", lambda r: r["standard_field"]), ",").alias("targets"))
     used = n.detected.groupBy("source_id").agg(F.count("*").alias("payloads"))
-    return (reg.join(F.broadcast(used), "source_id", "left")
+    return (reg.join(used, "source_id", "left")
             .withColumn("payloads", F.coalesce("payloads", F.lit(0)).cast("bigint")))
 
 
@@ -444,7 +444,7 @@ def q_mapping_lookup(spark, sf):
     """Per payload its mapping's rule count (J1: broadcast join on source_id)."""
     n = ingest(spark, sf)
     reg = R.active(registry(spark)).select("source_id", F.size("mappings").alias("n_rules"))
-    joined = n.detected.join(F.broadcast(reg), "source_id", "inner")
+    joined = n.detected.join(reg, "source_id", "inner")
     return joined.groupBy("source_id", "n_rules").agg(F.count("*").alias("n"))
 
 

@@ -1,9 +1,9 @@
 """Retry of pending raw rows (R2, Q10).
 
-All pending rows under the attempt limit are retried in one distributed job
-(no 100-row batches, so permanently failing rows cannot starve the rest);
-the run reuses the normalisation plan, and request ids that already have a
-stored reading are skipped, so a retry never writes a reading twice.
+All pending rows are retried in one distributed job (no 100-row batches, so
+permanently failing rows cannot starve the rest); the run reuses the
+normalisation plan.  Rows whose request id already has a stored reading are
+duplicates: they are not written again and their status says so.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..catalog import ERR_DUPLICATE
 from ..operators import lifecycle as L
 from .normalize import Normalized, normalize
 
@@ -33,20 +34,29 @@ class Reprocessed:
 
 def reprocess(raw: DataFrame, status: DataFrame, registry: DataFrame, *,
               stored_request_ids: DataFrame | None = None,
-              max_attempts: int = L.MAX_ATTEMPTS, **kw) -> Reprocessed:
+              max_attempts: int | None = None, **kw) -> Reprocessed:
     """Retry pending rows with the current registry; return readings and status entries."""
     pend = L.pending(raw, status, max_attempts)
     todo = pend.select("raw_id", "request_id", "payload", "received_at")
+    dups = None
     if stored_request_ids is not None:
-        todo = todo.join(stored_request_ids.select("request_id").distinct(), "request_id", "left_anti")
+        seen = stored_request_ids.select("request_id").distinct()
+        dups = (todo.select("raw_id", "request_id", "received_at").join(seen, "request_id", "left_semi")
+                .select("raw_id", "received_at", F.lit(ERR_DUPLICATE).alias("error"),
+                        F.lit("duplicate").alias("outcome")))
+        todo = todo.join(seen, "request_id", "left_anti")
     run = normalize(todo, registry, **kw)
-    prev = pend.select("raw_id", F.coalesce("attempts", F.lit(0)).alias("_prev"),
-                       F.coalesce("seq", F.lit(0)).alias("_seq"))
-    entries = (run.outcomes.join(prev, "raw_id", "left")
+    outcomes = run.outcomes.select("raw_id", "received_at", "error", "outcome")
+    if dups is not None:
+        outcomes = outcomes.unionByName(dups)
+    # the previous count is in the status, so payloads are not read again for it
+    prev = status.select("raw_id", F.coalesce("attempts", F.lit(0)).alias("_prev"),
+                         F.coalesce("seq", F.lit(0)).alias("_seq"))
+    entries = (outcomes.join(prev, "raw_id", "left")
                .select("raw_id",
                        F.col("outcome").isin("reading", "duplicate").alias("processed"),
                        "error",
-                       (F.col("_prev") + 1).cast("int").alias("attempts"),
+                       (F.coalesce("_prev", F.lit(0)) + 1).cast("int").alias("attempts"),
                        F.col("received_at").alias("at"),
-                       (F.col("_seq") + 1).cast("bigint").alias("seq")))
+                       (F.coalesce("_seq", F.lit(0)) + 1).cast("bigint").alias("seq")))
     return Reprocessed(run, entries)

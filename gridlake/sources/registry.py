@@ -223,7 +223,7 @@ def from_requests(requests: DataFrame, text_col: str = "body",
     rules = F.transform(F.col("q.mappings"), lambda r: F.struct(
         r["source_field"].alias("source_field"), r["standard_field"].alias("standard_field"),
         r["data_type"].alias("data_type"), F.coalesce(r["transform"], F.lit("")).alias("transform"),
-        F.when(r["default_value"].isNotNull(), F.to_json(r["default_value"])).alias("default_json"),
+        F.when(~F.is_variant_null(r["default_value"]), F.to_json(r["default_value"])).alias("default_json"),
         F.coalesce(r["required"], F.lit(False)).alias("required")))
     return req.select(
         F.col("q.source_id").alias("source_id"), F.lit(1).cast("bigint").alias("version"),

@@ -1,25 +1,28 @@
 """Continuous ingest as a Structured Streaming job.
 
 ``readStream`` (files) -> ``foreachBatch``: every micro-batch re-reads the
-registry (T3), runs the batch normalisation plan, drops request ids already
-stored within the dedupe horizon (T4), and writes readings, rejects, status
-entries and a batch log row into ``batch_id=<n>`` folders with overwrite, so
-a replayed batch after a failure rewrites the same folder (idempotent sink on
-top of the checkpointed source offsets).  The trigger plays the role of the
-reference's batch writer flush (S16/T2): ``processingTime`` for a flush
-interval, ``availableNow`` to drain and stop.
+registry (T3), runs the batch normalisation plan, treats request ids that any
+earlier batch stored as duplicates (T4, W8; for all time), and writes raw rows,
+readings, rejects, status entries, a batch log row and the new request ids into
+``batch_id=<n>`` folders with overwrite.
+
+A batch only looks at folders of smaller batch ids, never at its own, and writes
+its request ids last, so replaying a batch after a failure at any point gives
+the same folders again.  Strict mode refuses a batch before anything is written.
+The trigger plays the role of the batch writer's flush (S16/T2):
+``processingTime`` for a flush interval, ``availableNow`` to drain and stop.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import timedelta
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..catalog import (BATCH_SIZE_BOUNDS, DEFAULT_FLUSH_INTERVAL_MS, FLUSH_INTERVAL_MS_BOUNDS,
+from ..catalog import (BATCH_SIZE_BOUNDS, DEFAULT_FLUSH_INTERVAL_MS, ERR_DUPLICATE, FLUSH_INTERVAL_MS_BOUNDS,
                        RATE_INTERVAL_SECONDS)
 from ..operators import lifecycle as L
 from ..operators.intake import request_id_of
@@ -36,7 +39,6 @@ class StreamConfig:
     checkpoint: str
     flush_interval_ms: int = DEFAULT_FLUSH_INTERVAL_MS
     max_files_per_trigger: int | None = None
-    dedupe_horizon: timedelta = timedelta(hours=1)
     strict: bool = False
     default_source: str | None = None
     extra: dict = field(default_factory=dict)
@@ -57,13 +59,18 @@ def check_batch_size(n: int) -> int:
     return n
 
 
-def _stored_ids(spark: SparkSession, cfg: StreamConfig, since) -> DataFrame | None:
-    """Request ids stored by earlier batches, received within the dedupe horizon."""
+IDS_SCHEMA = "request_id string, received_at timestamp, batch_id bigint"
+
+
+def _stored_ids(spark: SparkSession, cfg: StreamConfig, batch_id: int) -> DataFrame | None:
+    """Request ids stored by earlier batches; None before the first batch has stored any."""
     try:
-        ids = spark.read.parquet(cfg.path("ids"))
-    except Exception:  # nothing written yet
+        ids = spark.read.schema(IDS_SCHEMA).parquet(cfg.path("ids"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return ids.where(F.col("received_at") >= F.lit(since)).select("request_id")
+    return ids.where(F.col("batch_id") < batch_id).select("request_id")
 
 
 def make_batch_writer(cfg: StreamConfig, registry_loader: Callable[[SparkSession], DataFrame]):
@@ -73,33 +80,29 @@ def make_batch_writer(cfg: StreamConfig, registry_loader: Callable[[SparkSession
         spark = batch.sparkSession
         prepare(spark)
         batch = batch.persist()
-        run = None
+        run = late_dups = None
         try:
-            first = batch.agg(F.min("received_at").alias("m")).first()["m"]
-            if first is None:
+            if batch.isEmpty():
                 return
             landed = L.land(batch.withColumn("source_ip", F.lit("")))
             suffix = f"batch_id={batch_id}"
-            L.write_raw(landed, f"{cfg.path('raw')}/{suffix}", mode="overwrite")   # S2/S3
-            raw = landed
-            stored = _stored_ids(spark, cfg, first - cfg.dedupe_horizon)
-            late_dups = None
+            stored, raw = _stored_ids(spark, cfg, batch_id), landed
             if stored is not None:
-                late_dups = raw.join(stored, "request_id", "left_semi")
-                raw = raw.join(stored, "request_id", "left_anti")
+                # the batch's ids are the small side, whatever has been stored so far
+                seen = stored.join(landed.select("request_id").distinct(), "request_id", "left_semi").distinct()
+                late_dups = landed.join(seen, "request_id", "left_semi").select(
+                    "raw_id", "request_id", "received_at", F.lit(ERR_DUPLICATE).alias("error"),
+                    F.lit("duplicate").alias("outcome"), F.lit(False).alias("fault")).persist()
+                raw = landed.join(seen, "request_id", "left_anti")
             run = normalize(raw, registry_loader(spark), default_source=cfg.default_source).persist()
+            if cfg.strict and (n_bad := run.rejects.count()):
+                raise RuntimeError(f"strict mode: {n_bad} rejected payloads in batch {batch_id}")
+            outcomes = run.outcomes if late_dups is None else run.outcomes.unionByName(late_dups)
+            L.write_raw(landed, f"{cfg.path('raw')}/{suffix}", mode="overwrite")   # S2/S3
             write_readings(run.readings, f"{cfg.path('readings')}/{suffix}", mode="overwrite")
             run.rejects.write.mode("overwrite").parquet(f"{cfg.path('rejects')}/{suffix}")
-            outcomes = run.outcomes
-            if late_dups is not None:
-                outcomes = outcomes.unionByName(late_dups.select(
-                    "raw_id", "request_id", "received_at",
-                    F.lit("duplicate request_id").alias("error"),
-                    F.lit("duplicate").alias("outcome"), F.lit(False).alias("fault")))
             status = L.landing_status(landed).unionByName(L.outcome_status(outcomes))
             status.write.mode("overwrite").parquet(f"{cfg.path('status')}/{suffix}")
-            outcomes.where(F.col("outcome") != "duplicate").select("request_id", "received_at") \
-                .write.mode("overwrite").parquet(f"{cfg.path('ids')}/{suffix}")
             counts = outcomes.agg(
                 F.count("*").alias("records"),
                 F.count_if(F.col("outcome") == "reading").alias("readings"),
@@ -108,13 +111,14 @@ def make_batch_writer(cfg: StreamConfig, registry_loader: Callable[[SparkSession
             log = counts.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*",
                                 F.current_timestamp().alias("flushed_at"))
             log.write.mode("overwrite").parquet(f"{cfg.path('batches')}/{suffix}")
-            if cfg.strict:
-                n_bad = log.first()["rejects"]
-                if n_bad:
-                    raise RuntimeError(f"strict mode: {n_bad} rejected payloads in batch {batch_id}")
+            # last: from now on the ids count as stored
+            outcomes.where(F.col("outcome") != "duplicate").select("request_id", "received_at") \
+                .write.mode("overwrite").parquet(f"{cfg.path('ids')}/{suffix}")
         finally:
             if run is not None:
                 run.unpersist()
+            if late_dups is not None:
+                late_dups.unpersist()
             batch.unpersist()
 
     return write_batch
@@ -163,18 +167,18 @@ def batch_stats(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
 
 
 def run_available_now(spark: SparkSession, raw_rows: DataFrame, registry: DataFrame,
-                      files: int = 8, max_files_per_trigger: int = 4) -> DataFrame:
+                      max_files_per_trigger: int = 4) -> DataFrame:
     """Stage ``raw_rows`` as input files, drain them with an availableNow stream,
     and return the readings written by the stream.
 
-    Input files are split by event so every resend sits in the same file as its
-    first copy (file order across a stream is not a time order).
+    Input files are split by request id, so every resend sits in the same file as
+    its first copy (file order across a stream is not a time order); there are as
+    many as the session's shuffle has partitions.
     """
     prepare(spark)
     base = scratch_path(spark, "stream")
     source = f"{base}/input"
-    key = F.regexp_extract(F.col("raw_id"), r"^(.*)-\d+$", 1)
-    raw_rows.repartition(files, key).write.mode("overwrite").parquet(source)
+    L.land(raw_rows).repartition("request_id").select(*raw_rows.columns).write.mode("overwrite").parquet(source)
     reg_path = f"{base}/registry"
     registry.write.mode("overwrite").parquet(reg_path)
     cfg = StreamConfig(sink=f"{base}/sink", checkpoint=f"{base}/checkpoint",

@@ -23,7 +23,7 @@ def test_landing_keeps_text_and_ids(spark):
     assert rows[0]["received_date"].isoformat() == "2025-11-17"
 
 
-def test_status_retry_and_attempt_limit_q10(spark, registry):
+def test_status_and_retry_without_limit_q10(spark, registry):
     raw = L.land(raw_frame(spark, [json.dumps(GOOD), json.dumps(UNKNOWN), "{bad"]))
     n = normalize(raw, registry)
     log = L.landing_status(raw).unionByName(L.outcome_status(n.outcomes))
@@ -40,16 +40,54 @@ def test_status_retry_and_attempt_limit_q10(spark, registry):
     status2 = L.current_status(log.unionByName(rep.status))
     by_id = {r["raw_id"]: r for r in status2.collect()}
     assert by_id["raw-1-0"]["processed"] and by_id["raw-2-0"]["attempts"] == 2
-    # the broken row stays pending until the attempt limit
-    log3 = log.unionByName(rep.status).unionByName(
-        L.mark(spark.createDataFrame([("raw-2-0",)], "raw_id string"), False, "invalid JSON", 9)
-        .withColumn("attempts", F.lit(3)))
-    assert L.pending(raw, L.current_status(log3)).count() == 0
-
-
-def test_mark_rejects_malformed_ids(spark):
-    ids = spark.createDataFrame([("raw-1-0",), ("bogus id",), ("0123456789abcdef01234567",)], "raw_id string")
-    assert L.mark(ids, True, None, 5).count() == 2
+    # the broken row stays pending however often it was tried; a limit is the caller's choice
+    log3 = log.unionByName(rep.status)
+    for _ in range(5):
+        now = L.current_status(log3)
+        again, _unknown = L.mark(spark.createDataFrame([("raw-2-0",)], "raw_id string"), raw, False, "invalid JSON", now)
+        log3 = spark.createDataFrame(log3.unionByName(again).collect(), log3.schema)
+    status3 = L.current_status(log3)
+    assert L.pending_oldest(raw, status3).count() == L.raw_stats(status3).first()["unprocessed"] == 1
+    assert L.pending(raw, status3, max_attempts=3).count() == 0
+    assert [r["raw_id"] for r in L.exhausted(raw, status3, 3).collect()] == ["raw-2-0"]
+
+
+def test_reprocess_marks_rows_of_stored_ids(spark, registry):
+    raw = L.land(raw_frame(spark, [json.dumps(GOOD), json.dumps(dict(GOOD, request_id="g2"))]))
+    status = L.current_status(L.landing_status(raw))
+    stored = spark.createDataFrame([("g1",)], "request_id string")
+    rep = reprocess(raw, status, registry, stored_request_ids=stored)
+    assert [r["request_id"] for r in rep.readings.collect()] == ["g2"]
+    now = L.current_status(L.landing_status(raw).unionByName(rep.status))
+    assert L.pending(raw, now).count() == 0
+    assert now.where("raw_id = 'raw-0-0'").first()["error"] == "duplicate request_id"
+
+
+def test_mark_takes_any_landed_id_and_reports_unknown(spark):
+    ids = ["9f1c2d3e-0000-4000-8000-000000000001", "late-raw-0-0", "raw-1-0"]
+    raw = L.land(raw_frame(spark, ["{}"] * 3).withColumn(
+        "raw_id", F.element_at(F.array(*map(F.lit, ids)), F.substring("raw_id", 5, 1).cast("int") + 1)))
+    asked = spark.createDataFrame([(i,) for i in [*ids, ids[0], "never landed"]], "raw_id string")
+    entries, unknown = L.mark(asked, raw, True, None)
+    assert sorted(r["raw_id"] for r in entries.collect()) == sorted(ids)
+    assert [tuple(r) for r in unknown.collect()] == [("never landed", "unknown raw id")]
+
+
+def test_apply_retention_rewrites_old_dates_only(spark, registry, tmp_path):
+    import os
+    texts = [json.dumps(dict(GOOD, request_id=f"g{i}")) for i in range(3)] + ["{bad"]
+    days = ["2025-11-15 06:00:00", "2025-11-16 06:00:00", "2025-11-17 06:00:00", "2025-11-16 07:00:00"]
+    raw = L.land(raw_frame(spark, texts).withColumn(
+        "received_at", F.element_at(F.array(*map(F.lit, days)), F.substring("raw_id", 5, 1).cast("int") + 1).cast("timestamp")))
+    path = str(tmp_path / "raw")
+    L.write_raw(raw, path)
+    status = L.current_status(L.landing_status(raw).unionByName(L.outcome_status(normalize(raw, registry).outcomes)))
+    later = sorted(os.listdir(f"{path}/received_date=2025-11-17"))
+    assert L.apply_retention(spark, path, status, datetime(2025, 11, 16, 23)) == 2
+    assert sorted(r["raw_id"] for r in spark.read.parquet(path).collect()) == ["raw-2-0", "raw-3-0"]
+    assert sorted(os.listdir(f"{path}/received_date=2025-11-17")) == later
+    assert not os.path.exists(f"{path}/received_date=2025-11-15")
+    assert L.apply_retention(spark, path, status, datetime(2025, 11, 16, 23)) == 0
 
 
 def test_retention_r3(spark, registry):
@@ -117,6 +155,62 @@ def test_stream_matches_batch_and_is_idempotent(spark, registry, tmp_path):
     assert spark.read.parquet(cfg.path("raw")).count() == len(texts) + 2
 
 
+def _stream_setup(spark, registry, tmp_path, texts):
+    from gridlake.streaming.ingest import StreamConfig
+    src, reg = str(tmp_path / "in"), str(tmp_path / "reg")
+    raw_frame(spark, texts).select("raw_id", "payload", "received_at").coalesce(1).write.parquet(src)
+    registry.write.parquet(reg)
+    return src, reg, StreamConfig(sink=str(tmp_path / "sink"), checkpoint=str(tmp_path / "ckpt"))
+
+
+def _drain(spark, src, reg, cfg):
+    from gridlake.streaming.ingest import start_ingest
+    q = start_ingest(spark, src, cfg, lambda s: s.read.parquet(reg), available_now=True)
+    try:
+        q.awaitTermination()
+    except Exception:                                   # noqa: BLE001 the planted failure
+        return False
+    return q.exception() is None
+
+
+def test_replayed_batch_keeps_its_rows(spark, registry, tmp_path, monkeypatch):
+    """A batch that fails after any of its writes gives the same folders when it is replayed."""
+    from pyspark.sql import DataFrameWriter
+    texts = [json.dumps(dict(GOOD, request_id=f"r{i}")) for i in range(4)] + ["bad", json.dumps(dict(GOOD, request_id="r1"))]
+    src, reg, cfg = _stream_setup(spark, registry, tmp_path, texts)
+    real = DataFrameWriter.parquet
+    for fail_after in ("raw", "readings", "rejects", "status", "batches", "ids"):
+        def parquet(self, path, *a, **k):
+            real(self, path, *a, **k)
+            if f"/sink/{fail_after}/" in path:
+                raise RuntimeError("planted")
+        monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+        assert not _drain(spark, src, reg, cfg)
+        monkeypatch.setattr(DataFrameWriter, "parquet", real)
+    assert _drain(spark, src, reg, cfg)
+    count = lambda name: spark.read.parquet(cfg.path(name)).count()      # noqa: E731
+    assert (count("readings"), count("rejects"), count("ids"), count("raw")) == (4, 1, 5, 6)
+
+
+def test_strict_mode_refuses_before_writing(spark, registry, tmp_path):
+    import dataclasses
+    src, reg, cfg = _stream_setup(spark, registry, tmp_path, [json.dumps(GOOD), "bad"])
+    assert not _drain(spark, src, reg, dataclasses.replace(cfg, strict=True))
+    assert not (tmp_path / "sink" / "readings").exists()
+    assert _drain(spark, src, reg, cfg)
+    assert spark.read.parquet(cfg.path("readings")).count() == 1
+
+
+def test_resend_a_day_later_is_stored_once(spark, registry, tmp_path):
+    src, reg, cfg = _stream_setup(spark, registry, tmp_path, [json.dumps(GOOD)])
+    assert _drain(spark, src, reg, cfg)
+    raw_frame(spark, [json.dumps(GOOD)], start="2025-11-18 09:00:00").select("raw_id", "payload", "received_at") \
+        .withColumn("raw_id", F.lit("resend")).write.mode("append").parquet(src)
+    assert _drain(spark, src, reg, cfg)
+    assert spark.read.parquet(cfg.path("readings")).count() == 1
+    assert spark.read.parquet(cfg.path("status")).where("raw_id = 'resend' and processed").count() == 1
+
+
 def test_stream_rate_and_dedupe(spark, tmp_path):
     from gridlake.streaming.ingest import dedupe_stream, stream_ingest_rate
     src = str(tmp_path / "in2")
