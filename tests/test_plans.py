@@ -156,3 +156,31 @@ def test_points_roundtrip_absent_fields_s5_s6(spark):
     p = to_points(n.readings).select(tag_set(F.col("tags")).alias("t"), "measurement").first()
     assert p["measurement"] == "inverter_data"
     assert p["t"] == "device_id=unknown,device_name=unknown,device_type=Inv,source=solar_monitoring"
+
+
+def test_payload_parsed_once_through_land(spark, registry):
+    from gridlake.operators.lifecycle import land
+    raw = land(raw_frame(spark, [json.dumps(p) for p in PAYLOADS]), keep_parsed=True)
+    assert optimized(normalize(raw, registry).readings).count("parseJson") <= 1
+
+
+def test_both_plans_agree_on_conflicting_rules(spark):
+    """Mixed types, unreadable later rules, JSON null defaults and odd key names."""
+    from gridlake.sources.registry import registry_frame
+    conflicts = [("alarm1", "alarm_1", "int", "", None, False), ("alarm1", "alarm_1", "string", "", None, False),
+                 ("p", "power", "float", "", None, False), ("txt", "total_output_power", "string", "", None, False),
+                 ("a'b", "serial_no", "string", "", None, False), ('q"r', "model_no", "string", "", None, False),
+                 ("t", "temperature", "float", "", None, True)]
+    texts = [json.dumps(p) for p in (
+        {"request_id": "1", "source_id": "s00", "alarm1": 3, "p": 3, "txt": "no number", "a'b": "x", 'q"r': "y", "t": 1},
+        {"request_id": "2", "source_id": "s00", "p": 5, "t": 2}, {"request_id": "3", "source_id": "s00", "p": 5},
+        {"request_id": "4", "source_id": "s01", "alarm1": 1, "t": None})]
+    for n in (2, 9):
+        specs = [{"source_id": f"s{i:02d}", "nested_path": "", "rules": conflicts} for i in range(n)]
+        reg = registry_frame(spark, specs)
+        got = []
+        for plan in ("compiled", "rules"):
+            run = normalize(raw_frame(spark, texts), reg, plan=plan)
+            got.append((sorted(map(str, run.readings.collect())), sorted(map(str, run.rejects.collect()))))
+        assert got[0] == got[1]
+        assert len(got[0][0]) + len(got[0][1]) == 4
