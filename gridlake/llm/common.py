@@ -82,60 +82,63 @@ EDGES_PER_PASS = 1 << 20
 
 
 def _contract(batches):
-    """Replace each run of edges by star edges to the smallest member (same connectivity)."""
-    def flush(parts):
-        a = np.concatenate([p[0] for p in parts])
-        b = np.concatenate([p[1] for p in parts])
+    """Replace a task's edges by star edges to the smallest member of each set they connect.
+
+    Edges come ordered by ``a``; runs of about ``EDGES_PER_PASS`` are contracted
+    at a time, all edges of one ``a`` together.  ``moved`` says whether a run was
+    anything but such stars before.
+    """
+    def flush(a, b):
         nodes, roots = _roots(a, b)
         keep = nodes != roots
+        edges = np.unique(np.stack([a, b], axis=1)[a != b], axis=0)
+        at = np.searchsorted(nodes, edges[:, 0])
+        moved = len(edges) != keep.sum() or not np.array_equal(roots[at], edges[:, 1])
         return pa.RecordBatch.from_arrays(
-            [pa.array(nodes[keep]), pa.array(roots[keep])], names=["a", "b"])
+            [pa.array(nodes[keep]), pa.array(roots[keep]), pa.array(np.full(keep.sum(), moved))],
+            names=["a", "b", "moved"])
 
-    parts, n = [], 0
+    a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    held = []
     for batch in batches:
         if batch.num_rows:
-            parts.append((batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64),
-                          batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)))
-            n += batch.num_rows
-        if n >= EDGES_PER_PASS:
-            yield flush(parts)
-            parts, n = [], 0
-    if parts:
-        yield flush(parts)
+            held.append((batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)))
+        if sum(len(h[0]) for h in held) >= EDGES_PER_PASS:
+            a, b = (np.concatenate(c) for c in zip(*held))
+            cut = int(np.searchsorted(a, a[-1]))          # the last node may go on
+            if cut:
+                yield flush(a[:cut], b[:cut])
+            held = [(a[cut:], b[cut:])]
+    if held:
+        yield flush(*(np.concatenate(c) for c in zip(*held)))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (first two columns: node ids, bigint).
 
     Returns ``(id, component)`` for every node that has an edge; ``component``
-    is the smallest id reachable.  Large-star / small-star rounds: every round
-    is two aggregations and two joins over the whole edge set, so nothing is
-    gathered on the driver or in one task, and a hub's edges are only ever
-    reduced by ``min`` before a shuffle.  Each round is written to the shared
-    folder.  Edges with a null end and self edges are ignored.
+    is the smallest id reachable.  A round brings the edges of each node together,
+    contracts every task's edges to stars, and lets each node follow its root's
+    own edge, until nothing moves (about the logarithm of the longest chain).
+    After a contraction a node has at most one edge a task, so a hub never
+    gathers more edges than there are tasks; nothing goes to the driver but
+    two counts a round.  Each round is written to the shared folder.  Edges
+    with a null end and self edges are ignored.
     """
-    a, b = edges.columns[:2]
-    pairs = (edges.select(F.col(a).cast("bigint").alias("a"), F.col(b).cast("bigint").alias("b"))
-             .where("a is not null and b is not null"))
-    current = stored(pairs.mapInArrow(_contract, "a bigint, b bigint")
-                     .where("a <> b").distinct(), "cc-start")
-    mark = None
+    x, y = edges.columns[:2]
+    ends = [F.col(c).cast("bigint") for c in (x, y)]
+    schema = "a bigint, b bigint, moved boolean"
+    current = (edges.select(F.greatest(*ends).alias("a"), F.least(*ends).alias("b"))
+               .where(ends[0].isNotNull() & ends[1].isNotNull() & (ends[0] != ends[1])).select("a", "b")
+               .sortWithinPartitions("a").mapInArrow(_contract, schema))
     while True:
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state[0] == 0 or state == mark:
+        stars = stored(current.select("a", "b").repartition("a").sortWithinPartitions("a")
+                       .mapInArrow(_contract, schema), "components")
+        up = stars.select(F.col("a").alias("b"), F.col("b").alias("up"))
+        current = stored(stars.join(up, "b", "left").select(
+            "a", F.coalesce("up", "b").alias("b"), (F.col("moved") | F.col("up").isNotNull()).alias("moved")),
+            "components")
+        if current.where("moved").isEmpty():
             break
-        mark = state
-        both = current.union(current.select("b", "a")).toDF("u", "v")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-                 .where("a <> b").distinct())
-        # every edge now points from the larger to the smaller end
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(least, "a")
-                 .select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
-                         F.col("m").alias("b"))
-                 .where("a <> b").distinct())
-        current = stored(small, "cc-round")
     members = current.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    roots = current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
-    return members.union(roots)
+    return members.union(current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
