@@ -27,7 +27,6 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -81,24 +80,28 @@ def features(data: np.ndarray, offsets: np.ndarray):
 
 
 def _feature_sets(batches):
-    """(label, pick, text) -> (label, pick, features as u32 bytes)."""
+    """(label, pick, text) -> (label, pick, features as u32 bytes, each less the one before)."""
     for batch in batches:
         sets = []
         for _, data, offsets in slices(batch["text"]):
             text, feat = features(data, offsets)
             cuts = np.searchsorted(text, np.arange(len(offsets)))
             f = feat.astype("<u4")
-            sets += [f[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+            sets += [np.diff(f[a:b], prepend=f[:1] * 0).tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
         yield pa.RecordBatch.from_arrays([batch["label"], batch["pick"], pa.array(sets, pa.binary())],
                                          names=["label", "pick", "feats"])
 
 
+def _unpack(raw) -> np.ndarray:
+    return np.cumsum(np.frombuffer(raw, "<u4"), dtype=np.int64)
+
+
 def _count(batches):
     """Sum feature counts per label over a task's rows before anything is shuffled."""
     total = np.zeros((2, FEATURES), np.int64)
     for batch in batches:
         for y, f in zip(batch["label"].to_numpy(), batch["feats"]):
-            total[y][np.frombuffer(f.as_py(), "<u4")] += 1      # a set: no feature twice
+            total[y][_unpack(f.as_py())] += 1      # a set: no feature twice
     used = np.flatnonzero(total.any(axis=0))
     for a in range(0, len(used), 50_000):
         u = used[a:a + 50_000]
@@ -194,10 +197,10 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
     bound = int(share * (1 << 63)) - 1
     sample = sets.where(F.expr("pick & 9223372036854775807") <= bound).orderBy("pick").limit(fit_rows)
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pick", kind="stable")
-        sets_ = [np.frombuffer(f, "<u4") for f in pdf["feats"]]
-        y01 = pdf["label"].to_numpy()
+    def solve(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("pick", "ascending"), ("feats", "ascending")])
+        sets_ = [_unpack(f.as_py()) for f in rows["feats"]]
+        y01 = rows["label"].to_numpy()
         y = np.where(y01 == 1, 1.0, -1.0)
         # both labels weigh the same in the loss
         share1 = min(max(y01.mean(), 1e-6), 1 - 1e-6)
@@ -214,9 +217,9 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
             margin[out] = _margins([sets_[i] for i in out], scale, w)
         a, b = _sigmoid_fit(margin, y01)
         w = weights(every)
-        return pd.DataFrame({"w": [w.astype("<f8").tobytes()], "a": [a], "b": [b]})
+        return pa.table({"w": pa.array([w.astype("<f8").tobytes()], pa.binary()), "a": [a], "b": [b]})
 
-    out = sample.groupBy(F.lit(0).alias("model")).applyInPandas(solve, "w binary, a double, b double").first()
+    out = sample.groupBy(F.lit(0).alias("model")).applyInArrow(solve, "w binary, a double, b double").first()
     return {"scale": scale.astype(np.float32), "w": np.frombuffer(out["w"], "<f8").astype(np.float32),
             "a": out["a"], "b": out["b"]}
 
@@ -273,9 +276,14 @@ def held_out(doc_id="doc_id"):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Labelled rows outside the held-out fold.
+
+    The labels are hashed, never the texts sorted, and the join is the same
+    shuffle at every size, as labels grow with the corpus.
+    """
     marks = labels.select("doc_id", F.col("quality").alias("label")).where("doc_id is not null and label in (0, 1)")
     return (docs.where(~held_out()).select("doc_id", "text")
-            .join(marks.where(~held_out()), "doc_id"))
+            .join(marks.where(~held_out()).hint("shuffle_hash"), "doc_id"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_rows: int = FIT_ROWS) -> DataFrame:
