@@ -184,3 +184,21 @@ def test_both_plans_agree_on_conflicting_rules(spark):
             got.append((sorted(map(str, run.readings.collect())), sorted(map(str, run.rejects.collect()))))
         assert got[0] == got[1]
         assert len(got[0][0]) + len(got[0][1]) == 4
+
+
+def test_read_queries_prune_the_stored_table(spark):
+    from gridlake.plans.queries import QUERIES
+    plan = physical(QUERIES["records_filter"](spark, "/root/testdata/sf0.001"))
+    assert "parseJson" not in plan and "Window" not in plan
+    assert "PartitionFilters: [isnotnull(ts_date" in plan and "EqualTo(device_id,INV-0042)" in plan
+    power = physical(QUERIES["device_power"](spark, "/root/testdata/sf0.001"))
+    schema = power[power.index("ReadSchema"):]
+    assert "serial_no" not in schema and "total_output_power" in schema
+
+
+def test_reconcile_finds_rows_missing_from_the_store(spark, registry):
+    from gridlake.operators import lifecycle as L
+    raw = L.land(raw_frame(spark, [json.dumps(dict(PAYLOADS[4], request_id=f"q{i}")) for i in range(4)]))
+    n = normalize(raw, registry)
+    r = L.reconcile(n.outcomes, n.readings.where("request_id <> 'q2'")).first()
+    assert (r["inserted_count"], r["total_records"], r["discrepancy"], r["missing"]) == (4, 3, 1, 1)
