@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import (DOUBLE_DETAILS, ERR_NO_DATA, EXPECTED_DETAILS, EXPECTED_ENVELOPE,
-                       EXPECTED_FALLBACK_LAYOUT, EXPECTED_RENAMES, STRING_DETAILS)
-from ..functions.variant import as_object, is_integer, is_number, is_string, raw_double, string_if_string
+                       EXPECTED_FALLBACK_LAYOUT, EXPECTED_RENAMES, RECORD_ALIASES, STRING_DETAILS)
+from ..functions.variant import (as_object, get_int, is_integer, is_number, is_string, number_value,
+                                 raw_double, string_if_string, to_string)
 from .intake import vget
 
 NUMERIC_PREFIX = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
@@ -83,3 +84,27 @@ def to_document(df: DataFrame, columns: list[str], out: str = "document") -> Dat
         else:
             fields.append(F.col(c))
     return df.withColumn(out, F.to_json(F.struct(*fields)))
+
+
+def coalesce_aliases(df: DataFrame, v: str = "v", keep: list[str] | None = None) -> DataFrame:
+    """The canonical columns of payloads with a ``data`` object, short key before long key.
+
+    A column is the first of its keys whose value can be read as the column's
+    type, else 0 or "".  Rows without a ``data`` object have no canonical columns
+    and are left out.
+    """
+    rows = df.select(*[F.col(c) for c in (keep or [])], as_object(vget(F.col(v), "data")).alias("_d")) \
+             .where(F.col("_d").isNotNull())
+    def read(key: str, target: str) -> Column:
+        x = F.col("_d").getItem(key)
+        if target in STRING_DETAILS:
+            return F.when(x.isNotNull(), to_string(x))
+        if target in DOUBLE_DETAILS:
+            return number_value(x)
+        return F.when(x.isNotNull(), get_int(F.col("_d"), key, 0)).cast("bigint")
+
+    zero = {"s": F.lit(""), "d": F.lit(0.0), "l": F.lit(0).cast("bigint")}
+    out = [F.coalesce(*[read(k, target) for k in keys],
+                      zero["s" if target in STRING_DETAILS else "d" if target in DOUBLE_DETAILS else "l"]).alias(target)
+           for target, keys in RECORD_ALIASES.items()]
+    return rows.select(*(keep or []), *out)

@@ -256,8 +256,13 @@ def _alias_canonical() -> str:
         CASE WHEN kind = 'view' THEN {_d(2300)} ELSE {z} END AS grid_voltage_r,
         CASE WHEN kind = 'view' THEN {_d('k')} ELSE {z} END AS inverter_temp,
         CASE kind WHEN 'view' THEN {_d(5000)} WHEN 'click' THEN {_d(50000)} ELSE {z} END AS frequency,
+        '' AS slave_id,
+        {z} AS pv1_current, {z} AS pv2_voltage, {z} AS pv2_current, {z} AS pv3_voltage, {z} AS pv3_current,
+        {z} AS pv4_voltage, {z} AS pv4_current, {z} AS grid_voltage_s, {z} AS grid_voltage_t,
+        {z} AS grid_current_r, {z} AS grid_current_s, {z} AS grid_current_t,
         CAST(0 AS BIGINT) AS alarm_1,
-        CASE WHEN kind = 'view' THEN k % 3 ELSE 0 END AS alarm_2
+        CASE WHEN kind = 'view' THEN k % 3 ELSE 0 END AS alarm_2,
+        CAST(0 AS BIGINT) AS alarm_3
         FROM obj WHERE kind <> 'error'""")
 
 

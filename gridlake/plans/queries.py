@@ -200,37 +200,7 @@ def q_short_keys(spark, sf):
 
 
 def q_alias_canonical(spark, sf):
-    n = ingest(spark, sf)
-    data = as_object(vget(F.col("v"), "data"))
-    from ..catalog import RECORD_ALIASES
-
-    def first_of(keys, getter, default):
-        parts = [getter(F.col("_d"), k, None) for k in keys]
-        return F.coalesce(*parts, F.lit(default))
-
-    def fget(m, k, _d):
-        x = m.getItem(k)
-        from ..functions.variant import number_value
-        return number_value(x)
-
-    def sget(m, k, _d):
-        x = m.getItem(k)
-        from ..functions.variant import to_string
-        return F.when(x.isNotNull(), to_string(x))
-
-    def iget(m, k, _d):
-        x = m.getItem(k)
-        return F.when(x.isNotNull(), get_int(m, k, 0))
-    out = [F.col("request_id")]
-    for c in ["serial_no", "model_name"]:
-        out.append(first_of(RECORD_ALIASES[c], sget, "").alias(c))
-    for c in ["total_output_power", "today_e", "total_e", "pv1_voltage", "grid_voltage_r",
-              "inverter_temp", "frequency"]:
-        out.append(first_of(RECORD_ALIASES[c], fget, 0.0).alias(c))
-    for c in ["alarm_1", "alarm_2"]:
-        out.append(first_of(RECORD_ALIASES[c], iget, 0).cast("bigint").alias(c))
-    return (n.firsts.select("request_id", data.alias("_d"))
-            .where(F.col("_d").isNotNull()).select(*out))
+    return X.coalesce_aliases(ingest(spark, sf).firsts, keep=["request_id"])
 
 
 def q_event_time(spark, sf):
