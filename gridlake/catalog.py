@@ -220,24 +220,6 @@ SEED_MAPPINGS = [
     },
 ]
 
-# Second seed of the legacy layout (scaled s1v, one default only); not seeded
-# by default, kept for tests of re-seeding and versioning.
-LEGACY_SCALED_MAPPING = {
-    "source_id": "current_format",
-    "description": "Legacy format",
-    "nested_path": "data",
-    "rules": [
-        ("serial_no", "serial_no", "string", "", "UNKNOWN", False),
-        ("s1v", "voltage", "int", "multiply:0.1", None, False),
-        ("total_output_power", "power", "int", "", None, False),
-        ("f", "frequency", "int", "", None, False),
-        ("today_e", "today_energy", "int", "", None, False),
-        ("total_e", "total_energy", "int", "", None, False),
-        ("inv_temp", "temperature", "int", "", None, False),
-        ("fault_code", "fault_code", "int", "", None, False),
-    ],
-}
-
 # Sample mapping from the mapping API documentation.
 SAMPLE_MAPPING = {
     "source_id": "MyDevice",
@@ -368,12 +350,8 @@ EXPECTED_DETAILS = STRING_DETAILS + DOUBLE_DETAILS + ["alarm_1", "alarm_2", "ala
 # Limits and defaults of the query surface.
 DEFAULT_LIMIT = 100
 DEFAULT_OFFSET = 0
-PAGE_SIZES = (50, 100, 200, 500)
 RETRY_BATCH = 100
-RETENTION_DAYS = 7
 RATE_INTERVAL_SECONDS = 5
-BATCH_SIZE_BOUNDS = (1, 10000)
 FLUSH_INTERVAL_MS_BOUNDS = (50, 5000)
-DEFAULT_BATCH_SIZE = 100
 DEFAULT_FLUSH_INTERVAL_MS = 200
 LATEST_PER_CODE = 10

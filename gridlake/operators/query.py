@@ -8,7 +8,6 @@ partitions; sort + limit plans as TakeOrderedAndProject (a per-task top-k).
 from __future__ import annotations
 
 import re
-import math
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -16,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..catalog import (DEFAULT_LIMIT, DEFAULT_OFFSET, FAULT_CODES, LATEST_PER_CODE,
-                       MEASUREMENT, STORE_TYPE)
+                       MEASUREMENT)
 
 FAULT_DIM_SCHEMA = "code bigint, name string, description string, severity string, action string"
 
@@ -266,11 +265,3 @@ def list_tables(spark: SparkSession, names: list[str] | None = None) -> DataFram
     if names:
         df = df.where(F.col("tableName").isin(*names))
     return df
-
-
-def store_type() -> str:
-    return STORE_TYPE
-
-
-def total_pages(total: int, size: int) -> int:
-    return math.ceil(total / size) if size > 0 else 0

@@ -77,14 +77,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a file: scheme so Python helpers can use the path."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
 __all__ = ["build_session", "prepare", "ensure_checkpoint_dir", "scratch_path",
-           "local_path", "is_local", "SESSION_CONF"]
+           "SESSION_CONF"]

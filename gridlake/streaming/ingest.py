@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..catalog import (BATCH_SIZE_BOUNDS, DEFAULT_FLUSH_INTERVAL_MS, ERR_DUPLICATE, FLUSH_INTERVAL_MS_BOUNDS,
+from ..catalog import (DEFAULT_FLUSH_INTERVAL_MS, ERR_DUPLICATE, FLUSH_INTERVAL_MS_BOUNDS,
                        RATE_INTERVAL_SECONDS)
 from ..operators import lifecycle as L
 from ..operators.intake import request_id_of
@@ -52,13 +52,6 @@ class StreamConfig:
         return f"{self.sink.rstrip('/')}/{name}"
 
 
-def check_batch_size(n: int) -> int:
-    lo, hi = BATCH_SIZE_BOUNDS
-    if not lo <= n <= hi:
-        raise ValueError(f"batch size must be within {lo}-{hi}")
-    return n
-
-
 IDS_SCHEMA = "request_id string, received_at timestamp, batch_id bigint"
 
 
