@@ -22,8 +22,17 @@ from gridlake.session import scratch_path
 _shipped: set[str] = set()
 
 
+#: Rows of an Arrow batch; with texts of a few kilobytes, a few megabytes.
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application (as ``--py-files`` would)."""
+    """Send this package to the executors, once per application (as ``--py-files`` would).
+
+    Also keeps Arrow batches small, since rows here are whole texts.
+    """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) != BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
@@ -44,12 +53,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back (survives lost executors)."""
+def stored(df: DataFrame, name: str, bucket_by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back (survives lost executors).
+
+    With ``bucket_by`` the files are bucketed like a shuffle of that column, so
+    joins on it leave them in place.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.option("compression", "zstd")
+    if bucket_by is None:
+        writer.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    table_name = path.rsplit("/", 1)[1].replace("-", "_")
+    writer.bucketBy(shuffle_partitions(spark), bucket_by).format("parquet").option("path", path).saveAsTable(table_name)
+    return spark.table(table_name)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -134,7 +152,8 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         stars = stored(current.select("a", "b").repartition("a").sortWithinPartitions("a")
                        .mapInArrow(_contract, schema), "components")
-        up = stars.select(F.col("a").alias("b"), F.col("b").alias("up"))
+        # one pointer a node, so that the join gives as many rows as there are edges
+        up = stars.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("up"))
         current = stored(stars.join(up, "b", "left").select(
             "a", F.coalesce("up", "b").alias("b"), (F.col("moved") | F.col("up").isNotNull()).alias("moved")),
             "components")
