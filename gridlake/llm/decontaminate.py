@@ -4,7 +4,8 @@ Texts are reduced to templates: numbers, units after numbers and names
 (capitalised words inside a sentence) become typed placeholders, other words are
 lower-cased (ASCII), punctuation goes.  Windows of ``WINDOW`` template tokens
 that hold at least ``LITERALS`` plain words are hashed; windows of documents and
-of benchmark items join on hash and then on the template itself.
+of benchmark items join on hash and then on the template itself.  Items are also
+taken as they look inside a sentence, where a capital at their start counts.
 
 Hits of one document, item and alignment (document position less item position)
 are one match.  Its slots must be consistent: one item value may not stand for
@@ -36,7 +37,7 @@ from .textnum import U64, _lower_table, mix, runs, slices, span_hashes
 
 WINDOW = 8
 LITERALS = 5
-MATCHED = 13
+MATCHED = 10
 SHORTEST = 5
 FILTER_BYTES = 16 << 20
 
@@ -186,7 +187,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     # Windows of the items: of WINDOW tokens, and whole shorter items.
     sizes = list(range(SHORTEST, WINDOW + 1))
-    items = stored(texts(benchmark, "item_id").mapInArrow(_emit(sizes, None), SCHEMA)
+    plain = texts(benchmark, "item_id")
+    inside = (plain.withColumn("text", F.concat(F.lit("x ").cast("binary"), "text"))
+              .mapInArrow(_emit(sizes, None), SCHEMA).where("pos > 0")
+              .withColumn("pos", F.col("pos") - 1).withColumn("tokens", F.col("tokens") - 1))
+    items = stored(plain.mapInArrow(_emit(sizes, None), SCHEMA).unionByName(inside)
                    .where((F.col("size") == WINDOW) | (F.col("size") == F.col("tokens"))).distinct(), "bench-windows")
     per_size = {r["size"]: r["count"] for r in items.groupBy("size").count().collect()}      # at most WINDOW rows
     keep = None

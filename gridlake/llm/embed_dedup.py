@@ -29,7 +29,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,14 +106,14 @@ def _join(low: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _tile(tables: int, bits: int, limit: float, kind: str):
     """Rows of a tile -> (class_id, dup, links, parent): rows linked, and the smallest class joined."""
-    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["class_id", "dup"], kind="stable")
-        x, y, tab = int(pdf["x"].iloc[0]), int(pdf["y"].iloc[0]), int(pdf["tab"].iloc[0])
-        side = pdf["block"].to_numpy()
-        v = unit(_matrix(pdf["raw"], kind))
+    def tile(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("class_id", "ascending"), ("dup", "ascending")])
+        x, y, tab = (rows[c][0].as_py() for c in ("x", "y", "tab"))
+        side = rows["block"].to_numpy()
+        v = unit(_matrix(rows["raw"].to_pylist(), kind))
         pats = patterns(v, tables, bits)
         assert (pats[:, tab] == pats[0, tab]).all()
-        ids, weight = pdf["class_id"].to_numpy(), pdf["weight"].to_numpy()
+        ids, weight = rows["class_id"].to_numpy(), rows["weight"].to_numpy()
         left, right = np.flatnonzero(side == x), np.flatnonzero(side == y)
         links, low = np.zeros(len(ids), np.int64), np.arange(len(ids))
         for at in range(0, len(left), 256):         # bounds the working matrices
@@ -131,8 +130,8 @@ def _tile(tables: int, bits: int, limit: float, kind: str):
                 np.add.at(links, b, weight[a])
             low = _join(low, a, b)
         some = links > 0
-        return pd.DataFrame({"class_id": ids[some], "dup": pdf["dup"].to_numpy()[some],
-                             "links": links[some], "parent": ids[low[some]]})
+        return pa.table({"class_id": ids[some], "dup": rows["dup"].to_numpy()[some],
+                         "links": links[some], "parent": ids[low[some]]})
     return tile
 
 
@@ -172,7 +171,7 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataF
              .select("class_id", "dup", "tab", "pattern", "block", F.least("block", "other").alias("x"),
                      F.greatest("block", "other").alias("y"))
              .join(classes.select("class_id", "dup", "raw", "weight"), ["class_id", "dup"]))
-    found = stored(tiles.groupBy("tab", "pattern", "x", "y").applyInPandas(
+    found = stored(tiles.groupBy("tab", "pattern", "x", "y").applyInArrow(
         _tile(tables, bits, min_cosine, kind), "class_id bigint, dup int, links bigint, parent bigint"), "embed-links")
     links = found.groupBy("class_id", "dup").agg(F.sum("links").alias("links"))
     groups = (components(found.select("class_id", "parent"))

@@ -35,7 +35,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -147,8 +146,8 @@ def linked_pairs(left: list, right: list, left_ids, right_ids, labels, num: int,
     found = []
     sizes_l, sizes_r = np.array([len(x) for x in left]), np.array([len(x) for x in right])
     sig_r = np.stack([signature(x) for x in right])
-    forest = _Forest(labels)
     base = 0 if same else len(left)
+    forest = _Forest(labels)
     for i, a in enumerate(left):
         lo = i + 1 if same else 0
         # size band, then the bitmap's bound
@@ -176,7 +175,7 @@ def linked_pairs(left: list, right: list, left_ids, right_ids, labels, num: int,
 
 def _text_sets(texts, k):
     out = []
-    for _, data, offsets in slices(pa.array(texts, pa.binary())):
+    for _, data, offsets in slices(texts):
         out += sets_of(data, offsets, k)
     return out
 
@@ -264,14 +263,16 @@ def _verified(grouped: DataFrame, k: int, num: int, den: int) -> DataFrame:
     placed = (base.join(ranked, ["component", "size"])
               .withColumn("block", ((F.col("below") + F.pmod(F.xxhash64("doc_id"), F.col("c"))) / BLOCK).cast("int")))
 
-    def alone(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "doc_id"], kind="stable")
-        sets, ids = _text_sets(list(pdf["text"]), k), pdf["doc_id"].to_numpy()
-        pairs = linked_pairs(sets, sets, ids, ids, ids, num, den, same=True)
-        return pd.DataFrame(pairs, columns=["a", "b"], dtype=np.int64)
+    def pairs_of(pairs):
+        a, b = zip(*pairs) if pairs else ([], [])
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def alone(rows: pa.Table) -> pa.Table:
+        sets, ids = _text_sets(rows["text"], k), rows["doc_id"].to_numpy()
+        return pairs_of(linked_pairs(sets, sets, ids, ids, ids, num, den, same=True))
 
     first = stored(placed.select("component", "block", "doc_id", "size", "text")
-                   .groupBy("component", "block").applyInPandas(alone, "a bigint, b bigint"), "jaccard-links")
+                   .groupBy("component", "block").applyInArrow(alone, "a bigint, b bigint"), "jaccard-links")
 
     # Groups of more than one block: tiles of blocks with compatible sizes.
     wide = placed.where(F.col("total") > BLOCK)
@@ -291,18 +292,16 @@ def _verified(grouped: DataFrame, k: int, num: int, den: int) -> DataFrame:
     sides = (tiles.select("component", "x", "y", F.explode(F.array("x", "y")).alias("block"))
              .join(labelled.select("component", "block", "doc_id", "size", "text", "label"), ["component", "block"]))
 
-    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "doc_id"], kind="stable")
-        side = pdf["block"].to_numpy() == pdf["x"].to_numpy()
-        l, r = pdf[side], pdf[~side]
+    def tile(rows: pa.Table) -> pa.Table:
+        side = rows["block"].to_numpy() == rows["x"].to_numpy()
+        l, r = rows.filter(pa.array(side)), rows.filter(pa.array(~side))
         labels = np.concatenate([l["label"].to_numpy(), r["label"].to_numpy()])
         if (labels == labels[0]).all():
-            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-        pairs = linked_pairs(_text_sets(list(l["text"]), k), _text_sets(list(r["text"]), k),
-                             l["doc_id"].to_numpy(), r["doc_id"].to_numpy(), labels, num, den, same=False)
-        return pd.DataFrame(pairs, columns=["a", "b"], dtype=np.int64)
+            return pairs_of([])
+        return pairs_of(linked_pairs(_text_sets(l["text"], k), _text_sets(r["text"], k), l["doc_id"].to_numpy(),
+                                     r["doc_id"].to_numpy(), labels, num, den, same=False))
 
-    across = sides.groupBy("component", "x", "y").applyInPandas(tile, "a bigint, b bigint")
+    across = sides.groupBy("component", "x", "y").applyInArrow(tile, "a bigint, b bigint")
     return first.union(stored(across, "jaccard-across"))
 
 
@@ -313,3 +312,22 @@ def keep_one(docs: DataFrame, **how) -> DataFrame:
     """
     gone = join(docs, **how).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+# The contract's case (three words, 0.9) in DuckDB SQL, over all pairs that share a shingle.
+ORACLE = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words),
+sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
+flat AS (SELECT DISTINCT doc_id, unnest(s) AS x FROM sets),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * common >= 90 * (x.n + y.n - common)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a)
+SELECT doc_id, n AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
+FROM sizes LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) ON a = doc_id
+"""

@@ -56,4 +56,5 @@ QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_byte_bpe, op3_quality, op4_url_rules, op5_embed_dedup, op6_warc_fixity, op7_decontaminate,
     op8_secrets, op9_jaccard_join, op10_suffix_dedup)}
 
-ORACLE: dict[str, str] = {"op6_warc_fixity": warc_fixity.ORACLE}
+ORACLE: dict[str, str] = {"op6_warc_fixity": warc_fixity.ORACLE, "op8_secrets": secret_scan.ORACLE,
+                          "op9_jaccard_join": jaccard_join.ORACLE}

@@ -75,7 +75,7 @@ def ownership(found: DataFrame) -> DataFrame:
 def looks_random(value: str = "value"):
     """Long, with digits and letters, no placeholder word and more than a handful of different characters."""
     v = F.col(value)
-    kinds = F.size(F.array_distinct(F.split(v, "")))
+    kinds = F.size(F.array_distinct(F.filter(F.split(v, ""), lambda c: c != "")))
     return ((F.length(v) >= LIVE_CHARS) & v.rlike("[0-9]") & v.rlike("[A-Za-z]") & (kinds >= 8)
             & ~F.lower(v).rlike("example|placeholder|changeme|your_|xxxx"))
 
@@ -152,3 +152,45 @@ def redact(docs: DataFrame, mark: str = "[secret]", **holders) -> DataFrame:
         out = out.withColumn("n_chars", F.when(F.col("__live").isNull(), F.col("n_chars"))
                              .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)
+
+
+# The same result in DuckDB SQL (its regex library folds more than ASCII letters, so cases are spelled out).
+_SQL_ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _sql_kind(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
+    return f"""
+  SELECT rid, '{kind}' AS kind, {rank} AS rank,
+         list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS s,
+         length(m[i]) AS n, v[i] AS value
+  FROM (SELECT rid, p, m, v, unnest(range(1, len(m) + 1)) AS i FROM
+        (SELECT rid, string_split_regex(text, '{pattern}') AS p, regexp_extract_all(text, '{pattern}') AS m,
+                regexp_extract_all(text, '{pattern}', {group}) AS v FROM t))
+  WHERE length(v[i]) >= {least}"""
+
+
+ORACLE = f"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS owner, coalesce(lang, '') AS lang,
+                  coalesce(text, '') AS text FROM documents),
+base AS ({_sql_kind('assign', 0, _SQL_ASSIGN, 2, 6)}
+  UNION ALL {_sql_kind('access', 1, ACCESS, 0, 20)}
+  UNION ALL {_sql_kind('hex', 2, HEX, 0, 24)}),
+owners AS (SELECT value, count(DISTINCT owner) AS n_owners FROM base JOIN t USING (rid) GROUP BY value),
+judged AS (SELECT base.*, CASE WHEN n_owners >= {EXAMPLE_OWNERS} THEN 'example'
+    WHEN length(value) >= {LIVE_CHARS} AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+         AND len(list_distinct(string_split(value, ''))) >= 8
+         AND NOT regexp_matches(lower(value), 'example|placeholder|changeme|your_|xxxx') THEN 'live'
+    ELSE 'weak' END AS verdict FROM base JOIN owners USING (value)),
+spans AS (SELECT rid, kind, rank, s, s + n AS e, verdict FROM judged
+  UNION ALL SELECT DISTINCT rid, 'live', 3, s + n - length(value), s + n, verdict FROM judged WHERE verdict = 'live'),
+lists AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (kind = 'live') AS n_live,
+    count(*) FILTER (verdict = 'example') AS n_example,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) AS spans,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) FILTER (rank < 3) AS base_spans
+  FROM spans GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM t LEFT JOIN lists USING (rid)
+"""

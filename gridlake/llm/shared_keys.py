@@ -14,7 +14,6 @@ shared, which callers must (and do) verify.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -22,7 +21,7 @@ from .common import shuffle_partitions
 from .textnum import U64, slices
 
 KEY_BYTES = 6
-RUN_KEYS = 2_000_000        # keys gathered in a task before they are dealt out
+RUN_KEYS = 1_000_000        # keys gathered in a task before they are dealt out
 KEY_MASK = U64((1 << 48) - 1)
 
 
@@ -114,23 +113,28 @@ def _dealer(extract, buckets: int, with_keys: bool):
 
 
 def _matcher(with_keys: bool):
-    def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        done = pdf[pdf["n"] != DEALT][["doc_id", "n", "keys"]]
-        pdf = pdf[pdf["n"] == DEALT]
-        if pdf.empty:
+    def match(rows: pa.Table) -> pa.Table:
+        n = rows["n"].to_numpy()
+        done = rows.filter(pa.array(n != DEALT)).select(["doc_id", "n", "keys"])
+        rows = rows.filter(pa.array(n == DEALT))
+        if not rows.num_rows:
             return done
-        keys = np.concatenate([unpack(k) for k in pdf["keys"]])
-        ids = np.concatenate([unpack_ids(i) for i in pdf["ids"]])
-        known = np.repeat(pdf["known"].to_numpy().astype(bool), [len(k) // KEY_BYTES for k in pdf["keys"]])
+        packed = rows["keys"].to_pylist()
+        keys = unpack(b"".join(packed))
+        ids = np.concatenate([unpack_ids(i) for i in rows["ids"].to_pylist()])
+        known = np.repeat(rows["known"].to_numpy().astype(bool), [len(k) // KEY_BYTES for k in packed])
         order = np.argsort(keys, kind="stable")
         keys, ids, known = keys[order], ids[order], known[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         lows, highs = np.minimum.reduceat(ids, first), np.maximum.reduceat(ids, first)
         size = np.diff(np.append(first, len(keys)))
         shared = np.repeat(lows < highs, size) & ~known
-        found = [(doc, len(k), pack(k) if with_keys else b"") for doc, k in _by_document(keys[shared], ids[shared])]
-        more = pd.DataFrame(found, columns=["doc_id", "n", "keys"])
-        return pd.concat([done, more]) if len(done) else more
+        docs, counts, own = [], [], []
+        for doc, k in _by_document(keys[shared], ids[shared]):
+            docs.append(doc), counts.append(len(k)), own.append(pack(k) if with_keys else b"")
+        more = pa.table([pa.array(docs, pa.int64()), pa.array(counts, pa.int64()), pa.array(own, pa.binary())],
+                        names=["doc_id", "n", "keys"])
+        return pa.concat_tables([done.cast(more.schema), more])
     return match
 
 
@@ -144,4 +148,4 @@ def shared_keys(docs: DataFrame, extract, with_keys: bool = True) -> DataFrame:
     # several buckets a partition even out; both grow with the session's partitions
     buckets = 4 * shuffle_partitions(docs.sparkSession)
     dealt = docs.select("doc_id", "text").mapInArrow(_dealer(extract, buckets, with_keys), COLUMNS)
-    return dealt.groupBy("bucket").applyInPandas(_matcher(with_keys), "doc_id bigint, n bigint, keys binary")
+    return dealt.groupBy("bucket").applyInArrow(_matcher(with_keys), "doc_id bigint, n bigint, keys binary")

@@ -11,7 +11,7 @@ from functools import lru_cache
 
 import numpy as np
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 16      # working arrays of a slice stay in the cache
 U64 = np.uint64
 
 

@@ -61,13 +61,11 @@ def corpus(seed, n):
 @pytest.mark.parametrize("k,num,den,sample", [(3, 90, 100, 4), (5, 80, 100, 2)])
 def test_components_match_all_pairs(spark, monkeypatch, k, num, den, sample):
     rows = corpus(k, 260)
-    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, component long".replace("component long", "digest string"))
-    want = brute(rows, k, num, den)
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, digest string")
+    if k == 5:
+        monkeypatch.setattr(jaccard_join, "BLOCK", 4000)          # many small tiles
     got = sorted(map(tuple, jaccard_join.join(docs, k, num, den, sample).collect()), key=str)
-    assert got == want
-    monkeypatch.setattr(jaccard_join, "BLOCK", 4000)          # many small tiles
-    got = sorted(map(tuple, jaccard_join.join(docs, k, num, den, sample).collect()), key=str)
-    assert got == want
+    assert got == brute(rows, k, num, den)
 
 
 def test_one_of_each_group_stays(spark):
