@@ -2,11 +2,15 @@
 
 Texts are reduced to templates: numbers, units after numbers and names
 (capitalised words inside a sentence) become typed placeholders, other words are
-lower-cased (ASCII), punctuation goes.  Windows of ``WINDOW`` template tokens
+case-folded, punctuation goes.  Windows of ``WINDOW`` template tokens
 that hold at least ``LITERALS`` plain words are hashed; windows of documents and
 of benchmark items join on hash and then on the template itself.  Items are also
 taken as they look inside a sentence, where a capital at their start counts.
 
+With ``whole`` (as the queries and the pipeline call it) both sides also give the
+same windows with case folded (Unicode) and names as plain words, so that copies
+in upper, title or lower case are found; all sets share the coverage rule.
+
 Hits of one document, item and alignment (document position less item position)
 are one match.  Its slots must be consistent: one item value may not stand for
 two different document values of its kind.  Then the item's tokens
@@ -26,6 +30,7 @@ that repeat an item_id are one item; null ids match nothing; extra columns are i
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +56,7 @@ UNITS = ("mm", "cm", "m", "km", "in", "inch", "inches", "ft", "feet", "foot", "y
          "meter", "meters", "metre", "metres", "kilometer", "kilometers", "degrees", "mph", "kmh")
 
 NUM, UNIT, NAME = U64(0x11), U64(0x22), U64(0x33)
+TYPED, FOLDED = 0, 1                         # sets of windows: names typed, or as plain words
 MARKS = {1: "<num>", 2: "<unit>", 3: "<name>"}
 
 
@@ -77,20 +83,40 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(span_hashes(data, starts, ends))
 
 
-def templates(data: np.ndarray, offsets: np.ndarray):
-    """Tokens of a slice: ``(template hash, kind, start, end, text)``; kinds 0 word, 1 number, 2 unit, 3 name."""
-    kinds, digit, point, stop = _tables()
+def fold(data: np.ndarray, offsets: np.ndarray):
+    """Case-folded bytes of a slice and their offsets; folding keeps the tokens' number and order."""
+    if not len(data) or data.max() < 128:
+        return _lower_table()[data], offsets
+    raw, at = data.tobytes(), offsets.tolist()
+    parts = [raw[a:b].decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape")
+             for a, b in zip(at, at[1:])]
+    return np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
+
+
+def _spans(data: np.ndarray, offsets: np.ndarray):
+    """Tokens of a slice: ``(start, end, text)``."""
+    kinds, digit, point, _ = _tables()
     kind = kinds[data]
     if len(data) > 2:
         d = digit[data]
         inner = point[data[1:-1]] & d[:-2] & d[2:]
         kind[1:-1][inner] = 1
-    starts, ends, text = runs(kind, offsets)
-    low = _lower_table()[data]
-    h = span_hashes(low, starts, ends)
+    return runs(kind, offsets)
+
+
+def templates(data: np.ndarray, offsets: np.ndarray):
+    """Tokens of a slice: ``(word hash, kind, text, folded bytes, start, end)``; kinds 0 word, 1 number, 2 unit, 3 name.
+
+    ``start`` and ``end`` are places in the folded bytes.
+    """
+    _, digit, _, stop = _tables()
+    starts, ends, text = _spans(data, offsets)
+    low, low_offsets = fold(data, offsets)
+    low_starts, low_ends, _ = (starts, ends, text) if low_offsets is offsets else _spans(low, low_offsets)
+    h = span_hashes(low, low_starts, low_ends)
     token = np.zeros(len(starts), np.int8)
     if not len(starts):
-        return h, token, starts, ends, text
+        return h, token, text, low, low_starts, low_ends
     number = digit[data[starts]]
     token[number] = 1
     first = np.append(True, text[1:] != text[:-1])
@@ -106,8 +132,14 @@ def templates(data: np.ndarray, offsets: np.ndarray):
     stops = np.concatenate([[0], np.cumsum(stop[data])])
     inside = stops[starts[where]] == stops[ends[where - 1]]
     token[where[inside]] = 3
-    h = np.where(token == 0, h, np.array([0, NUM, UNIT, NAME], U64)[token])
-    return h, token, starts, ends, text
+    return h, token, text, low, low_starts, low_ends
+
+
+def family_of(h, token, family: int):
+    """``(template hash, kind)`` of the tokens in a set of windows."""
+    if family == FOLDED:
+        token = np.where(token == 3, 0, token)
+    return np.where(token == 0, h, np.array([0, NUM, UNIT, NAME], U64)[token]), token
 
 
 def windows(h, token, text, size: int):
@@ -126,30 +158,31 @@ def windows(h, token, text, size: int):
     return at, mix(x[at])
 
 
-def _emit(sizes, keep):
-    """(id, text) -> a row for each window (whose hash ``keep`` has, if given)."""
-    names = ["id", "hash", "size", "pos", "tokens", "template", "slots"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string())]
+def _emit(families, sizes, keep):
+    """(id, text) -> a row for each window of the sets (whose hash ``keep`` has, if given)."""
+    names = ["id", "family", "hash", "size", "pos", "tokens", "template", "slots"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string())]
 
     def rows(batch):
         for at, data, offsets in slices(batch["text"]):
-            h, token, starts, ends, text = templates(data, offsets)
+            h, token, text, low, starts, ends = templates(data, offsets)
             begin = np.searchsorted(text, np.arange(len(offsets)))
+            typed = {k: family_of(h, token, k) for k in families}
             raw = None
-            for size in sizes:
-                first, x = windows(h, token, text, size)
+            for family, size in product(families, sizes):
+                first, x = windows(*typed[family], text, size)
                 if keep is not None and len(keep):
                     hit = keep[np.minimum(np.searchsorted(keep, x), len(keep) - 1)] == x
                     first, x = first[hit], x[hit]
                 if not len(first):
                     continue
-                raw = raw or data.tobytes()
+                raw = raw or low.tobytes()
                 for f, v in zip(first.tolist(), x.view(np.int64).tolist()):
                     t = int(text[f])
                     words = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[f:f + size], ends[f:f + size])]
-                    kinds = token[f:f + size].tolist()
-                    yield (at + t, v, size, f - int(begin[t]), int(begin[t + 1] - begin[t]),
-                           " ".join(MARKS.get(k) or _ascii_lower(w) for k, w in zip(kinds, words)),
+                    kinds = typed[family][1][f:f + size].tolist()
+                    yield (at + t, family, v, size, f - int(begin[t]), int(begin[t + 1] - begin[t]),
+                           " ".join(MARKS.get(k) or w for k, w in zip(kinds, words)),
                            [w for k, w in zip(kinds, words) if k])
 
     def run(batches):
@@ -169,51 +202,48 @@ def _emit(sizes, keep):
     return run
 
 
-def _ascii_lower(word: str) -> str:
-    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in word)
-
-
-SCHEMA = "id bigint, hash bigint, size int, pos bigint, tokens bigint, template string, slots array<string>"
+SCHEMA = "id bigint, family int, hash bigint, size int, pos bigint, tokens bigint, template string, slots array<string>"
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataFrame:
     """(doc_id, item_id, matched, item_tokens, changed): consistent matches, whatever their length.
 
-    ``matched``: item tokens covered; ``changed``: distinct item values with another value in the document.
+    ``whole``: also the folded windows.  ``matched``: item tokens covered; ``changed``: distinct item values with another value in the document.
     """
     def texts(df, key):
         return (df.where(F.col(key).isNotNull() & F.col("text").isNotNull())
                 .select(F.col(key).cast("bigint").alias("id"), F.col("text").cast("binary").alias("text")))
 
     # Windows of the items: of WINDOW tokens, and whole shorter items.
+    families = (TYPED, FOLDED) if whole else (TYPED,)
     sizes = list(range(SHORTEST, WINDOW + 1))
     plain = texts(benchmark, "item_id")
     inside = (plain.withColumn("text", F.concat(F.lit("x ").cast("binary"), "text"))
-              .mapInArrow(_emit(sizes, None), SCHEMA).where("pos > 0")
+              .mapInArrow(_emit((TYPED,), sizes, None), SCHEMA).where("pos > 0")
               .withColumn("pos", F.col("pos") - 1).withColumn("tokens", F.col("tokens") - 1))
-    items = stored(plain.mapInArrow(_emit(sizes, None), SCHEMA).unionByName(inside)
+    items = stored(plain.mapInArrow(_emit(families, sizes, None), SCHEMA).unionByName(inside)
                    .where((F.col("size") == WINDOW) | (F.col("size") == F.col("tokens"))).distinct(), "bench-windows")
     per_size = {r["size"]: r["count"] for r in items.groupBy("size").count().collect()}      # at most WINDOW rows
     keep = None
     if 8 * sum(per_size.values()) <= FILTER_BYTES:
         keep = np.unique(np.array([r["hash"] for r in items.select("hash").distinct().collect()], np.int64).view(U64))
-    hits = texts(docs, "doc_id").mapInArrow(_emit(sorted(per_size), keep), SCHEMA) if per_size else items.limit(0)
-    hits = hits.select(F.col("id").alias("doc_id"), "hash", "template", F.col("pos").alias("doc_pos"),
+    hits = texts(docs, "doc_id").mapInArrow(_emit(families, sorted(per_size), keep), SCHEMA) if per_size else items.limit(0)
+    hits = hits.select(F.col("id").alias("doc_id"), "family", "hash", "template", F.col("pos").alias("doc_pos"),
                        F.col("slots").alias("doc_slots"))
-    joined = stored(hits.join(items.withColumnRenamed("id", "item_id"), ["hash", "template"])
-              .select("doc_id", "item_id", (F.col("doc_pos") - F.col("pos")).alias("shift"), "pos", "size", "tokens",
+    joined = stored(hits.join(items.withColumnRenamed("id", "item_id"), ["family", "hash", "template"])
+              .select("doc_id", "item_id", "family", (F.col("doc_pos") - F.col("pos")).alias("shift"), "pos", "size", "tokens",
                       "slots", "doc_slots"), "bench-hits")
     # slots: each item value of an alignment must stand for one document value
-    values = (joined.select("doc_id", "item_id", "shift", F.explode(F.arrays_zip("slots", "doc_slots")).alias("s"))
-              .groupBy("doc_id", "item_id", "shift", F.col("s.slots").alias("value"))
+    values = (joined.select("doc_id", "item_id", "family", "shift", F.explode(F.arrays_zip("slots", "doc_slots")).alias("s"))
+              .groupBy("doc_id", "item_id", "family", "shift", F.col("s.slots").alias("value"))
               .agg(F.min("s.doc_slots").alias("low"), F.max("s.doc_slots").alias("high")))
-    slots = values.groupBy("doc_id", "item_id", "shift").agg(
+    slots = values.groupBy("doc_id", "item_id", "family", "shift").agg(
         F.max(F.col("low") != F.col("high")).alias("clash"),
         F.sum((F.col("low") != F.col("value")).cast("int")).alias("changed"))
-    covered = (joined.groupBy("doc_id", "item_id", "shift", "tokens")
+    covered = (joined.groupBy("doc_id", "item_id", "family", "shift", "tokens")
                .agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("pos", F.col("pos") + F.col("size") - 1))))
                     .alias("covered")))
-    consistent = (covered.join(slots, ["doc_id", "item_id", "shift"], "left")
+    consistent = (covered.join(slots, ["doc_id", "item_id", "family", "shift"], "left")
                   .where(~F.coalesce("clash", F.lit(False))))
     return (consistent.groupBy("doc_id", "item_id")
             .agg(F.size(F.array_distinct(F.flatten(F.collect_set("covered")))).cast("bigint").alias("matched"),
@@ -221,11 +251,12 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                  F.coalesce(F.min("changed"), F.lit(0)).cast("bigint").alias("changed")))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataFrame:
     """Pairs that count: doc_id, item_id, matched, item_tokens, changed."""
-    return matches(docs, benchmark).where(F.col("matched") >= F.least(F.lit(MATCHED), "item_tokens"))
+    return matches(docs, benchmark, whole).where(F.col("matched") >= F.least(F.lit(MATCHED), "item_tokens"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataFrame:
     """``docs`` without contaminated documents; all columns stay."""
-    return docs.join(contaminated(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    found = contaminated(docs, benchmark, whole).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)

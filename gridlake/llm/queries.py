@@ -37,7 +37,8 @@ def op6_warc_fixity(spark, sf_dir):
 
 
 def op7_decontaminate(spark, sf_dir):
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                      whole=True)
 
 
 def op8_secrets(spark, sf_dir):
