@@ -9,11 +9,13 @@ taken as they look inside a sentence, where a capital at their start counts.
 
 With ``whole`` (as the queries and the pipeline call it) both sides also give the
 same windows with case folded (Unicode) and names as plain words, so that copies
-in upper, title or lower case are found; all sets share the coverage rule.
+in upper, title or lower case are found, and a third set of the folded words as
+they are, whose hits always count; all sets share the coverage rule.
 
 Hits of one document, item and alignment (document position less item position)
 are one match.  Its slots must be consistent: one item value may not stand for
-two different document values of its kind.  Then the item's tokens
+two different document values of its kind, with ``whole`` within a window, else
+in all windows of the match.  Then the item's tokens
 that consistent windows cover are counted; a document is contaminated by an item
 when at least ``MATCHED`` tokens are covered, or all of a shorter item.
 
@@ -56,7 +58,7 @@ UNITS = ("mm", "cm", "m", "km", "in", "inch", "inches", "ft", "feet", "foot", "y
          "meter", "meters", "metre", "metres", "kilometer", "kilometers", "degrees", "mph", "kmh")
 
 NUM, UNIT, NAME = U64(0x11), U64(0x22), U64(0x33)
-TYPED, FOLDED = 0, 1                         # sets of windows: names typed, or as plain words
+TYPED, FOLDED, EXACT = 0, 1, 2               # sets of windows: names typed, names as plain words, nothing typed
 MARKS = {1: "<num>", 2: "<unit>", 3: "<name>"}
 
 
@@ -137,6 +139,8 @@ def templates(data: np.ndarray, offsets: np.ndarray):
 
 def family_of(h, token, family: int):
     """``(template hash, kind)`` of the tokens in a set of windows."""
+    if family == EXACT:
+        return h, np.zeros_like(token)
     if family == FOLDED:
         token = np.where(token == 3, 0, token)
     return np.where(token == 0, h, np.array([0, NUM, UNIT, NAME], U64)[token]), token
@@ -174,6 +178,10 @@ def _emit(families, sizes, keep):
                 if keep is not None and len(keep):
                     hit = keep[np.minimum(np.searchsorted(keep, x), len(keep) - 1)] == x
                     first, x = first[hit], x[hit]
+                if family == EXACT and len(first):       # a text's equal windows cover the same
+                    pairs = np.stack([text[first], x.view(np.int64)], axis=1)
+                    once = np.sort(np.unique(pairs, axis=0, return_index=True)[1])
+                    first, x = first[once], x[once]
                 if not len(first):
                     continue
                 raw = raw or low.tobytes()
@@ -208,14 +216,14 @@ SCHEMA = "id bigint, family int, hash bigint, size int, pos bigint, tokens bigin
 def matches(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataFrame:
     """(doc_id, item_id, matched, item_tokens, changed): consistent matches, whatever their length.
 
-    ``whole``: also the folded windows.  ``matched``: item tokens covered; ``changed``: distinct item values with another value in the document.
+    ``whole``: also the folded and exact windows, slots judged per window.  ``matched``: item tokens covered; ``changed``: distinct item values with another value in the document.
     """
     def texts(df, key):
         return (df.where(F.col(key).isNotNull() & F.col("text").isNotNull())
                 .select(F.col(key).cast("bigint").alias("id"), F.col("text").cast("binary").alias("text")))
 
     # Windows of the items: of WINDOW tokens, and whole shorter items.
-    families = (TYPED, FOLDED) if whole else (TYPED,)
+    families = (TYPED, FOLDED, EXACT) if whole else (TYPED,)
     sizes = list(range(SHORTEST, WINDOW + 1))
     plain = texts(benchmark, "item_id")
     inside = (plain.withColumn("text", F.concat(F.lit("x ").cast("binary"), "text"))
@@ -233,18 +241,27 @@ def matches(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataF
     joined = stored(hits.join(items.withColumnRenamed("id", "item_id"), ["family", "hash", "template"])
               .select("doc_id", "item_id", "family", (F.col("doc_pos") - F.col("pos")).alias("shift"), "pos", "size", "tokens",
                       "slots", "doc_slots"), "bench-hits")
-    # slots: each item value of an alignment must stand for one document value
-    values = (joined.select("doc_id", "item_id", "family", "shift", F.explode(F.arrays_zip("slots", "doc_slots")).alias("s"))
-              .groupBy("doc_id", "item_id", "family", "shift", F.col("s.slots").alias("value"))
-              .agg(F.min("s.doc_slots").alias("low"), F.max("s.doc_slots").alias("high")))
-    slots = values.groupBy("doc_id", "item_id", "family", "shift").agg(
-        F.max(F.col("low") != F.col("high")).alias("clash"),
-        F.sum((F.col("low") != F.col("value")).cast("int")).alias("changed"))
-    covered = (joined.groupBy("doc_id", "item_id", "family", "shift", "tokens")
-               .agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("pos", F.col("pos") + F.col("size") - 1))))
-                    .alias("covered")))
-    consistent = (covered.join(slots, ["doc_id", "item_id", "family", "shift"], "left")
-                  .where(~F.coalesce("clash", F.lit(False))))
+    covered = F.array_distinct(F.flatten(F.collect_set(F.sequence("pos", F.col("pos") + F.col("size") - 1))))
+    if whole:
+        pairs = F.arrays_zip("slots", "doc_slots")
+        new = F.transform(F.filter(pairs, lambda x: x["slots"] != x["doc_slots"]), lambda x: x["slots"])
+        # exact hits are one a text, so they say nothing about an alignment
+        consistent = (joined.where(F.size(F.array_distinct(pairs)) == F.size(F.array_distinct("slots")))
+                      .groupBy("doc_id", "item_id", "shift", "tokens")
+                      .agg(covered.alias("covered"), F.max(F.col("family") != EXACT).alias("aligned"),
+                           F.size(F.array_distinct(F.flatten(F.collect_set(new)))).alias("changed"))
+                      .withColumn("changed", F.when(F.col("aligned"), F.col("changed"))))
+    else:
+        # slots: each item value of an alignment must stand for one document value
+        values = (joined.select("doc_id", "item_id", "shift", F.explode(F.arrays_zip("slots", "doc_slots")).alias("s"))
+                  .groupBy("doc_id", "item_id", "shift", F.col("s.slots").alias("value"))
+                  .agg(F.min("s.doc_slots").alias("low"), F.max("s.doc_slots").alias("high")))
+        slots = values.groupBy("doc_id", "item_id", "shift").agg(
+            F.max(F.col("low") != F.col("high")).alias("clash"),
+            F.sum((F.col("low") != F.col("value")).cast("int")).alias("changed"))
+        consistent = (joined.groupBy("doc_id", "item_id", "shift", "tokens").agg(covered.alias("covered"))
+                      .join(slots, ["doc_id", "item_id", "shift"], "left")
+                      .where(~F.coalesce("clash", F.lit(False))))
     return (consistent.groupBy("doc_id", "item_id")
             .agg(F.size(F.array_distinct(F.flatten(F.collect_set("covered")))).cast("bigint").alias("matched"),
                  F.max("tokens").alias("item_tokens"),

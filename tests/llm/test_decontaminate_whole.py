@@ -32,3 +32,13 @@ def test_folding_keeps_the_tokens():
     data, offsets = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
     low, low_offsets = decontaminate.fold(data, offsets)
     assert len(decontaminate._spans(data, offsets)[0]) == len(decontaminate._spans(low, low_offsets)[0])
+
+
+def test_a_clash_removes_only_its_windows(spark):
+    numbers = ("The seller packs 2 apples into each of the small wooden boxes on the long table near the door "
+               "and then asks every single visitor for 2 dollars at the end of the day.")
+    docs = [ITEM.replace("called John", "called Peter"), "so " + numbers.replace("2 apples", "7 apples").replace("2 dollars", "9 dollars"),
+            numbers.replace("2 dollars", "3 dollars"), "The seller packs 4 apples into each of many crates", numbers]
+    got = _caught(spark, docs, [ITEM, numbers])
+    assert set(got) == {(0, 0), (1, 1), (2, 1), (4, 1)}
+    assert got[(4, 1)].changed == 0 and got[(1, 1)].changed == 1
