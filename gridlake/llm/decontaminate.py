@@ -10,7 +10,9 @@ taken as they look inside a sentence, where a capital at their start counts.
 With ``whole`` (as the queries and the pipeline call it) both sides also give the
 same windows with case folded (Unicode) and names as plain words, so that copies
 in upper, title or lower case are found, and a third set of the folded words as
-they are, whose hits always count; all sets share the coverage rule.
+they are, whatever they hold, whose hits always count; all sets share the coverage
+rule.  Whole items shorter than a window then need as large a share of plain words
+as a window does, and those of fewer than ``SHORTEST`` tokens match exactly.
 
 Hits of one document, item and alignment (document position less item position)
 are one match.  Its slots must be consistent: one item value may not stand for
@@ -23,16 +25,15 @@ Window hashes of the benchmark go to the tasks as a filter if they take at most
 ``FILTER_BYTES`` (checked by counting them); a larger benchmark is joined by a
 shuffle of all window hashes.  Either way the join decides.
 
-Cases: null and empty texts have no windows; items of fewer than ``SHORTEST``
-tokens are too short to tell and match nothing; items of fewer than ``WINDOW``
-tokens are one window; rows that repeat a doc_id add up to one document, rows
+Cases: null and empty texts have no windows; characters of scripts without spaces
+are a token each; items of fewer than ``SHORTEST`` tokens match nothing without
+``whole``; items of fewer than ``WINDOW`` tokens are one window; rows that repeat a doc_id add up to one document, rows
 that repeat an item_id are one item; null ids match nothing; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from functools import lru_cache
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,10 @@ UNITS = ("mm", "cm", "m", "km", "in", "inch", "inches", "ft", "feet", "foot", "y
 
 NUM, UNIT, NAME = U64(0x11), U64(0x22), U64(0x33)
 TYPED, FOLDED, EXACT = 0, 1, 2               # sets of windows: names typed, names as plain words, nothing typed
+# Code points of scripts written without spaces, and of the punctuation among them.
+UNSPACED = ((0x0E00, 0x0EFF), (0x0F40, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
+            (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF))
+BETWEEN = ((0x3000, 0x303F), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
 MARKS = {1: "<num>", 2: "<unit>", 3: "<name>"}
 
 
@@ -95,6 +100,25 @@ def fold(data: np.ndarray, offsets: np.ndarray):
     return np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
 
 
+def _split(data: np.ndarray, kind: np.ndarray) -> None:
+    """Make each character of a script without spaces a run of its own, and its punctuation a separator."""
+    at = np.flatnonzero(data >= 0xE0)                    # first bytes of three and four
+    at = at[at + np.where(data[at] >= 0xF0, 3, 2) < len(data)]
+    wide = data[at] >= 0xF0
+    low = [data[at + i].astype(np.int64) & 63 for i in (1, 2)] + [data[at + 2 + wide].astype(np.int64) & 63]
+    lead = data[at].astype(np.int64)
+    point = np.where(wide, ((lead & 7) << 18) | (low[0] << 12) | (low[1] << 6) | low[2],
+                     ((lead & 15) << 12) | (low[0] << 6) | low[1])
+
+    def within(ranges):
+        return np.any([(point >= a) & (point <= b) for a, b in ranges], axis=0)
+    alone, between = within(UNSPACED), within(BETWEEN)
+    for chosen, values in ((alone, 2 + np.arange(alone.sum()) % 2), (between, np.zeros(between.sum()))):
+        for i in range(4):
+            here = (i < 3) | wide[chosen]
+            kind[at[chosen][here] + i] = values[here]
+
+
 def _spans(data: np.ndarray, offsets: np.ndarray):
     """Tokens of a slice: ``(start, end, text)``."""
     kinds, digit, point, _ = _tables()
@@ -103,6 +127,8 @@ def _spans(data: np.ndarray, offsets: np.ndarray):
         d = digit[data]
         inner = point[data[1:-1]] & d[:-2] & d[2:]
         kind[1:-1][inner] = 1
+        if data.max() >= 0xE0:
+            _split(data, kind)
     return runs(kind, offsets)
 
 
@@ -146,8 +172,8 @@ def family_of(h, token, family: int):
     return np.where(token == 0, h, np.array([0, NUM, UNIT, NAME], U64)[token]), token
 
 
-def windows(h, token, text, size: int):
-    """``(first tokens, hashes)`` of windows of ``size`` tokens of one text with enough plain words."""
+def windows(h, token, text, size: int, least: int):
+    """``(first tokens, hashes)`` of windows of ``size`` tokens of one text with ``least`` plain words."""
     n = len(h) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, U64)
@@ -157,13 +183,13 @@ def windows(h, token, text, size: int):
         for i in range(size):
             x = x + h[i:i + n] * odd[i]
     plain = np.concatenate([[0], np.cumsum(token == 0)])
-    ok = (text[:n] == text[size - 1:]) & (plain[size:] - plain[:n] >= min(LITERALS, size))
+    ok = (text[:n] == text[size - 1:]) & (plain[size:] - plain[:n] >= least)
     at = np.flatnonzero(ok)
     return at, mix(x[at])
 
 
-def _emit(families, sizes, keep):
-    """(id, text) -> a row for each window of the sets (whose hash ``keep`` has, if given)."""
+def _emit(kinds_of_windows, keep):
+    """(id, text) -> a row for each window of the ``(set, size, least plain words)`` (whose hash ``keep`` has, if given)."""
     names = ["id", "family", "hash", "size", "pos", "tokens", "template", "slots"]
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string())]
 
@@ -171,10 +197,10 @@ def _emit(families, sizes, keep):
         for at, data, offsets in slices(batch["text"]):
             h, token, text, low, starts, ends = templates(data, offsets)
             begin = np.searchsorted(text, np.arange(len(offsets)))
-            typed = {k: family_of(h, token, k) for k in families}
+            typed = {k: family_of(h, token, k) for k in {k for k, *_ in kinds_of_windows}}
             raw = None
-            for family, size in product(families, sizes):
-                first, x = windows(*typed[family], text, size)
+            for family, size, least in kinds_of_windows:
+                first, x = windows(*typed[family], text, size, least)
                 if keep is not None and len(keep):
                     hit = keep[np.minimum(np.searchsorted(keep, x), len(keep) - 1)] == x
                     first, x = first[hit], x[hit]
@@ -223,19 +249,23 @@ def matches(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataF
                 .select(F.col(key).cast("bigint").alias("id"), F.col("text").cast("binary").alias("text")))
 
     # Windows of the items: of WINDOW tokens, and whole shorter items.
-    families = (TYPED, FOLDED, EXACT) if whole else (TYPED,)
-    sizes = list(range(SHORTEST, WINDOW + 1))
+    sizes = range(SHORTEST, WINDOW + 1)
+    if whole:
+        sets = [(k, n, LITERALS * n // WINDOW) for k in (TYPED, FOLDED) for n in sizes]
+        sets += [(EXACT, n, 0) for n in range(1, WINDOW + 1)]
+    else:
+        sets = [(TYPED, n, min(LITERALS, n)) for n in sizes]
     plain = texts(benchmark, "item_id")
     inside = (plain.withColumn("text", F.concat(F.lit("x ").cast("binary"), "text"))
-              .mapInArrow(_emit((TYPED,), sizes, None), SCHEMA).where("pos > 0")
+              .mapInArrow(_emit([x for x in sets if x[0] == TYPED], None), SCHEMA).where("pos > 0")
               .withColumn("pos", F.col("pos") - 1).withColumn("tokens", F.col("tokens") - 1))
-    items = stored(plain.mapInArrow(_emit(families, sizes, None), SCHEMA).unionByName(inside)
+    items = stored(plain.mapInArrow(_emit(sets, None), SCHEMA).unionByName(inside)
                    .where((F.col("size") == WINDOW) | (F.col("size") == F.col("tokens"))).distinct(), "bench-windows")
-    per_size = {r["size"]: r["count"] for r in items.groupBy("size").count().collect()}      # at most WINDOW rows
+    per_size = {(r["family"], r["size"]): r["count"] for r in items.groupBy("family", "size").count().collect()}   # few rows
     keep = None
     if 8 * sum(per_size.values()) <= FILTER_BYTES:
         keep = np.unique(np.array([r["hash"] for r in items.select("hash").distinct().collect()], np.int64).view(U64))
-    hits = texts(docs, "doc_id").mapInArrow(_emit(families, sorted(per_size), keep), SCHEMA) if per_size else items.limit(0)
+    hits = texts(docs, "doc_id").mapInArrow(_emit([x for x in sets if x[:2] in per_size], keep), SCHEMA) if per_size else items.limit(0)
     hits = hits.select(F.col("id").alias("doc_id"), "family", "hash", "template", F.col("pos").alias("doc_pos"),
                        F.col("slots").alias("doc_slots"))
     joined = stored(hits.join(items.withColumnRenamed("id", "item_id"), ["family", "hash", "template"])

@@ -42,3 +42,23 @@ def test_a_clash_removes_only_its_windows(spark):
     got = _caught(spark, docs, [ITEM, numbers])
     assert set(got) == {(0, 0), (1, 1), (2, 1), (4, 1)}
     assert got[(4, 1)].changed == 0 and got[(1, 1)].changed == 1
+
+
+def test_items_with_few_plain_words(spark, monkeypatch):
+    bench = ["12 + 34 = 46, 7 * 8 = 56, 90 - 45 = 45, 3 * 9 = 27", "Anna Smith, Carl Brown, Dora White, Emil Black, Fay Green, Gus Gray",
+             "What is 12 times 34", "Prime numbers", "小明有三个苹果他又买了五个苹果现在一共有几个", "2 + 2", "ราคาสินค้าทั้งหมดเท่าไร", "?!"]
+    docs = ["see 12 + 34 = 46, 7 * 8 = 56, 90 - 45 = 45, 3 * 9 = 27 there", f"friends: {bench[1]} and more", "So: what is 5 times 6?",
+            "all PRIME numbers here", "prime and other numbers", "老师说。小明有三个苹果他又买了五个苹果现在一共有几个？请回答",
+            "小明有两只猫", "is 2 + 2 four", "และราคาสินค้าทั้งหมดเท่าไรครับ", "see 12 + 34 = 47, 7 * 9 = 63, 80 - 45 = 35, 3 * 8 = 24 there"]
+    want = {(0, 0), (1, 1), (2, 2), (3, 3), (5, 4), (7, 5), (8, 6)}
+    assert set(_caught(spark, docs, bench)) == want
+    monkeypatch.setattr(decontaminate, "FILTER_BYTES", 0)
+    assert set(_caught(spark, docs, bench)) == want
+
+
+def test_unspaced_scripts_are_split():
+    raw = "ab漢字、かな𠀀x é1.5".encode()
+    starts, ends, _ = decontaminate._spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    assert [raw[a:b].decode() for a, b in zip(starts, ends)] == ["ab", "漢", "字", "か", "な", "𠀀", "x", "é1.5"]
+    for cut in range(len(raw)):
+        decontaminate._spans(np.frombuffer(raw[:cut], np.uint8), np.array([0, cut]))
