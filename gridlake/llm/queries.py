@@ -12,7 +12,7 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 
 def op1_license_scan(spark, sf_dir):
-    return license_scan.scan(table(spark, sf_dir, "documents"))
+    return license_scan.scan(table(spark, sf_dir, "documents"), license_scan.NOTICES)
 
 
 def op2_byte_bpe(spark, sf_dir):
