@@ -35,6 +35,7 @@ ACCESS_LONG = r"""AKIA[A-Z0-9]{16,}"""
 
 KINDS = ("assign", "access", "hex")
 EXAMPLE_OWNERS = 3      # a value that so many owners hold is an example
+PLACEHOLDERS = "example|placeholder|changeme|your_|xxxx"
 LIVE_CHARS = 16         # shorter values are not taken for credentials
 
 
@@ -77,14 +78,20 @@ def looks_random(value: str = "value"):
     v = F.col(value)
     kinds = F.size(F.array_distinct(F.filter(F.split(v, ""), lambda c: c != "")))
     return ((F.length(v) >= LIVE_CHARS) & v.rlike("[0-9]") & v.rlike("[A-Za-z]") & (kinds >= 8)
-            & ~F.lower(v).rlike("example|placeholder|changeme|your_|xxxx"))
+            & no_placeholder(value))
 
 
-def scan(docs: DataFrame, repo=("source", "lang"), owner=("source",)) -> DataFrame:
+def no_placeholder(value: str = "value"):
+    return ~F.lower(F.col(value)).rlike(PLACEHOLDERS)
+
+
+def scan(docs: DataFrame, repo=("source", "lang"), owner=("source",), by_owners: bool = False) -> DataFrame:
     """All spans: doc_id, text_hash, kind, start, end, n_repos, n_owners, verdict.
 
     ``verdict``: example (many owners), live (one row of owners and looks
-    random) or weak.  Live candidates have a further span of kind ``live``.
+    random) or weak.  With ``by_owners`` ownership alone decides for assignments
+    and access keys without a placeholder word, so that short passwords and values
+    of one kind of characters are live too; hex runs still must look random.  Live candidates have a further span of kind ``live``.
     """
     spans = candidates(docs).withColumn("value_hash", F.sha2("value", 256))
     holders = docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
@@ -94,9 +101,12 @@ def scan(docs: DataFrame, repo=("source", "lang"), owner=("source",)) -> DataFra
                .join(holders.alias("h"), F.expr("s.doc_id <=> h.doc_id and s.text_hash = h.text_hash"))
                .select("value_hash", "repo", "owner"))
     counted = ownership(in_rows)
+    credential = looks_random()
+    if by_owners:
+        credential = credential | ((F.col("kind") != "hex") & no_placeholder())
     judged = (spans.join(counted, "value_hash", "left")
               .withColumn("verdict", F.when(F.col("n_owners") >= EXAMPLE_OWNERS, "example")
-                          .when(looks_random(), "live").otherwise("weak")))
+                          .when(credential, "live").otherwise("weak")))
     base = judged.select("doc_id", "text_hash", "kind", "start", "end", "n_repos", "n_owners", "verdict")
     live = (judged.where("verdict = 'live'")
             .select("doc_id", "text_hash", F.lit("live").alias("kind"),
