@@ -25,7 +25,7 @@ from ..functions.variant import string_if_string, to_string
 from ..operators.detect import detect, detect_by_join
 from ..operators.intake import duplicates, first_per_request, parse, vget
 from ..operators.mapping import fill_canonical, map_by_rules, map_canonical
-from ..sources.registry import CompiledMapping, compile_registry
+from ..sources.registry import MAX_COMPILED_RULES, CompiledMapping, active, compile_registry
 
 # Above this many active sources the rules travel as data (rule-array plan):
 # the compiled plan's generated code grows with every source.
@@ -166,18 +166,21 @@ def normalize(raw: DataFrame, registry: DataFrame | None = None, *,
 
     ``plan``: ``"compiled"`` turns the registry into column expressions (fast
     for a few sources), ``"rules"`` joins the rules in as data (constant plan
-    size for any registry), ``"auto"`` picks by the number of active sources.
+    size for any registry), ``"auto"`` picks by the number of active sources and
+    of their rules.
     """
     if mappings is None:
         if registry is None:
             raise ValueError("registry or mappings required")
         specs = getattr(registry, "_gridlake_specs", None)
-        n_sources = len(specs) if specs is not None else None
-        if plan == "auto" and n_sources is None:
-            from ..sources.registry import active
-            n_sources = active(registry).limit(COMPILED_PLAN_MAX_SOURCES + 1).count()
         if plan == "auto":
-            plan = "compiled" if n_sources <= COMPILED_PLAN_MAX_SOURCES else "rules"
+            if specs is not None:
+                n_sources, n_rules = len(specs), sum(len(s["rules"]) for s in specs)
+            else:
+                n_sources, n_rules = (active(registry).limit(COMPILED_PLAN_MAX_SOURCES + 1)
+                                      .agg(F.count("*"), F.coalesce(F.sum(F.size("mappings")), F.lit(0))).first())
+            fits = n_sources <= COMPILED_PLAN_MAX_SOURCES and n_rules <= MAX_COMPILED_RULES
+            plan = "compiled" if fits else "rules"
         if plan == "compiled":
             mappings = compile_registry(registry)
     else:
