@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import (byte_bpe, decontaminate, embed_dedup, jaccard_join, license_scan, quality, secret_scan, suffix_dedup,
-               url_rules, warc_fixity)
+from . import (byte_bpe, decontaminate, divergence, embed_dedup, fill_middle, jaccard_join, license_scan, packing,
+               quality, secret_scan, suffix_dedup, url_rules, warc_fixity)
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
+WORDS = "word_bpe_49k.json"
 
 
 def op1_license_scan(spark, sf_dir):
@@ -53,9 +54,22 @@ def op10_suffix_dedup(spark, sf_dir):
     return suffix_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_packing(spark, sf_dir):
+    return packing.digest(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
+
+
+def op13_fill_middle(spark, sf_dir):
+    return fill_middle.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_byte_bpe, op3_quality, op4_url_rules, op5_embed_dedup, op6_warc_fixity, op7_decontaminate,
-    op8_secrets, op9_jaccard_join, op10_suffix_dedup)}
+    op8_secrets, op9_jaccard_join, op10_suffix_dedup, op11_divergence, op12_packing, op13_fill_middle)}
 
 ORACLE: dict[str, str] = {"op6_warc_fixity": warc_fixity.ORACLE, "op8_secrets": secret_scan.ORACLE,
-                          "op9_jaccard_join": jaccard_join.ORACLE}
+                          "op9_jaccard_join": jaccard_join.ORACLE, "op11_divergence": divergence.ORACLE,
+                          "op13_fill_middle": fill_middle.ORACLE}
