@@ -40,8 +40,8 @@ from .common import stored
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 150_000         # words a worker keeps the ids of, twice (see Recent)
-CACHE_PIECES = 400_000        # and pieces of words
+CACHE_WORDS = 300_000         # words a worker keeps the ids of, twice (see Recent)
+CACHE_PIECES = 500_000        # and pieces of words
 CACHE_CHARS = 64              # longer words are not kept
 
 
@@ -49,8 +49,8 @@ CACHE_CHARS = 64              # longer words are not kept
 
 # Control characters that Python takes for white space and the vocabulary's pattern does not.
 _SEPARATORS = regex.compile("[\x1c-\x1f]")
-# Below it no character composes with another, and lower case is the same everywhere.
-LATIN = "\u024f"
+# Up to here no character composes with another, and lower case is the same everywhere.
+_BEYOND = regex.compile("[^\x00-\u024f]")
 # Marks that are a piece of their own after letters.
 SINGLE = ".,;:!?"
 
@@ -62,9 +62,7 @@ class Recent(dict):
         self.make, self.size, self.before = make, size, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.before.get(key)
-        if value is None:
-            value = self.make(key)
+        value = self.before.get(key) or self.make(key)
         if len(key) <= CACHE_CHARS:
             if len(self) >= self.size:
                 self.before = dict(self)
@@ -77,10 +75,10 @@ class WordIds:
     """Ids of whole texts as little-endian u32 bytes, by the tokenizer itself.
 
     The vocabulary drops white space and no rule of it looks across, so the ids of
-    a text are those of its words; words repeat, so most are looked up.  Words
-    of plain and Latin letters are lower-cased, split by the tokenizer's pattern and
-    passed to its model piece by piece, since punctuation makes many words of
-    one piece; all others go through the whole tokenizer.
+    a text are those of its words; words repeat, so most are looked up.  Texts
+    of plain and Latin letters are lower-cased, their words split by the tokenizer's
+    pattern and passed to its model piece by piece, since punctuation makes many
+    words of one piece; words of other texts go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -91,20 +89,18 @@ class WordIds:
         self.split = regex.compile(split["pattern"]["Regex"]).findall
         self.spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.model = self.tokenizer.model.tokenize
-        self.words, self.pieces = Recent(self._word, CACHE_WORDS), Recent(self._piece, CACHE_PIECES)
+        self.pieces = Recent(self._piece, CACHE_PIECES)
+        self.words, self.others = Recent(self._word, CACHE_WORDS), Recent(self.whole, CACHE_WORDS)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _word(self, word: str) -> bytes:
-        if not word.isascii() and max(word) > LATIN:
-            return self.whole(word)
-        low = word.lower()
-        if low.isalpha():
-            return self.pieces[low]
-        if low[:-1].isalpha() and low[-1] in SINGLE:
-            return self.pieces[low[:-1]] + self.pieces[low[-1]]
-        return b"".join(map(self.pieces.__getitem__, self.split(low)))
+        if word.isalpha():
+            return self.pieces[word]
+        if word[-1] in SINGLE and word[:-1].isalpha():
+            return self.pieces[word[:-1]] + self.pieces[word[-1]]
+        return b"".join(map(self.pieces.__getitem__, self.split(word)))
 
     def _piece(self, piece: str) -> bytes:
         spelled = piece if piece.isascii() and piece.isprintable() else "".join([s for s, _ in self.spell(piece)])
@@ -113,7 +109,9 @@ class WordIds:
     def of(self, text: str) -> bytes:
         if _SEPARATORS.search(text) or any(s in text for s in self.special):
             return self.whole(text)
-        return b"".join(map(self.words.__getitem__, text.split()))
+        if not text.isascii() and _BEYOND.search(text):
+            return b"".join(map(self.others.__getitem__, text.split()))
+        return b"".join(map(self.words.__getitem__, text.lower().split()))
 
 
 @lru_cache(maxsize=2)
@@ -272,7 +270,8 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
     before = F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
     by_task = stored(by_task.select("task", "length", "n", F.coalesce(before, F.lit(0)).alias("before")), "packing-counts")
     counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows
-    numbered = (items.join(by_task.drop("n"), ["task", "length"])
+    # rows by task and length grow with the input: never broadcast
+    numbered = (items.join(by_task.drop("n").hint("merge"), ["task", "length"])
                 .withColumn("number", F.col("number") + F.col("before"))
                 .select("doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else []), "number"))
     schema = ITEM + (", ids binary" if with_ids else "") + ", sequence_id bigint, offset bigint"
