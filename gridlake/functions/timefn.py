@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,3 +33,10 @@ def device_local_time(date: Column, time: Column, tz: Column | None = None) -> C
     if tz is None:
         return local
     return F.when(tz.isNotNull() & (tz != ""), F.to_utc_timestamp(local, tz)).otherwise(local)
+
+
+def micros(t: datetime) -> int:
+    """Microseconds since the epoch; a time without zone is UTC."""
+    t = t if t.tzinfo else t.replace(tzinfo=timezone.utc)
+    d = t - datetime(1970, 1, 1, tzinfo=timezone.utc)
+    return (d.days * 86400 + d.seconds) * 1_000_000 + d.microseconds

@@ -19,19 +19,23 @@ def project_once(df: DataFrame, *cols) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*cols))))
 
 
+SPREAD_BYTES = 256 << 20
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a scan at least as many partitions as the application has cores.
+    """Give the scan of a small input as many partitions as the application has cores.
 
-    A large input arrives as many file splits and is returned unchanged (no
-    shuffle).  A small input stored as one file or row group would otherwise
-    run every per-row step before the first shuffle in a single task; it is
-    spread round-robin instead.
+    A small input stored as one file or row group would otherwise run every
+    per-row step before the first shuffle in a single task; it is dealt out
+    round-robin.  Inputs of more than ``SPREAD_BYTES`` are never shuffled here,
+    however many cores there are, nor are those with enough splits.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # Spark Connect: no RDD view; leave the scan as it is
         return df
-    if current < target:
+    if current < target and size <= SPREAD_BYTES:
         return df.repartition(target)
     return df

@@ -99,48 +99,55 @@ def _detect_stages(mappings: list[CompiledMapping], v: str, default_source: str
 
 # --------------------------------------------------------------- join plan
 
-def rule_table(registry: DataFrame) -> DataFrame:
-    """Active rules: source_id, source_field, required, n_rules, n_required, threshold."""
-    act = active(registry).select(
-        "source_id", "mappings",
+def rule_table(registry: DataFrame, as_of: bool = False) -> DataFrame:
+    """Active rules: [_epoch,] source_id, source_field, required, n_rules, n_required, threshold."""
+    epoch = ["_epoch"] if as_of else []
+    act = (registry if as_of else active(registry)).select(
+        *epoch, "source_id", "mappings",
         F.size("mappings").alias("n_rules"),
         F.size(F.filter("mappings", lambda r: r["required"])).alias("n_required"))
     return act.select(
-        "source_id", "n_rules", "n_required",
+        *epoch, "source_id", "n_rules", "n_required",
         F.floor(F.col("n_rules") * SIGNATURE_THRESHOLD_PERCENT / 100).cast("int").alias("threshold"),
         F.explode("mappings").alias("r")
-    ).select("source_id", "n_rules", "n_required", "threshold",
+    ).select(*epoch, "source_id", "n_rules", "n_required", "threshold",
              F.col("r.source_field").alias("key"), F.col("r.required").alias("required"))
 
 
 def detect_by_join(df: DataFrame, registry: DataFrame, *, v: str = "v",
                    default_source: str | None = None, use_signature: bool = True,
-                   out: str = "source_id") -> DataFrame:
+                   out: str = "source_id", as_of: bool = False) -> DataFrame:
     """Same answer as :func:`detect`, as joins whose plan does not grow with the registry.
 
+    With ``as_of`` rows and registry carry ``_epoch`` (see ``registry.in_force``), and
+    every join is on the row's epoch as well.
+
     A signature depends on the payload's keys only, and there are few distinct
     key sets however many payloads: each distinct set is exploded, joined to the
     rule table and scored once, and its source is joined back.
     """
-    rules = rule_table(registry)
-    ids = active(registry).select("source_id")
+    epoch = ["_epoch"] if as_of else []
+    rules = rule_table(registry, as_of)
+    ids = (registry if as_of else active(registry)).select(*epoch, "source_id")
     sid = string_if_string(vget(F.col(v), "source_id"))
     dtype = string_if_string(vget(F.col(v), "device_type"))
     base = project_once(df, sid.alias("_sid"), dtype.alias("_dt"),
                         F.array_sort(F.array_distinct(key_set(as_object(F.col(v))))).alias("_keys"))
-    base = (base.join(ids.select(F.col("source_id").alias("_sid"), F.col("source_id").alias("_h1")), "_sid", "left")
-                .join(ids.select(F.col("source_id").alias("_dt"), F.col("source_id").alias("_h2")), "_dt", "left"))
+    base = (base.join(ids.select(*epoch, F.col("source_id").alias("_sid"), F.col("source_id").alias("_h1")),
+                      [*epoch, "_sid"], "left")
+                .join(ids.select(*epoch, F.col("source_id").alias("_dt"), F.col("source_id").alias("_h2")),
+                      [*epoch, "_dt"], "left"))
     parts = [F.col("_h1"), F.col("_h2")]
     if use_signature:
-        sets = base.where("_h1 is null and _h2 is null and _keys is not null").select("_keys").distinct()
-        hits = sets.select("_keys", F.explode("_keys").alias("key")).join(rules, "key")
-        scores = hits.groupBy("_keys", "source_id").agg(
+        sets = base.where("_h1 is null and _h2 is null and _keys is not null").select(*epoch, "_keys").distinct()
+        hits = sets.select(*epoch, "_keys", F.explode("_keys").alias("key")).join(rules, [*epoch, "key"])
+        scores = hits.groupBy(*epoch, "_keys", "source_id").agg(
             F.count("*").alias("score"), F.count_if("required").alias("req_hit"),
             F.first("n_required").alias("n_required"), F.first("threshold").alias("threshold"))
         best = (scores.where("req_hit = n_required and score >= threshold and score > 0")
-                .groupBy("_keys").agg(F.min(F.struct((-F.col("score")).alias("low"), "source_id"))
+                .groupBy(*epoch, "_keys").agg(F.min(F.struct((-F.col("score")).alias("low"), "source_id"))
                                       .getField("source_id").alias("_sig")))
-        base = base.join(best, "_keys", "left")
+        base = base.join(best, [*epoch, "_keys"], "left")
         parts.append(F.col("_sig"))
     if default_source is not None and ids.where(F.col("source_id") == default_source).take(1):
         parts.append(F.lit(default_source))

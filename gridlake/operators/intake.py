@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..catalog import ERR_DUPLICATE
 from ..functions.variant import as_object, string_if_string
 from .common import project_once
 
@@ -82,8 +81,25 @@ def first_per_request(objects: DataFrame) -> DataFrame:
             .where(F.col("_rn") == 1).drop("_rn"))
 
 
-def duplicates(objects: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Object rows that lost the dedupe (anti join on the unique raw id)."""
-    return (objects.select("raw_id", "request_id", "payload", "received_at")
-            .join(firsts.select("raw_id"), "raw_id", "left_anti")
-            .withColumn("error", F.lit(ERR_DUPLICATE)))
+def contested(keys: DataFrame) -> DataFrame:
+    """Request ids of several rows with the raw id of the first: ``(request_id, _winner)``.
+
+    ``keys``: ``(raw_id, request_id, received_at)`` of all rows.  A partial
+    aggregation, so a request id that a third of all rows carry leaves each task as
+    one row; usually few ids are contested and the result is small.
+    """
+    return (keys.groupBy("request_id")
+            .agg(F.min(F.struct("received_at", "raw_id"))["raw_id"].alias("_winner"), F.count("*").alias("_n"))
+            .where("_n > 1").drop("_n"))
+
+
+def flag_first(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """All ``rows`` with ``is_first``: whether the row is the first of its request id.
+
+    One decision for winners and losers alike.  Rows are only looked up in the
+    contested ids, so payloads are not shuffled when those fit a broadcast, and
+    otherwise by a join that the runtime plan splits for a hot id.
+    """
+    return (rows.join(contested(keys), "request_id", "left")
+            .withColumn("is_first", F.col("_winner").isNull() | (F.col("_winner") == F.col("raw_id")))
+            .drop("_winner"))

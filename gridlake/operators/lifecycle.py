@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import ERR_UNKNOWN_RAW_ID, RATE_INTERVAL_SECONDS, RETRY_BATCH, STORE_TYPE
+from ..functions.timefn import micros
 from .intake import parse
 
 
@@ -79,6 +80,20 @@ def outcome_status(outcomes: DataFrame, attempt: int = 1, seq: int = 1,
         F.lit(seq).cast("bigint").alias("seq"))
 
 
+def status_entries(results: DataFrame) -> DataFrame:
+    """Both entries of freshly landed and processed rows, landing and outcome, from one pass over ``results``.
+
+    They carry ``received_at``, as the stored log does.
+    """
+    settled = F.col("outcome").isin("reading", "duplicate")
+    entry = "processed", "error", "attempts", "at", "seq"
+    none = F.lit(None).cast("string")
+    both = F.array(*[F.struct(*[c.alias(n) for n, c in zip(entry, values)]) for values in (
+        (F.lit(False), none, F.lit(0), F.col("received_at"), F.lit(0).cast("bigint")),
+        (settled, F.col("error"), F.lit(1), F.col("received_at"), F.lit(1).cast("bigint")))])
+    return results.select("raw_id", "received_at", F.inline(both)).select("raw_id", *entry, "received_at")
+
+
 def mark(raw_ids: DataFrame, raw: DataFrame, processed: bool, error: str | None,
          status: DataFrame | None = None, at: datetime | None = None) -> tuple[DataFrame, DataFrame]:
     """Explicit status entries: mark processed / mark error / reset for reprocessing.
@@ -116,14 +131,15 @@ def current_status(log: DataFrame) -> DataFrame:
     A hash aggregation with a partial (map-side) step, so a raw id with many
     entries collapses before the shuffle.
     """
-    latest = F.max_by(F.struct("processed", "error", "attempts", "at"), F.struct("seq", "at"))
+    timed = ["received_at"] if "received_at" in log.columns else []
+    latest = F.max_by(F.struct("processed", "error", "attempts", "at", *timed), F.struct("seq", "at"))
     return (log.groupBy("raw_id")
             .agg(latest.alias("s"), F.max("seq").alias("seq"))
-            .select("raw_id", "s.processed", "s.error", "s.attempts", "s.at", "seq"))
+            .select("raw_id", "s.processed", "s.error", "s.attempts", "s.at", "seq", *(f"s.{c}" for c in timed)))
 
 
 def with_status(raw: DataFrame, status: DataFrame) -> DataFrame:
-    return raw.join(status.drop("at"), "raw_id", "left")
+    return raw.join(status.drop("at", "received_at"), "raw_id", "left")
 
 
 def pending(raw: DataFrame, status: DataFrame, max_attempts: int | None = None) -> DataFrame:
@@ -222,36 +238,30 @@ def retention(raw: DataFrame, status: DataFrame, cutoff: datetime) -> tuple[Data
     return kept, deleted
 
 
-def apply_retention(spark, table: str, status: DataFrame, cutoff: datetime) -> int:
+def apply_retention(table, status: DataFrame, cutoff: datetime) -> int:
     """Delete processed rows before ``cutoff`` from a stored raw table; return how many.
 
-    ``table`` holds ``received_date=`` folders.  Only the dates up to the
-    cutoff's are read, joined and written again: the new version of each of them
-    is written beside the table and then switched in date by date, so a job that
-    is lost before the switch has changed nothing and one lost within it is
-    finished by the next call with the same cutoff.  Later dates are not touched.
+    ``table`` is a :class:`~gridlake.sources.versions.VersionedTable`.  Only parts
+    that begin before the cutoff are read and joined.  Dates that lose some rows
+    are written anew beside the table, dates that lose all are only left out of
+    the next version, and one commit switches to it: a job lost anywhere before
+    has changed nothing, readers of the version before go on with its files, and
+    those are deleted later by ``table.vacuum()``.
     """
-    raw = spark.read.parquet(table)
-    old = raw.where(F.col("received_date") <= F.lit(cutoff.date()))
-    joined = with_status(old, status)
+    base = table.version()
+    old = [p for p in table.parts(base) if p.first is not None and p.first < micros(cutoff)]
+    joined = with_status(table.of_parts(old), status)
     drop = ((F.col("received_at") < F.lit(cutoff).cast("timestamp"))
             & F.coalesce(F.col("processed"), F.lit(False)))
-    n = joined.where(drop).count()
-    if n:
-        staged = table.rstrip("/") + "_retained"
-        write_raw(joined.where(~drop).select(*raw.columns), staged, mode="overwrite")
-        # dates that lose all their rows have nothing to write; one row a date
-        gone = (joined.groupBy("received_date").agg(F.count_if(~drop).alias("kept"))
-                .where("kept = 0").select("received_date").collect())
-        # the staged dates replace theirs, the others go
-        kept = spark.read.schema(raw.schema).parquet(staged)
-        (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("received_date").parquet(table))
-        fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for row in gone:
-            path = fs_path(f"{table.rstrip('/')}/received_date={row[0].isoformat()}")
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    return n
+    counts = {r[0].isoformat(): (r["gone"], r["kept"]) for r in joined.groupBy(table.date).agg(   # a row a date
+        F.count_if(drop).alias("gone"), F.count_if(~drop).alias("kept")).collect()}
+    touched = {d for d, (gone, _) in counts.items() if gone}
+    if not touched:
+        return 0
+    mixed = [p for p in old if p.date in touched and counts[p.date][1]]
+    stay = with_status(table.of_parts(mixed), status).where(~drop).select(*table.schema.names)
+    table.commit(table.stage(stay) if mixed else [], [p for p in old if p.date in touched], base)
+    return sum(gone for gone, _ in counts.values())
 
 
 # ------------------------------------------------------------------ reconciliation

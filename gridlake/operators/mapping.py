@@ -270,8 +270,8 @@ def preview(df: DataFrame, mapping: CompiledMapping, v: str = "v", int_mode: str
 _OPS = ("multiply", "divide", "add", "subtract")
 
 
-def rule_arrays(registry: DataFrame) -> DataFrame:
-    """Active registry -> ``_rule_source, _nested_path, _rules`` (one row per source)."""
+def rule_arrays(registry: DataFrame, as_of: bool = False) -> DataFrame:
+    """Active registry -> ``[_epoch,] _rule_source, _nested_path, _rules`` (one row per source)."""
     from ..catalog import STANDARD_ALIASES
     from ..functions.variant import number_value as _num
     from ..sources.registry import active
@@ -302,8 +302,8 @@ def rule_arrays(registry: DataFrame) -> DataFrame:
             F.when(dflt.isNotNull(), to_bool(dflt)).alias("def_b"),
             F.coalesce(r["required"], F.lit(False)).alias("required"))
 
-    return active(registry).select(
-        F.col("source_id").alias("_rule_source"),
+    return (registry if as_of else active(registry)).select(
+        *(["_epoch"] if as_of else []), F.col("source_id").alias("_rule_source"),
         F.coalesce("nested_path", F.lit("")).alias("_nested_path"),
         F.transform("mappings", rule).alias("_rules"))
 
@@ -314,14 +314,19 @@ def _apply_op(x: Column, op: Column, k: Column) -> Column:
 
 
 def map_by_rules(df: DataFrame, registry: DataFrame, *, v: str = "v", source: str = "source_id",
-                 int_mode: str = "keep", valid: str | None = None) -> DataFrame:
+                 int_mode: str = "keep", valid: str | None = None, as_of: bool = False) -> DataFrame:
     """Same output as :func:`map_canonical`, with the rules joined in as data.
 
-    Spark picks the join by the rules' size in bytes.
+    Spark picks the join by the rules' size in bytes.  With ``as_of`` the rules are those
+    of the row's ``_epoch``.
     """
     from .common import project_once
-    rules = rule_arrays(registry)
-    joined = df.join(rules, F.col(source) == F.col("_rule_source"), "left")
+    rules = rule_arrays(registry, as_of)
+    on = F.col(source) == F.col("_rule_source")
+    if as_of:
+        rules = rules.withColumnRenamed("_epoch", "_rule_epoch")
+        on = on & (F.col("_epoch") == F.col("_rule_epoch"))
+    joined = df.join(rules, on, "left")
     root = as_object_col(F.col(v))
     staged = project_once(joined, root.alias("_root"))
     staged = project_once(staged, F.when(F.col("_nested_path") != "",

@@ -8,9 +8,32 @@ by the same single IEEE operation on the same integers as the engine does.
 
 from __future__ import annotations
 
-from ..catalog import (EXPECTED_RENAMES, FAULT_CODES, SAMPLE_MAPPING, SEED_MAPPINGS, SHORT_KEYS)
 from . import queries as QS
 
+# Fixed values, stated here again so that a wrong one in the engine shows:
+# the fault table (code, name, description, severity, action),
+FAULTS = [
+    (0, 'Normal Operation', 'System working properly', 'INFO', 'No action needed'),
+    (1, 'Low Energy Output', 'Energy below expected level', 'WARNING', 'Check panels'),
+    (2, 'High Temperature', 'Temperature exceeding normal range', 'WARNING', 'Check cooling'),
+    (3, 'Grid Connection Issue', 'Problem with grid connection', 'CRITICAL', 'Check grid connection'),
+    (4, 'Low Voltage', 'Voltage below minimum threshold', 'WARNING', 'Check connections'),
+    (5, 'High Voltage', 'Voltage above maximum threshold', 'CRITICAL', 'Disconnect immediately'),
+    (6, 'Frequency Out of Range', 'AC frequency deviation', 'WARNING', 'Monitor grid frequency'),
+    (7, 'Inverter Overload', 'Load exceeding capacity', 'CRITICAL', 'Reduce load'),
+    (8, 'Communication Error', 'Lost communication', 'WARNING', 'Check network'),
+    (9, 'Hardware Fault', 'Component failure detected', 'CRITICAL', 'Contact technician'),
+    (10, 'System Shutdown', 'Emergency shutdown activated', 'CRITICAL', 'Contact support'),
+]
+# the seed mappings (id, rules, required rules, rules with a transform, targets),
+SEEDS = [
+    ('Inv', 25, 1, 19, 'slave_id,serial_no,model_name,total_output_power,today_e,total_e,pv1_voltage,pv1_current,pv2_voltage,pv2_current,pv3_voltage,pv3_current,pv4_voltage,pv4_current,grid_voltage_r,grid_voltage_s,grid_voltage_t,grid_current_r,grid_current_s,grid_current_t,inverter_temp,frequency,alarm1,alarm2,alarm3'),
+    ('Inv_short', 24, 1, 19, 'serial_no,model,power,today_energy,total_energy,pv1_voltage,pv2_voltage,pv3_voltage,pv4_voltage,pv1_current,pv2_current,pv3_current,pv4_current,grid_voltage_r,grid_voltage_s,grid_voltage_t,grid_current_r,grid_current_s,grid_current_t,temperature,frequency,alarm1,alarm2,alarm3'),
+    ('current_format', 8, 0, 0, 'serial_no,voltage,power,frequency,today_energy,total_energy,temperature,fault_code'),
+]
+# and the keys of the payloads that have a short name.
+SHORT = {'serial_no': 'sno', 'model': 'model', 'frequency': 'fr', 'alarm1': 'al1'}
+
 
 def _s(x: str) -> str:
     return f"CAST({x} AS VARCHAR)"
@@ -112,6 +135,9 @@ READING_COLS = ("request_id, raw_id, device_type, device_name, device_id, signal
                 "alarm_1, alarm_2, alarm_3, fault_code")
 
 
+DETAIL_COLS = READING_COLS[READING_COLS.index("slave_id"):]
+
+
 def w(body: str) -> str:
     return "WITH " + BASE.strip() + "\n" + body
 
@@ -159,7 +185,7 @@ def _keys_sql(mode: str) -> str:
         else:
             if data is None:
                 continue
-            keys = sorted(SHORT_KEYS.get(k, k) for k in data)
+            keys = sorted(SHORT.get(k, k) for k in data)
         cases.append(f"WHEN {cond} THEN '{','.join(keys)}'")
     return "CASE " + " ".join(cases) + " END"
 
@@ -167,7 +193,7 @@ def _keys_sql(mode: str) -> str:
 # ---------------------------------------------------------------- statements
 
 def _fault_dim():
-    return _values([(c, n, d, s, a) for c, n, d, s, a in FAULT_CODES],
+    return _values([(c, n, d, s, a) for c, n, d, s, a in FAULTS],
                    ["code", "name", "description", "severity", "action"])
 
 
@@ -217,29 +243,89 @@ def _transform(op: str) -> str:
     return w(f"SELECT request_id, {spec} AS value, {second} FROM obj WHERE kind = 'view'")
 
 
+ENVELOPE = ("device_type", "device_name", "device_id", "date", "time", "time_zone", "latitude", "longitude",
+            "software_ver", "signal_strength", "loginterval", "battery_status", "request_id", "valid")
+EXPECTED_TEXT = ("slave_id", "serial_no", "model_name")
+EXPECTED_NUMBERS = ("total_output_power", "total_e", "today_e", "pv1_voltage", "pv1_current", "pv2_voltage",
+                    "pv2_current", "pv3_voltage", "pv3_current", "pv4_voltage", "pv4_current", "grid_voltage_r",
+                    "grid_voltage_s", "grid_voltage_t", "grid_current_r", "grid_current_s", "grid_current_t",
+                    "inverter_temp", "frequency")
+EXPECTED_ALARMS = ("alarm_1", "alarm_2", "alarm_3")
+
+
+def _expected_columns(given: dict[str, str]) -> str:
+    """All 40 columns; those not given are empty."""
+    zero = {**dict.fromkeys(ENVELOPE + EXPECTED_TEXT, "''"), **dict.fromkeys(EXPECTED_NUMBERS, _d(0)),
+            **dict.fromkeys(EXPECTED_ALARMS, "CAST(0 AS BIGINT)"), "latitude": "'0'", "longitude": "'0'",
+            "battery_status": "'0'", "valid": "true", "error": "CAST(NULL AS VARCHAR)"}
+    assert set(given) <= set(zero)
+    return ", ".join(f'{given.get(c, z)} AS "{c}"' for c, z in zero.items())
+
+
 def _expected() -> str:
     # device_type 'Inv' (click) and unknown types use the short-key table; only
     # view payloads carry short keys, so they are the only rows with values.
-    assert "Inv" in EXPECTED_RENAMES
-    z = _d(0)
-    return w(f"""SELECT request_id,
-        CASE WHEN kind = 'click' THEN 'Inv' ELSE '' END AS device_type,
-        CASE WHEN kind = 'error' THEN '' ELSE 'N' || {_s('uid')} END AS device_name,
-        CASE WHEN kind = 'signup' THEN '' ELSE dev END AS device_id,
-        '0' AS latitude, '0' AS longitude, '0' AS battery_status, true AS valid,
-        CASE WHEN kind = 'view' THEN 'SN' || {_s('uid')} ELSE '' END AS serial_no,
-        CASE WHEN kind = 'view' THEN 'M' || {_s('k % 4')} ELSE '' END AS model_name,
-        CASE WHEN kind = 'view' THEN {_d('cents')} ELSE {z} END AS total_output_power,
-        CASE WHEN kind = 'view' THEN {_d('k')} ELSE {z} END AS today_e,
-        CASE WHEN kind = 'view' THEN {_d('cents')} ELSE {z} END AS total_e,
-        CASE WHEN kind = 'view' THEN {_d('k')} ELSE {z} END AS pv1_voltage,
-        CASE WHEN kind = 'view' THEN {_d(2300)} ELSE {z} END AS grid_voltage_r,
-        CASE WHEN kind = 'view' THEN {_d('k')} ELSE {z} END AS inverter_temp,
-        CASE WHEN kind = 'view' THEN {_d(5000)} ELSE {z} END AS frequency,
-        CAST(0 AS BIGINT) AS alarm_1,
-        CASE WHEN kind = 'view' THEN k % 3 ELSE 0 END AS alarm_2,
-        CASE WHEN kind = 'error' THEN 'no data object found in payload' END AS error
-        FROM obj""")
+    def view(x):
+        return f"CASE WHEN kind = 'view' THEN {_d(x)} ELSE {_d(0)} END"
+    columns = _expected_columns({
+        "device_type": "CASE WHEN kind = 'click' THEN 'Inv' ELSE '' END",
+        "device_name": f"CASE WHEN kind = 'error' THEN '' ELSE 'N' || {_s('uid')} END",
+        "device_id": "CASE WHEN kind = 'signup' THEN '' ELSE dev END",
+        "signal_strength": f"CASE WHEN kind = 'click' THEN {_s('k % 5')} ELSE '' END",
+        "request_id": "request_id",
+        "serial_no": f"CASE WHEN kind = 'view' THEN 'SN' || {_s('uid')} ELSE '' END",
+        "model_name": f"CASE WHEN kind = 'view' THEN 'M' || {_s('k % 4')} ELSE '' END",
+        "total_output_power": view("cents"), "today_e": view("k"), "total_e": view("cents"),
+        "pv1_voltage": view("k"), "grid_voltage_r": view(2300), "inverter_temp": view("k"), "frequency": view(5000),
+        # a click's frequency has its long name, which the short-key table does not read
+        "alarm_2": "CASE WHEN kind = 'view' THEN k % 3 ELSE 0 END",
+        "error": "CASE WHEN kind = 'error' THEN 'no data object found in payload' END"})
+    return w(f"SELECT {columns} FROM obj")
+
+
+def _mixed_columns() -> dict[str, str]:
+    power = f"CASE m WHEN 0 THEN {_d('cents')} WHEN 1 THEN {_d('cents')} + {_d('0.25')} ELSE {_d(0)} END"
+    alarm = "CASE WHEN m = 2 THEN 0 ELSE k % 11 END"
+
+    def short(x, z):
+        return f"CASE WHEN event_id % 2 = 0 THEN {x} ELSE {z} END"
+
+    def legacy(x, z):
+        return f"CASE WHEN event_id % 2 = 1 THEN {x} ELSE {z} END"
+    return {
+        "device_type": "CASE WHEN event_id % 2 = 0 THEN 'Inv' ELSE 'current_format' END",
+        "device_name": f"'N' || {_s('uid')}", "device_id": "dev",
+        "date": "strftime(ts, '%d/%m/%Y')", "time": "strftime(ts, '%H:%M:%S')",
+        "time_zone": "CASE uid % 3 WHEN 0 THEN 'Asia/Kolkata' WHEN 1 THEN 'UTC' ELSE '' END",
+        "latitude": f"CASE WHEN m < 3 THEN {_s('k % 90')} || '.5' ELSE '0' END",
+        "software_ver": f"'v' || {_s('k % 7')}", "request_id": f"'mix-' || {_s('event_id')}",
+        "serial_no": f"CASE WHEN m = 5 THEN '' ELSE 'SN' || {_s('uid')} END",
+        "total_output_power": power, "today_e": power, "pv1_voltage": _d("k"),
+        "grid_current_t": short(power, _d(0)), "inverter_temp": legacy(power, _d(0)),
+        "alarm_1": short(alarm, "CAST(0 AS BIGINT)"), "alarm_3": short("k % 2", "CAST(0 AS BIGINT)")}
+
+
+MIXED = "mixed AS (SELECT *, (event_id // 2) % 6 AS m FROM ev)\n"
+
+
+def _mixed_base() -> str:
+    return "WITH " + BASE.strip() + ",\n" + MIXED
+
+
+def _documents() -> str:
+    """The document's text: fields in order, empty ones left out."""
+    given = _mixed_columns()
+    inner = _mixed_base() + f"SELECT {_expected_columns(given)} FROM mixed"
+    parts = []
+    for c in ENVELOPE + EXPECTED_TEXT + EXPECTED_NUMBERS + EXPECTED_ALARMS:
+        if c == "valid":
+            parts.append("'\"valid\":true'")
+        elif c in EXPECTED_NUMBERS + EXPECTED_ALARMS:
+            parts.append(f"CASE WHEN \"{c}\" <> 0 THEN '\"{c}\":' || CAST(\"{c}\" AS VARCHAR) END")
+        else:
+            parts.append(f"CASE WHEN \"{c}\" <> '' THEN '\"{c}\":\"' || \"{c}\" || '\"' END")
+    return (f"SELECT request_id, '{{' || concat_ws(',', {', '.join(parts)}) "
+            f"|| '}}' AS document FROM ({inner})")
 
 
 def _alias_canonical() -> str:
@@ -331,12 +417,7 @@ def _payload_text() -> str:
 
 
 def _mapping_usage() -> str:
-    rows = []
-    for m in SEED_MAPPINGS:
-        rules = m["rules"]
-        rows.append((m["source_id"], len(rules), sum(1 for r in rules if r[5]),
-                     sum(1 for r in rules if r[3]), ",".join(r[1] for r in rules)))
-    reg = _values(rows, ["source_id", "fields", "required_fields", "transformed_fields", "targets"])
+    reg = _values(SEEDS, ["source_id", "fields", "required_fields", "transformed_fields", "targets"])
     return w(f"""SELECT t.source_id, CAST(t.fields AS BIGINT) AS fields,
         CAST(t.required_fields AS BIGINT) AS required_fields,
         CAST(t.transformed_fields AS BIGINT) AS transformed_fields, t.targets,
@@ -346,14 +427,12 @@ def _mapping_usage() -> str:
 
 
 def _mapping_lookup() -> str:
-    rows = [(m["source_id"], len(m["rules"])) for m in SEED_MAPPINGS]
-    reg = _values(rows, ["source_id", "n_rules"])
+    reg = _values([seed[:2] for seed in SEEDS], ["source_id", "n_rules"])
     return w(f"""SELECT t.source_id, CAST(t.n_rules AS INTEGER) AS n_rules, count(*) AS n
         FROM obj JOIN {reg} ON obj.src = t.source_id GROUP BY t.source_id, t.n_rules""")
 
 
 def _mapping_preview() -> str:
-    assert SAMPLE_MAPPING["rules"][0][0] == "sno"
     return w(f"""SELECT request_id,
         CASE WHEN kind = 'view' THEN 'SN' || {_s('uid')} END AS serial_no,
         CASE WHEN kind = 'view' THEN {_d('cents')} / {_d(1000)} END AS power,
@@ -410,9 +489,9 @@ def statements() -> dict[str, str]:
             'device_id=' || device_id || ',device_name=' || device_name || ',device_type=' || device_type
             || CASE WHEN signal_strength <> '' THEN ',signal_strength=' || signal_strength ELSE '' END
             || ',source=solar_monitoring' AS tags,
-            total_output_power, alarm_1, ts AS time FROM rd"""),
-        "points_roundtrip": w("SELECT request_id, device_type, device_id, signal_strength, serial_no, "
-                              "total_output_power, inverter_temp, alarm_1, fault_code, ts FROM rd"),
+            """ + DETAIL_COLS + """, ts AS time FROM rd"""),
+        "points_roundtrip": w("SELECT request_id, device_type, device_name, device_id, signal_strength, "
+                              f"{DETAIL_COLS}, ts FROM rd"),
         "records_filter": _listing(flt, QS.FILTER_LIMIT, QS.FILTER_OFFSET),
         "records_count": w(f"SELECT count(*) AS total FROM rd {flt}"),
         "fault_only": w(f"SELECT request_id, alarm_1, alarm_2, alarm_3, fault_code FROM rd "
@@ -490,4 +569,30 @@ def statements() -> dict[str, str]:
         "mapping_preview": _mapping_preview(),
         "typed_getters": _typed_getters(),
         "stream_ingest": w(f"SELECT {READING_COLS} FROM rd"),
+        "expected_format_mixed": _mixed_base() + f"SELECT {_expected_columns(_mixed_columns())} FROM mixed",
+        "documents_omit_empty": _documents(),
+        "device_local_time": _mixed_base() + f"""SELECT 'mix-' || {_s('event_id')} AS request_id,
+            CASE uid % 3 WHEN 0 THEN 'Asia/Kolkata' WHEN 1 THEN 'UTC' ELSE '' END AS time_zone,
+            date_trunc('second', ts) - CASE WHEN uid % 3 = 0 THEN INTERVAL 330 MINUTE ELSE INTERVAL 0 MINUTE END
+              AS device_time FROM mixed""",
+        "page_deep": _listing("", QS.DEEP_SIZE, (QS.DEEP_PAGE - 1) * QS.DEEP_SIZE, page_cols),
+        "mark_status": w(f"""SELECT 'raw-' || {_s('event_id')} || '-0' AS raw_id, true AS processed,
+              CAST(NULL AS VARCHAR) AS error, CAST(2 AS INTEGER) AS attempts FROM ev WHERE event_id % 20 = 1
+            UNION ALL SELECT 'raw-' || {_s('event_id')} || '-9', NULL, 'unknown raw id', NULL
+              FROM ev WHERE event_id % 20 = 3"""),
+        "registry_as_of": w(f"""SELECT request_id, device_type, serial_no, inverter_temp FROM rd
+            UNION ALL SELECT request_id, CASE WHEN kind = 'click' THEN 'Inv' ELSE 'foo_device' END,
+              CASE WHEN kind = 'click' THEN 'UNKNOWN' ELSE '' END,
+              CASE WHEN kind = 'click' THEN {_d('k * 10 + 5')} / {_d(10)} ELSE {_d('k')} END
+            FROM obj WHERE ((kind = 'click' AND event_id % 25 = 3) OR kind = 'error')
+              AND received_at >= {_ts(QS.RETENTION_CUTOFF)}"""),
+        "stream_dedupe": w("SELECT raw_id, processed, error, CAST(attempts AS INTEGER) AS attempts FROM cur"),
+        "batch_stats": w("SELECT CAST(2 AS BIGINT) AS batches, count(*) AS records FROM pay"),
+        "stream_flush": w(f"""SELECT (n - 1) // {QS.FLUSH_SIZE} AS flush, count(*) AS records,
+              count(*) FILTER (WHERE outcome = 'reading') AS readings,
+              count(*) FILTER (WHERE outcome = 'reject') AS rejects,
+              count(*) FILTER (WHERE outcome = 'duplicate') AS duplicates
+            FROM (SELECT outcome, row_number() OVER (ORDER BY received_at, raw_id) AS n FROM outc) GROUP BY 1"""),
+        "stream_rate": w("""SELECT time_bucket(INTERVAL '5 seconds', received_at) AS window_start,
+            count(*) AS received, count(*) / 5.0::DOUBLE AS received_per_sec FROM pay GROUP BY 1"""),
     }

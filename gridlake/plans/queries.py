@@ -13,9 +13,9 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..catalog import READING_COLUMNS, SAMPLE_MAPPING, SEED_MAPPINGS
+from ..catalog import DETAIL_COLUMNS, READING_COLUMNS, RETRY_BATCH, SAMPLE_MAPPING, SEED_MAPPINGS
 from ..functions.keys import payload_keys, rename_short_keys
-from ..functions.timefn import event_time
+from ..functions.timefn import device_local_time, event_time
 from ..functions.transform import scale
 from ..functions.variant import (as_object, convert, get_float, get_int, get_string,
                                  get_string_strict, string_if_string)
@@ -25,10 +25,14 @@ from ..operators import query as Q
 from ..operators.detect import detect, detect_by_join
 from ..operators.intake import vget
 from ..operators.mapping import preview
+from ..functions.memo import memo
+from ..operators import metrics as M
 from ..session import prepare, scratch_path
 from ..sources import registry as R
-from ..sources.payloads import payload_rows, payloads
-from ..sources.sinks import from_points, read_readings, tag_set, to_points, write_readings
+from ..sources.files import Files
+from ..sources.payloads import mixed_rows, payload_rows, payloads
+from ..sources.sinks import from_points, tag_set, to_points
+from .lake import Lake, raw_table
 from .normalize import Normalized, normalize
 from .reprocess import reprocess
 
@@ -40,6 +44,8 @@ FILTER_START = datetime(2024, 1, 3, tzinfo=UTC)
 FILTER_END = datetime(2024, 1, 25, 23, 59, 59, tzinfo=UTC)
 FILTER_OFFSET, FILTER_LIMIT = 5, 20
 PAGE_NO, PAGE_SIZE = 3, 50
+DEEP_PAGE, DEEP_SIZE = 100, 7
+FLUSH_SIZE = 2500
 LATEST_N = 10
 RANGE_START = datetime(2024, 1, 10, tzinfo=UTC)
 RANGE_END = datetime(2024, 1, 12, tzinfo=UTC)
@@ -62,8 +68,17 @@ def out_ts(df: DataFrame, *cols: str) -> DataFrame:
 
 # ------------------------------------------------------------------ shared inputs
 
+def stored_registry(spark: SparkSession, name: str, build) -> DataFrame:
+    """A registry as a stored table, written once per application (configuration, not data)."""
+    def write():
+        path = scratch_path(spark, name)
+        build().coalesce(1).write.parquet(path)
+        return path
+    return spark.read.parquet(memo(("registry at", name), write))
+
+
 def registry(spark: SparkSession) -> DataFrame:
-    return R.seed_registry(spark)
+    return stored_registry(spark, "registry", lambda: R.seed_registry(spark))
 
 
 def ingest(spark: SparkSession, sf_dir: str, **kw) -> Normalized:
@@ -76,27 +91,29 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest(spark, sf_dir).readings
 
 
-_STORES: dict[tuple[str, str], str] = {}
+def lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """The stored tables of one ingest of the input, written once per application and state of its files.
 
-
-def stored_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The readings as a stored table: date folders, sorted by device and time.
-
-    Written once per application and input under the shared scratch folder; the
-    read queries then scan it with partition and column pruning instead of
-    normalising the payloads again.
+    Landing, normalisation, status entries and counters run once; the queries
+    over stored tables then read those, as they would on a running service.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORES:
-        path = scratch_path(spark, "readings")
-        write_readings(readings(spark, sf_dir), path, mode="overwrite")
-        _STORES[key] = path
     prepare(spark)
-    return read_readings(spark, _STORES[key])
+    source = f"{sf_dir.rstrip('/')}/events.parquet"
+    files = Files(spark, source)
+    names = files.names("")
+    state = tuple((n, files.modified(n if len(names) > 1 or n != source.rsplit("/", 1)[1] else "")) for n in sorted(names))
+
+    def build():
+        made = Lake(spark, scratch_path(spark, "lake"))
+        landed = made.land(payloads(spark, sf_dir))
+        made.process(landed, registry(spark))
+        return made.root
+    return Lake(spark, memo(("lake", source, state), build))
 
 
-def status_log(n: Normalized, raw: DataFrame) -> DataFrame:
-    return L.landing_status(raw).unionByName(L.outcome_status(n.outcomes))
+def stored_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored readings: date folders, sorted by device and time."""
+    return lake(spark, sf_dir).readings.read()
 
 
 # ------------------------------------------------------------------ normalisation
@@ -216,25 +233,42 @@ def q_request_ids(spark, sf):
 def q_expected_format(spark, sf):
     n = ingest(spark, sf)
     df = X.expected_format(n.firsts, keep=[])
-    return df.select("request_id", "device_type", "device_name", "device_id", "latitude",
-                     "longitude", "battery_status", "valid", "serial_no", "model_name",
-                     "total_output_power", "today_e", "total_e", "pv1_voltage",
-                     "grid_voltage_r", "inverter_temp", "frequency", "alarm_1", "alarm_2",
-                     "error")
+    return df
+
+
+def _mixed(spark, sf) -> DataFrame:
+    """Expected format of the payloads of loose senders: numbers as text, fractions, booleans, arrays and null."""
+    prepare(spark)
+    n = normalize(mixed_rows(spark, sf), registry(spark))
+    return X.expected_format(n.firsts, keep=[])
+
+
+def q_expected_format_mixed(spark, sf):
+    return _mixed(spark, sf)
+
+
+def q_documents_omit_empty(spark, sf):
+    """The documents of those payloads with empty fields left out."""
+    df = _mixed(spark, sf).drop("error")
+    return X.to_document(df, df.columns).select("request_id", "document")
+
+
+def q_device_local_time(spark, sf):
+    """Device time from its date, time and zone strings (P25)."""
+    at = device_local_time(F.col("date"), F.col("time"), F.col("time_zone"))
+    return _mixed(spark, sf).select("request_id", "time_zone", ntz(at).alias("device_time"))
 
 
 def q_points(spark, sf):
     p = to_points(readings(spark, sf))
     return p.select("request_id", "measurement", tag_set(F.col("tags")).alias("tags"),
-                    F.col("fields.total_output_power").alias("total_output_power"),
-                    F.col("fields.alarm_1").alias("alarm_1"), ntz("time").alias("time"))
+                    *[F.col(f"fields.{c}").alias(c) for c in DETAIL_COLUMNS], ntz("time").alias("time"))
 
 
 def q_points_roundtrip(spark, sf):
     back = from_points(to_points(readings(spark, sf)))
-    return out_ts(back.select("request_id", "device_type", "device_id", "signal_strength",
-                              "serial_no", "total_output_power", "inverter_temp", "alarm_1",
-                              "fault_code", "ts"), "ts")
+    return out_ts(back.select("request_id", "device_type", "device_name", "device_id", "signal_strength",
+                              *DETAIL_COLUMNS, "ts"), "ts")
 
 
 # ------------------------------------------------------------------ reads
@@ -268,7 +302,7 @@ def q_normal_only(spark, sf):
 
 
 def q_time_range(spark, sf):
-    raw = L.land(payloads(spark, sf))
+    raw = lake(spark, sf).raw.read(start=RANGE_START, end=RANGE_END)
     out = L.by_time_range(raw, RANGE_START, RANGE_END, RANGE_LIMIT)
     return out_ts(out.select("raw_id", "request_id", "received_at"), "received_at")
 
@@ -278,7 +312,12 @@ PAGE_COLS = ["request_id", "ts", "device_name", "pv1_voltage", "total_output_pow
 
 
 def q_page_listing(spark, sf):
-    return out_ts(Q.page(stored_readings(spark, sf), PAGE_NO, PAGE_SIZE).select(*PAGE_COLS), "ts")
+    return out_ts(Q.page_of(lake(spark, sf).readings, PAGE_NO, PAGE_SIZE).select(*PAGE_COLS), "ts")
+
+
+def q_page_deep(spark, sf):
+    """A page far from the newest row, read from the hours that hold it."""
+    return out_ts(Q.page_of(lake(spark, sf).readings, DEEP_PAGE, DEEP_SIZE).select(*PAGE_COLS), "ts")
 
 
 def q_page_meta(spark, sf):
@@ -294,7 +333,7 @@ def q_latest_faults(spark, sf):
 
 
 def q_active_faults(spark, sf):
-    return out_ts(Q.active_faults(stored_readings(spark, sf)), "ts")
+    return out_ts(Q.active_faults(lake(spark, sf).readings), "ts")
 
 
 def q_latest_faults_per_code(spark, sf):
@@ -334,29 +373,42 @@ def q_sql_adhoc(spark, sf):
 # ------------------------------------------------------------------ stats and raw lifecycle
 
 def q_ingest_stats(spark, sf):
-    n = ingest(spark, sf)
-    return L.ingest_stats(n.outcomes, F.col("fault"))
+    """Counters observed while the run was written."""
+    return M.ingest_stats(lake(spark, sf).batches())
 
 
 def q_raw_stats(spark, sf):
-    n = ingest(spark, sf)
-    raw = L.land(payloads(spark, sf))
-    return L.raw_stats(L.current_status(status_log(n, raw)))
+    return M.raw_stats(lake(spark, sf).batches())
 
 
 def q_raw_current_status(spark, sf):
-    n = ingest(spark, sf)
-    raw = L.land(payloads(spark, sf))
-    return L.current_status(status_log(n, raw)).select("raw_id", "processed", "error", "attempts")
+    return lake(spark, sf).status.current().select("raw_id", "processed", "error", "attempts")
 
 
 def q_pending_oldest(spark, sf):
-    n = ingest(spark, sf)
-    raw = L.land(payloads(spark, sf))
-    p = L.pending_oldest(raw, L.current_status(status_log(n, raw)))
+    """The oldest pending rows, from the status log alone."""
+    p = (lake(spark, sf).status.pending().orderBy(F.col("received_at").asc(), F.col("raw_id").asc())
+         .limit(RETRY_BATCH))
     return out_ts(p.select("raw_id", "received_at", "error"), "received_at")
 
 
+def q_mark_status(spark, sf):
+    """Rows marked processed by id, and asked-for ids that never landed.
+
+    One event in twenty is marked by its raw id; another one in twenty is asked for
+    under an id that no row has.
+    """
+    stored = lake(spark, sf)
+    events = spark.read.parquet(f"{sf}/events.parquet").select("event_id")
+    ids = events.where("event_id % 20 in (1, 3)").select(F.concat(
+        F.lit("raw-"), F.col("event_id").cast("string"),
+        F.when(F.col("event_id") % 20 == 1, F.lit("-0")).otherwise(F.lit("-9"))).alias("raw_id"))
+    current = stored.status.current()
+    entries, unknown = L.mark(ids, current, True, None, status=current, at=FIX_AT)
+    return entries.select("raw_id", "processed", "error", "attempts").unionByName(
+        unknown, allowMissingColumns=True)
+
+
 FIXED_INV = dict(SEED_MAPPINGS[0])
 FIXED_INV["rules"] = [(r[0], r[1], r[2], r[3], "UNKNOWN", False) if r[0] == "serialno" else r
                       for r in SEED_MAPPINGS[0]["rules"]]
@@ -365,25 +417,37 @@ FOO_MAPPING = {"source_id": "foo_device", "description": "unmatched layout", "ne
 FIX_AT = datetime(2024, 2, 1, tzinfo=UTC)
 
 
-def fixed_registry(spark) -> DataFrame:
+def fixed_registry(spark, at: datetime = FIX_AT) -> DataFrame:
     reg = registry(spark)
-    reg = R.update_mapping(spark, reg, FIXED_INV, at=FIX_AT)
-    return R.create_mapping(spark, reg, FOO_MAPPING, at=FIX_AT)
+    reg = R.update_mapping(spark, reg, FIXED_INV, at=at)
+    return R.create_mapping(spark, reg, FOO_MAPPING, at=at)
 
 
 def q_reprocess(spark, sf):
-    n = ingest(spark, sf)
-    raw = L.land(payloads(spark, sf))
-    status = L.current_status(status_log(n, raw))
-    result = reprocess(raw, status, fixed_registry(spark))
+    stored = lake(spark, sf)
+    result = reprocess(stored.raw.read(), stored.status.current(), fixed_registry(spark),
+                       stored_request_ids=stored.readings.read().select("request_id"))
     return result.readings.select("request_id", "device_type", "serial_no", "inverter_temp")
 
 
+def q_registry_as_of(spark, sf):
+    """A replay of all payloads, each by the registry in force when it was received.
+
+    The registry gets a corrected mapping and a new one at RETENTION_CUTOFF.
+    """
+    prepare(spark)
+    changed = stored_registry(spark, "registry-changed", lambda: fixed_registry(spark, RETENTION_CUTOFF))
+    run = normalize(lake(spark, sf).raw.read(), changed, as_of=True)
+    return run.readings.select("request_id", "device_type", "serial_no", "inverter_temp")
+
+
 def q_retention(spark, sf):
-    n = ingest(spark, sf)
-    raw = L.land(payloads(spark, sf))
-    kept, _deleted = L.retention(raw, L.current_status(status_log(n, raw)), RETENTION_CUTOFF)
-    return out_ts(kept.select("raw_id", "received_at"), "received_at")
+    """The raw table after old processed rows have been deleted from it."""
+    stored = lake(spark, sf)
+    table = raw_table(spark, scratch_path(spark, "retention"))
+    table.append(stored.raw.read())
+    L.apply_retention(table, stored.status.current(), RETENTION_CUTOFF)
+    return out_ts(table.read().select("raw_id", "received_at"), "received_at")
 
 
 def q_reconcile(spark, sf):
@@ -392,8 +456,7 @@ def q_reconcile(spark, sf):
 
 
 def q_ingest_rate(spark, sf):
-    n = ingest(spark, sf)
-    return out_ts(L.ingest_rate(n.outcomes), "window_start")
+    return out_ts(L.ingest_rate(lake(spark, sf).outcomes()), "window_start")
 
 
 def q_raw_landing(spark, sf):
@@ -466,6 +529,46 @@ def q_stream_ingest(spark, sf):
     return out_ts(out.select(*READING_COLUMNS), "ts")
 
 
+def _drained(spark, sf):
+    """An ingest stream that got all payloads, and on a later day the resent ones again."""
+    from ..streaming.ingest import Drained, StreamConfig, drain
+
+    def run():
+        rows = payload_rows(spark, sf)
+        first = rows.where("copy = 0")
+        later = rows.where("copy = 1").withColumn("received_at", F.col("received_at") + F.make_dt_interval(days=F.lit(1)))
+        out = drain(spark, [first, later], registry(spark))
+        return out.cfg.sink, out.cfg.checkpoint
+    sink, checkpoint = memo(("drained", sf, lake(spark, sf).root), run)
+    return Drained(spark, StreamConfig(sink=sink, checkpoint=checkpoint))
+
+
+def q_stream_dedupe(spark, sf):
+    """Each raw row's state after a stream that meets resends a day after the first copy."""
+    return L.current_status(_drained(spark, sf).status()).select("raw_id", "processed", "error", "attempts")
+
+
+def q_batch_stats(spark, sf):
+    """Writer counters of that stream."""
+    return M.batch_stats(_drained(spark, sf).batches()).drop("last_flush")
+
+
+def q_stream_flush(spark, sf):
+    """Records, readings, rejects and duplicates of every flush of at most FLUSH_SIZE records."""
+    from ..streaming.ingest import drain
+    out = drain(spark, [payload_rows(spark, sf)], registry(spark), batch_size=FLUSH_SIZE)
+    return out.batches().select("flush", F.col("landed").alias("records"), "readings", "rejects", "duplicates")
+
+
+def q_stream_rate(spark, sf):
+    """The ingest rate kept by a stream over two deliveries (T5)."""
+    from ..streaming.ingest import run_rate
+    rows = payload_rows(spark, sf)
+    cut = F.lit(RETENTION_CUTOFF).cast("timestamp")
+    out = run_rate(spark, [rows.where(F.col("received_at") < cut), rows.where(F.col("received_at") >= cut)])
+    return out_ts(out, "window_start")
+
+
 QUERIES = {
     "normalize_canonical": q_normalize_canonical,
     "normalize_rule_plan": q_normalize_rule_plan,
@@ -523,5 +626,15 @@ QUERIES = {
     "mapping_preview": q_mapping_preview,
     "typed_getters": q_typed_getters,
     "stream_ingest": q_stream_ingest,
+    "expected_format_mixed": q_expected_format_mixed,
+    "documents_omit_empty": q_documents_omit_empty,
+    "device_local_time": q_device_local_time,
+    "page_deep": q_page_deep,
+    "mark_status": q_mark_status,
+    "registry_as_of": q_registry_as_of,
+    "stream_dedupe": q_stream_dedupe,
+    "batch_stats": q_batch_stats,
+    "stream_flush": q_stream_flush,
+    "stream_rate": q_stream_rate,
 }
 

@@ -126,3 +126,40 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landing input: raw_id, payload, received_at, source_ip."""
     return payload_rows(spark, sf_dir).select(
         "raw_id", "payload", "received_at", F.lit("").alias("source_ip"))
+
+
+def mixed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second payload of every event, as loose senders write it: raw_id, event_id, payload, received_at.
+
+    Even events use the short-key layout, odd ones the layout of
+    ``current_format``.  Power and energy come, by half the event id modulo 6, as text with a
+    numeric prefix, as a fraction, as a boolean, as an array, as null and as text
+    without a number; date, time and zone of the device are strings.
+    """
+    prepare(spark)
+    ev = event_columns(spread(spark.read.parquet(f"{sf_dir}/events.parquet")))
+    eid, uid, k, cents = F.col("event_id"), F.col("user_id"), F.col("k"), F.col("cents")
+    kind = F.shiftright(eid, 1) % 6
+    power = (F.when(kind == 0, _q(F.concat(_s(cents), F.lit(" mW"))))
+             .when(kind == 1, F.concat(_s(cents), F.lit(".25")))
+             .when(kind == 2, F.lit("true")).when(kind == 3, F.concat(F.lit("["), _s(cents), F.lit("]")))
+             .when(kind == 4, F.lit("null")).otherwise(F.lit('"n/a"')))
+    alarm = (F.when(kind == 0, _q(F.concat(_s(k % 11), F.lit(" active")))).when(kind == 1, F.concat(_s(k % 11), F.lit(".75")))
+             .when(kind == 2, F.lit("false")).otherwise(_s(k % 11)))
+    serial = F.when(kind == 5, _s(uid)).otherwise(_q(F.concat(F.lit("SN"), _s(uid))))
+    zone = (F.when(uid % 3 == 0, F.lit("Asia/Kolkata")).when(uid % 3 == 1, F.lit("UTC")).otherwise(F.lit("")))
+    short = F.concat(_kv("sno", serial), _kv("p", power), _kv("e", power), _kv("pv1v", k), _kv("gct", power),
+                     _kv("al1", alarm), _kv("al3", k % 2, comma=False))
+    legacy = F.concat(_kv("serial_no", serial), _kv("total_output_power", power), _kv("today_e", power),
+                      _kv("s1v", k), _kv("inv_temp", power), _kv("fault_code", alarm, comma=False))
+    text = F.concat(
+        F.lit("{"), _kv("request_id", F.concat(F.lit("mix-"), _s(eid)), True),
+        _kv("device_type", F.when(eid % 2 == 0, F.lit("Inv")).otherwise(F.lit("current_format")), True),
+        _kv("device_id", F.col("dev"), True), _kv("device_name", F.concat(F.lit("N"), _s(uid)), True),
+        _kv("date", F.date_format("ts", "dd/MM/yyyy"), True), _kv("time", F.date_format("ts", "HH:mm:ss"), True),
+        _kv("time_zone", zone, True),
+        _kv("latitude", F.when(kind < 3, _q(F.concat(_s(k % 90), F.lit(".5")))).otherwise(_s(k % 90))),
+        _kv("software_ver", F.concat(F.lit("v"), _s(k % 7)), True), _kv("loginterval", k % 60),
+        F.lit('"data":{'), F.when(eid % 2 == 0, short).otherwise(legacy), F.lit("}}"))
+    return ev.select(F.concat(F.lit("mix-"), _s(eid)).alias("raw_id"), "event_id", text.alias("payload"),
+                     F.col("ts").cast("timestamp").alias("received_at"))

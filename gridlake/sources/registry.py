@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..catalog import (DATA_TYPES, REGISTRY_SCHEMA, SAMPLE_MAPPING, SEED_MAPPINGS)
+from ..functions.memo import memo
 from ..functions.transform import Transform, parse_transform, transform_error
 
 # A compiled registry becomes column expressions on the driver; this bounds
@@ -50,10 +51,7 @@ def mapping_row(spec: dict, version: int = 1, active: bool = True,
 
 def registry_frame(spark: SparkSession, specs: list[dict], version: int = 1,
                    at: datetime = EPOCH) -> DataFrame:
-    df = spark.createDataFrame([mapping_row(s, version, True, at) for s in specs],
-                               REGISTRY_SCHEMA)
-    df._gridlake_specs = list(specs)   # the rows' source: lets the compiler skip a job
-    return df
+    return spark.createDataFrame([mapping_row(s, version, True, at) for s in specs], REGISTRY_SCHEMA)
 
 
 def empty_registry(spark: SparkSession) -> DataFrame:
@@ -84,6 +82,44 @@ def active(registry: DataFrame) -> DataFrame:
     return latest(registry).where(F.col("active"))
 
 
+def as_of(registry: DataFrame, at: datetime) -> DataFrame:
+    """The active mappings at a time: of each id the latest version made until then."""
+    return active(registry.where(F.col("updated_at") <= F.lit(at).cast("timestamp")))
+
+
+def change_times(registry: DataFrame) -> list[datetime]:
+    """When the registry changed, oldest first (configuration: a row a change)."""
+    return [r[0] for r in registry.select("updated_at").distinct().orderBy("updated_at").collect()]
+
+
+def in_force(registry: DataFrame) -> DataFrame:
+    """Active mappings by epoch: ``_epoch`` n lies between the n-th change of the registry and the next.
+
+    A version is in force from its own change to the one that brings the next
+    version of its id.  The epochs of that span are counted out, so that payloads
+    are joined on equal epochs and not on ranges of times.
+    """
+    times = change_times(registry)
+    epoch = F.size(F.filter(_times(times), lambda t: t <= F.col("updated_at")))
+    following = F.lead("_from", 1, len(times) + 1).over(Window.partitionBy("source_id").orderBy("version"))
+    return (registry.withColumn("_from", epoch).withColumn("_until", following)
+            .where(F.col("active") & (F.col("_from") < F.col("_until")))
+            .withColumn("_epoch", F.explode(F.sequence(F.col("_from"), F.col("_until") - 1)))
+            .drop("_from", "_until"))
+
+
+def with_epoch(payloads: DataFrame, registry: DataFrame) -> DataFrame:
+    """Add ``_epoch`` by ``received_at``; 0 before the first change, when no mapping is in force."""
+    times = change_times(registry)
+    return payloads.withColumn("_epoch", F.size(F.filter(_times(times), lambda t: t <= F.col("received_at"))))
+
+
+def _times(times: list[datetime]):
+    # as microseconds: a collected time has no zone of its own
+    return F.array(*[F.timestamp_micros(F.lit(int(t.timestamp() * 1_000_000))) for t in times]) if times \
+        else F.array().cast("array<timestamp>")
+
+
 def by_id(registry: DataFrame, source_id: str) -> DataFrame:
     """One active mapping by id; an empty result means not found."""
     return active(registry).where(F.col("source_id") == F.lit(source_id))
@@ -308,27 +344,35 @@ def compile_rows(rows) -> list[CompiledMapping]:
     return sorted(out, key=lambda m: m.source_id)
 
 
-def compile_registry(registry: DataFrame) -> list[CompiledMapping]:
-    """Pull the active registry to the driver, after checking its size.
+def _once(registry: DataFrame, what: str, work):
+    """``work()``, kept for a registry that is read from files as it is.
 
-    A registry frame built from Python specs carries its specs in
-    ``_gridlake_specs``; those compile without a Spark job.
+    Files are never changed, so the same ones hold the same mappings, and a
+    registry that has been written again consists of others.
     """
-    specs = getattr(registry, "_gridlake_specs", None)
-    if specs is not None:
-        return compile_specs(specs)
-    return _compile_registry(registry)
+    if registry._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        return work()
+    return memo((what, tuple(sorted(registry.inputFiles()))), work)
+
+
+def registry_size(registry: DataFrame) -> tuple[int, int]:
+    """Active sources and all their rules."""
+    return _once(registry, "registry size", lambda: tuple(
+        active(registry).agg(F.count("*"), F.coalesce(F.sum(F.size("mappings")), F.lit(0))).first()))
+
+
+def compile_registry(registry: DataFrame) -> list[CompiledMapping]:
+    """Pull the active registry to the driver, after checking its size."""
+    return _once(registry, "compiled registry", lambda: _compile_registry(registry))
 
 
 def _compile_registry(registry: DataFrame) -> list[CompiledMapping]:
-    cur = active(registry).select("source_id", "nested_path", "mappings")
-    probe = cur.select(F.count("*").alias("n"), F.sum(F.size("mappings")).alias("r")).first()
-    n, r = int(probe["n"] or 0), int(probe["r"] or 0)
+    n, r = registry_size(registry)
     if n > MAX_COMPILED_SOURCES or r > MAX_COMPILED_RULES:
         raise ValueError(
             f"registry too large to compile ({n} sources, {r} rules); "
             "use the rule-join plans of gridlake.operators.detect / mapping")
-    return compile_rows(cur.collect())
+    return compile_rows(active(registry).select("source_id", "nested_path", "mappings").collect())
 
 
 def compile_specs(specs: list[dict]) -> list[CompiledMapping]:

@@ -22,13 +22,13 @@ def write_readings(readings: DataFrame, path: str, mode: str = "append",
                    max_records_per_file: int = 5_000_000) -> None:
     """Write readings partitioned by event date, clustered by device and time.
 
-    No shuffle before the write: each task sorts its own rows and writes its
-    share of every date folder, so one busy date or device cannot land in a
-    single task; the file size is capped by ``maxRecordsPerFile``.  Row groups
-    carry min/max statistics (sorted device and time) and a bloom filter on
-    ``device_id``, so device lookups skip row groups without the device.
+    A rebalance brings the rows of a date together before the write; the runtime
+    plan splits a busy date over several tasks and merges quiet ones, by bytes,
+    so files follow bytes and not tasks times dates.  Row groups carry min/max
+    statistics (sorted device and time) and a bloom filter on ``device_id``, so
+    device lookups skip row groups without the device.
     """
-    (readings.withColumn("ts_date", F.to_date("ts"))
+    (readings.withColumn("ts_date", F.to_date("ts")).hint("rebalance", F.col("ts_date"))
      .sortWithinPartitions("ts_date", "device_id", "ts")
      .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .option("parquet.bloom.filter.enabled#device_id", "true")

@@ -1,15 +1,22 @@
 """Continuous ingest as a Structured Streaming job.
 
-``readStream`` (files) -> ``foreachBatch``: every micro-batch re-reads the
-registry (T3), runs the batch normalisation plan, treats request ids that any
-earlier batch stored as duplicates (T4, W8; for all time), and writes raw rows,
-readings, rejects, status entries, a batch log row and the new request ids into
-``batch_id=<n>`` folders with overwrite.
-
-A batch only looks at folders of smaller batch ids, never at its own, and writes
-its request ids last, so replaying a batch after a failure at any point gives
-the same folders again.  Strict mode refuses a batch before anything is written.
-The trigger plays the role of the batch writer's flush (S16/T2):
+``readStream`` (files) -> land -> keyed state -> ``foreachBatch``.
+
+Request ids are unique for all time (T4, W8).  The stream itself tells which ids
+it has never seen: a ``dropDuplicates`` on the id alone, without watermark, whose
+state is a RocksDB store partitioned by the id's hash and kept in the
+checkpoint.  A batch looks up its own ids in its own partitions, point by point,
+whatever has been stored before, and a replayed batch starts from the state
+before it and gets the same answer.  Its rows and the new ids arrive together
+in ``foreachBatch``; of several rows with one new id the first by
+``(received_at, raw_id)`` counts (T2), all others are duplicates.
+
+Every micro-batch re-reads the registry (T3), lands its rows, and is cut into
+flushes of at most ``batch_size`` records (S16).  A flush writes readings,
+rejects and status entries into folders of its own and then its row of counters, which is
+its commit: when a batch is replayed, committed flushes are left alone and
+the others write the same folders again.  Strict mode refuses a batch before
+anything is written.  The trigger plays the role of the batch writer's timer:
 ``processingTime`` for a flush interval, ``availableNow`` to drain and stop.
 """
 
@@ -18,26 +25,40 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..catalog import (DEFAULT_FLUSH_INTERVAL_MS, ERR_DUPLICATE, FLUSH_INTERVAL_MS_BOUNDS,
+from ..catalog import (BATCH_SIZE_BOUNDS, DEFAULT_FLUSH_INTERVAL_MS, ERR_DUPLICATE, FLUSH_INTERVAL_MS_BOUNDS,
                        RATE_INTERVAL_SECONDS)
 from ..operators import lifecycle as L
+from ..operators import metrics as M
 from ..operators.intake import request_id_of
-from ..plans.normalize import normalize
+from ..plans.normalize import as_readings, normalize
 from ..session import prepare, scratch_path
+from ..sources.files import Files
 from ..sources.sinks import write_readings
+from .flush import cut
 
 RAW_INPUT_SCHEMA = "raw_id string, payload string, received_at timestamp"
 
+# Settings of the keyed state, read when a query starts.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 @dataclass
 class StreamConfig:
-    sink: str                               # folder of raw/, readings/, rejects/, status/, ids/, batches/
+    """``sink``: folder of raw/, readings/, rejects/, status/ and batches/.
+
+    ``batch_size``: most records of a flush; None makes a micro-batch one flush.
+    """
+    sink: str
     checkpoint: str
     flush_interval_ms: int = DEFAULT_FLUSH_INTERVAL_MS
+    batch_size: int | None = None
     max_files_per_trigger: int | None = None
     strict: bool = False
     default_source: str | None = None
@@ -47,76 +68,78 @@ class StreamConfig:
         lo, hi = FLUSH_INTERVAL_MS_BOUNDS
         if not lo <= self.flush_interval_ms <= hi:
             raise ValueError(f"flush interval must be within {lo}-{hi} ms")
+        lo, hi = BATCH_SIZE_BOUNDS
+        if self.batch_size is not None and not lo <= self.batch_size <= hi:
+            raise ValueError(f"batch size must be within {lo}-{hi} records")
 
     def path(self, name: str) -> str:
         return f"{self.sink.rstrip('/')}/{name}"
 
 
-IDS_SCHEMA = "request_id string, received_at timestamp, batch_id bigint"
-
-
-def _stored_ids(spark: SparkSession, cfg: StreamConfig, batch_id: int) -> DataFrame | None:
-    """Request ids stored by earlier batches; None before the first batch has stored any."""
-    try:
-        ids = spark.read.schema(IDS_SCHEMA).parquet(cfg.path("ids"))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return ids.where(F.col("batch_id") < batch_id).select("request_id")
+def with_new_ids(stream: DataFrame) -> DataFrame:
+    """Landed rows, and a row ``is_new`` for each request id that the stream has never carried before."""
+    rows = L.land(stream.withColumn("source_ip", F.lit("")))
+    fresh = rows.select("request_id").dropDuplicates(["request_id"])
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name != "request_id"]
+    return rows.withColumn("is_new", F.lit(False)).unionByName(
+        fresh.select("request_id", *empty).withColumn("is_new", F.lit(True)))
 
 
 def make_batch_writer(cfg: StreamConfig, registry_loader: Callable[[SparkSession], DataFrame]):
-    """The foreachBatch function of the ingest stream."""
+    """The foreachBatch function of the ingest stream (over :func:`with_new_ids`)."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prepare(spark)
         batch = batch.persist()
-        run = late_dups = None
+        results = None
         try:
             if batch.isEmpty():
                 return
-            landed = L.land(batch.withColumn("source_ip", F.lit("")))
-            suffix = f"batch_id={batch_id}"
-            stored, raw = _stored_ids(spark, cfg, batch_id), landed
-            if stored is not None:
-                # the batch's ids are the small side, whatever has been stored so far
-                seen = stored.join(landed.select("request_id").distinct(), "request_id", "left_semi").distinct()
-                late_dups = landed.join(seen, "request_id", "left_semi").select(
-                    "raw_id", "request_id", "received_at", F.lit(ERR_DUPLICATE).alias("error"),
-                    F.lit("duplicate").alias("outcome"), F.lit(False).alias("fault")).persist()
-                raw = landed.join(seen, "request_id", "left_anti")
-            run = normalize(raw, registry_loader(spark), default_source=cfg.default_source).persist()
-            if cfg.strict and (n_bad := run.rejects.count()):
+            landed = batch.where(~F.col("is_new")).drop("is_new")
+            known = landed.join(batch.where("is_new").select("request_id", "is_new"), "request_id", "left")
+            run = normalize(known.where("is_new").select(*landed.columns), registry_loader(spark),
+                            default_source=cfg.default_source)
+            late = known.where("is_new is null").select(
+                "raw_id", "request_id", "payload", "received_at", F.lit("duplicate").alias("outcome"),
+                F.lit(ERR_DUPLICATE).alias("error"), F.lit(False).alias("fault"))
+            results = run.results.unionByName(late, allowMissingColumns=True)
+            if cfg.batch_size is None:
+                results = results.withColumn("flush", F.lit(0).cast("bigint"))
+            else:
+                flushes = cut(landed.select("raw_id", "received_at"), cfg.batch_size, "received_at", "raw_id")
+                results = results.join(flushes.select("raw_id", "flush"), "raw_id")
+            results = results.persist()
+            sizes = {r["flush"]: r for r in results.groupBy("flush").agg(         # a row a flush
+                F.count("*").alias("n"), F.count_if(F.col("outcome") == "reject").alias("bad")).collect()}
+            if cfg.strict and (n_bad := sum(r["bad"] for r in sizes.values())):
                 raise RuntimeError(f"strict mode: {n_bad} rejected payloads in batch {batch_id}")
-            outcomes = run.outcomes if late_dups is None else run.outcomes.unionByName(late_dups)
-            L.write_raw(landed, f"{cfg.path('raw')}/{suffix}", mode="overwrite")   # S2/S3
-            write_readings(run.readings, f"{cfg.path('readings')}/{suffix}", mode="overwrite")
-            run.rejects.write.mode("overwrite").parquet(f"{cfg.path('rejects')}/{suffix}")
-            status = L.landing_status(landed).unionByName(L.outcome_status(outcomes))
-            status.write.mode("overwrite").parquet(f"{cfg.path('status')}/{suffix}")
-            counts = outcomes.agg(
-                F.count("*").alias("records"),
-                F.count_if(F.col("outcome") == "reading").alias("readings"),
-                F.count_if(F.col("outcome") == "reject").alias("rejects"),
-                F.count_if(F.col("outcome") == "duplicate").alias("duplicates"))
-            log = counts.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*",
-                                F.current_timestamp().alias("flushed_at"))
-            log.write.mode("overwrite").parquet(f"{cfg.path('batches')}/{suffix}")
-            # last: from now on the ids count as stored
-            outcomes.where(F.col("outcome") != "duplicate").select("request_id", "received_at") \
-                .write.mode("overwrite").parquet(f"{cfg.path('ids')}/{suffix}")
+            L.write_raw(landed, f"{cfg.path('raw')}/batch_id={batch_id}", mode="overwrite")   # S2/S3
+            log = Files(spark, cfg.path("batches"))
+            for flush in sorted(sizes):
+                if not any(name.startswith("part-") for name in log.names(f"batch_id={batch_id}/flush={flush}")):
+                    _write_flush(spark, cfg, results.where(F.col("flush") == flush).drop("flush"),
+                                 batch_id, flush, sizes[flush]["n"])
         finally:
-            if run is not None:
-                run.unpersist()
-            if late_dups is not None:
-                late_dups.unpersist()
+            if results is not None:
+                results.unpersist()
             batch.unpersist()
 
     return write_batch
 
 
+def _write_flush(spark: SparkSession, cfg: StreamConfig, results: DataFrame, batch_id: int, flush: int, n: int) -> None:
+    suffix = f"batch_id={batch_id}/flush={flush}"
+    write_readings(as_readings(results.where("outcome = 'reading'")), f"{cfg.path('readings')}/{suffix}",
+                   mode="overwrite")
+    (results.where("outcome = 'reject'").select("raw_id", "request_id", "payload", "error", "received_at")
+     .write.mode("overwrite").parquet(f"{cfg.path('rejects')}/{suffix}"))
+    # the counters are observed by the write that settles the rows
+    results, seen = M.observe_outcomes(results, f"flush-{batch_id}-{flush}")
+    L.status_entries(results).write.mode("overwrite").parquet(f"{cfg.path('status')}/{suffix}")
+    M.write_batch(spark, cfg.path("batches"), batch_id, M.batch_row(n, seen.get), flush)
+
+
 def start_ingest(spark: SparkSession, source_dir: str, cfg: StreamConfig,
                  registry_loader: Callable[[SparkSession], DataFrame], *,
                  available_now: bool = False):
@@ -124,22 +147,35 @@ def start_ingest(spark: SparkSession, source_dir: str, cfg: StreamConfig,
     reader = spark.readStream.schema(RAW_INPUT_SCHEMA)
     if cfg.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
-    stream = reader.parquet(source_dir)
+    stream = with_new_ids(reader.parquet(source_dir))
     writer = (stream.writeStream.foreachBatch(make_batch_writer(cfg, registry_loader))
               .option("checkpointLocation", cfg.checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{cfg.flush_interval_ms} milliseconds")
-    return writer.start()
+    return _start(spark, writer)
+
 
+def _start(spark: SparkSession, writer):
+    """Start a query with the keyed-state settings, which it keeps; the session's own stay as they were."""
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        return writer.start()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
-def dedupe_stream(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Stateful duplicate suppression by request id within a watermark (T4)."""
+
+def dedupe_stream(stream: DataFrame, delay: str | None = "10 minutes") -> DataFrame:
+    """Stateful duplicate suppression by request id (T4): within a watermark, or for all time (``delay=None``)."""
     v = F.try_parse_json(F.col("payload"))
-    return (stream.withColumn("request_id", request_id_of(v, F.col("raw_id")))
-            .withWatermark("received_at", delay)
-            .dropDuplicatesWithinWatermark(["request_id"]))
+    keyed = stream.withColumn("request_id", request_id_of(v, F.col("raw_id")))
+    if delay is None:
+        return keyed.dropDuplicates(["request_id"])
+    return keyed.withWatermark("received_at", delay).dropDuplicatesWithinWatermark(["request_id"])
 
 
 def stream_ingest_rate(stream: DataFrame, delay: str = "1 minute",
@@ -152,32 +188,100 @@ def stream_ingest_rate(stream: DataFrame, delay: str = "1 minute",
                     (F.col("received") / F.lit(float(seconds))).alias("received_per_sec")))
 
 
+def start_rate(spark: SparkSession, source_dir: str, sink: str, checkpoint: str, *, delay: str = "1 minute",
+               seconds: int = RATE_INTERVAL_SECONDS, available_now: bool = False):
+    """Keep the ingest rate in a table: every batch writes the windows it changed into its own folder."""
+    stream = spark.readStream.schema(RAW_INPUT_SCHEMA).parquet(source_dir)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    writer = (stream_ingest_rate(stream, delay, seconds).writeStream.outputMode("update").foreachBatch(write)
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{seconds} seconds")
+    return _start(spark, writer)
+
+
+def read_rates(spark: SparkSession, sink: str) -> DataFrame:
+    """The windows of :func:`start_rate`, each as last written."""
+    return (spark.read.parquet(sink).groupBy("window_start")
+            .agg(F.max_by("received", "batch_id").alias("received"),
+                 F.max_by("received_per_sec", "batch_id").alias("received_per_sec")))
+
+
+def batches(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
+    """A row of counters per committed flush."""
+    return M.read_batches(spark, cfg.path("batches"))
+
+
 def batch_stats(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
-    """Writer counters over all batches: batches, records, last flush."""
-    log = spark.read.parquet(cfg.path("batches"))
-    return log.agg(F.count("*").alias("batches"), F.sum("records").alias("records"),
-                   F.max("flushed_at").alias("last_flush"))
+    """Writer counters over all flushes: batches, records, last flush."""
+    return M.batch_stats(batches(spark, cfg))
+
+
+# ------------------------------------------------------------------ bounded runs
+
+@dataclass
+class Drained:
+    """What a bounded run of the stream has left in its sink."""
+    spark: SparkSession
+    cfg: StreamConfig
+
+    def readings(self) -> DataFrame:
+        return self.spark.read.parquet(self.cfg.path("readings")).drop("batch_id", "flush", "ts_date")
+
+    def status(self) -> DataFrame:
+        return self.spark.read.parquet(self.cfg.path("status"))
+
+    def batches(self) -> DataFrame:
+        return batches(self.spark, self.cfg)
+
+
+def drain(spark: SparkSession, deliveries: list[DataFrame], registry: DataFrame, *,
+          max_files_per_trigger: int | None = None, batch_size: int | None = None) -> Drained:
+    """Deliver raw rows one frame after the other to an ingest stream that drains and stops after each.
+
+    The stream goes on from its checkpoint, so what it knows of earlier deliveries
+    is in its state alone.
+    """
+    prepare(spark)
+    base = scratch_path(spark, "stream")
+    reg_path = f"{base}/registry"
+    registry.write.mode("overwrite").parquet(reg_path)
+    cfg = StreamConfig(sink=f"{base}/sink", checkpoint=f"{base}/checkpoint", batch_size=batch_size,
+                       max_files_per_trigger=max_files_per_trigger)
+    for rows in deliveries:
+        rows.select("raw_id", "payload", "received_at").write.mode("append").parquet(f"{base}/input")
+        _await(start_ingest(spark, f"{base}/input", cfg, lambda s: s.read.parquet(reg_path), available_now=True))
+    return Drained(spark, cfg)
+
+
+def _await(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
 
 
 def run_available_now(spark: SparkSession, raw_rows: DataFrame, registry: DataFrame,
                       max_files_per_trigger: int = 4) -> DataFrame:
-    """Stage ``raw_rows`` as input files, drain them with an availableNow stream,
-    and return the readings written by the stream.
+    """Drain ``raw_rows`` with an availableNow stream and return the readings it wrote.
 
     Input files are split by request id, so every resend sits in the same file as
     its first copy (file order across a stream is not a time order); there are as
     many as the session's shuffle has partitions.
     """
     prepare(spark)
-    base = scratch_path(spark, "stream")
-    source = f"{base}/input"
-    L.land(raw_rows).repartition("request_id").select(*raw_rows.columns).write.mode("overwrite").parquet(source)
-    reg_path = f"{base}/registry"
-    registry.write.mode("overwrite").parquet(reg_path)
-    cfg = StreamConfig(sink=f"{base}/sink", checkpoint=f"{base}/checkpoint",
-                       max_files_per_trigger=max_files_per_trigger)
-    q = start_ingest(spark, source, cfg, lambda s: s.read.parquet(reg_path), available_now=True)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(cfg.path("readings")).drop("batch_id", "ts_date")
+    by_id = L.land(raw_rows).repartition("request_id")
+    return drain(spark, [by_id], registry, max_files_per_trigger=max_files_per_trigger).readings()
+
+
+def run_rate(spark: SparkSession, deliveries: list[DataFrame], *, delay: str = "1 minute",
+             seconds: int = RATE_INTERVAL_SECONDS) -> DataFrame:
+    """The ingest rate of raw rows delivered one frame after the other."""
+    prepare(spark)
+    base = scratch_path(spark, "rate")
+    for rows in deliveries:
+        rows.select("raw_id", "payload", "received_at").write.mode("append").parquet(f"{base}/input")
+        _await(start_rate(spark, f"{base}/input", f"{base}/rates", f"{base}/checkpoint", delay=delay,
+                          seconds=seconds, available_now=True))
+    return read_rates(spark, f"{base}/rates")

@@ -74,20 +74,25 @@ def test_mark_takes_any_landed_id_and_reports_unknown(spark):
 
 
 def test_apply_retention_rewrites_old_dates_only(spark, registry, tmp_path):
-    import os
+    from gridlake.plans.lake import raw_table
     texts = [json.dumps(dict(GOOD, request_id=f"g{i}")) for i in range(3)] + ["{bad"]
     days = ["2025-11-15 06:00:00", "2025-11-16 06:00:00", "2025-11-17 06:00:00", "2025-11-16 07:00:00"]
     raw = L.land(raw_frame(spark, texts).withColumn(
         "received_at", F.element_at(F.array(*map(F.lit, days)), F.substring("raw_id", 5, 1).cast("int") + 1).cast("timestamp")))
-    path = str(tmp_path / "raw")
-    L.write_raw(raw, path)
+    table = raw_table(spark, str(tmp_path / "raw"))
+    table.append(raw)
     status = L.current_status(L.landing_status(raw).unionByName(L.outcome_status(normalize(raw, registry).outcomes)))
-    later = sorted(os.listdir(f"{path}/received_date=2025-11-17"))
-    assert L.apply_retention(spark, path, status, datetime(2025, 11, 16, 23)) == 2
-    assert sorted(r["raw_id"] for r in spark.read.parquet(path).collect()) == ["raw-2-0", "raw-3-0"]
-    assert sorted(os.listdir(f"{path}/received_date=2025-11-17")) == later
-    assert not os.path.exists(f"{path}/received_date=2025-11-15")
-    assert L.apply_retention(spark, path, status, datetime(2025, 11, 16, 23)) == 0
+    later = [p for p in table.parts() if p.date == "2025-11-17"]
+    before = table.read()
+    assert L.apply_retention(table, status, datetime(2025, 11, 16, 23)) == 2
+    assert sorted(r["raw_id"] for r in table.read().collect()) == ["raw-2-0", "raw-3-0"]
+    assert [p for p in table.parts() if p.date == "2025-11-17"] == later       # not rewritten
+    assert "2025-11-15" not in {p.date for p in table.parts()}
+    assert before.count() == 4                              # readers of the version before go on
+    assert L.apply_retention(table, status, datetime(2025, 11, 16, 23)) == 0
+    table.vacuum(least_age_seconds=0)
+    assert sorted(r["raw_id"] for r in table.read().collect()) == ["raw-2-0", "raw-3-0"]
+    assert sum(len(table.files.names(f"data/{s}")) > 0 for s in table.files.names("data")) == 2
 
 
 def test_retention_r3(spark, registry):
@@ -140,7 +145,7 @@ def test_stream_matches_batch_and_is_idempotent(spark, registry, tmp_path):
     assert got.count() == 20 and batch.count() == 20
     assert sorted(r["request_id"] for r in got.collect()) == sorted(r["request_id"] for r in batch.collect())
     st = batch_stats(spark, cfg).first()
-    assert st["records"] == len(texts)
+    assert st["records"] == len(texts) and st["batches"] == 3
     # overlapping input arrives later: a resend of r3 and one new payload
     late = [json.dumps(dict(GOOD, request_id="r3")), json.dumps(dict(GOOD, request_id="r99"))]
     raw_frame(spark, late, start="2025-11-17 06:30:00").select("raw_id", "payload", "received_at") \
@@ -179,7 +184,7 @@ def test_replayed_batch_keeps_its_rows(spark, registry, tmp_path, monkeypatch):
     texts = [json.dumps(dict(GOOD, request_id=f"r{i}")) for i in range(4)] + ["bad", json.dumps(dict(GOOD, request_id="r1"))]
     src, reg, cfg = _stream_setup(spark, registry, tmp_path, texts)
     real = DataFrameWriter.parquet
-    for fail_after in ("raw", "readings", "rejects", "status", "batches", "ids"):
+    for fail_after in ("raw", "readings", "rejects", "status", "batches"):
         def parquet(self, path, *a, **k):
             real(self, path, *a, **k)
             if f"/sink/{fail_after}/" in path:
@@ -189,7 +194,8 @@ def test_replayed_batch_keeps_its_rows(spark, registry, tmp_path, monkeypatch):
         monkeypatch.setattr(DataFrameWriter, "parquet", real)
     assert _drain(spark, src, reg, cfg)
     count = lambda name: spark.read.parquet(cfg.path(name)).count()      # noqa: E731
-    assert (count("readings"), count("rejects"), count("ids"), count("raw")) == (4, 1, 5, 6)
+    assert (count("readings"), count("rejects"), count("status"), count("raw")) == (4, 1, 12, 6)
+    assert spark.read.parquet(cfg.path("batches")).agg(F.sum("duplicates")).first()[0] == 1
 
 
 def test_strict_mode_refuses_before_writing(spark, registry, tmp_path):
