@@ -12,16 +12,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 PLACE_BITS = 33          # monotonically_increasing_id: partition above, place in the partition below
 
 
 def numbered(rows: DataFrame, *order: str, ranges: int | None = None) -> DataFrame:
-    """``rows`` with ``number``, the 0-based position in ``order`` (which must tell rows apart)."""
+    """``rows`` with ``number``, the 0-based position in ``order`` (which must tell rows apart).
+
+    The ranges come from a sample that differs from run to run, so rows are written
+    with their places and both passes read those; give slim rows.
+    """
     spark = rows.sparkSession
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # a given number of ranges is kept by the runtime plan, so both passes see the same ones
-    placed = (rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-              .withColumn("_place", F.monotonically_increasing_id()))
+    path = scratch_path(spark, "numbered")
+    (rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+     .withColumn("_place", F.monotonically_increasing_id()).write.parquet(path))
+    placed = spark.read.parquet(path)
     in_range = F.shiftright("_place", PLACE_BITS).alias("_range")
     before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
     offsets = (placed.groupBy(in_range).agg(F.count("*").alias("_n"))          # a row a range

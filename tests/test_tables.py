@@ -333,6 +333,8 @@ def test_numbers_follow_the_order(spark):
     assert all(r["number"] == r["a"] for r in got) and len(got) == 1003
     sizes = [r["count"] for r in cut(rows, 100, "a").groupBy("flush").count().orderBy("flush").collect()]
     assert sizes == [100] * 10 + [3]
+    many = spark.range(30_000).select((F.col("id") * 7919 % 30_000).alias("a"))        # more rows than are sampled
+    assert numbered(many, "a", ranges=8).where("number <> a").count() == 0
     assert cut(rows.limit(0), 10, "a").count() == 0
     with pytest.raises(ValueError):
         cut(rows, 0, "a")
