@@ -5,18 +5,19 @@
    *all* training rows; their smoothed log ratio ``r`` scales the indicators.
 2. A linear model with hinge loss is fitted to the scaled, length-normalised
    indicators by dual coordinate descent, on at most ``FIT_ROWS`` training rows
-   (those with the smallest hash of their text and id; the documented bound of
-   the fit).  Margins of held-back folds calibrate it to probabilities.
+   (those with the smallest hash of their text, equal texts by label; the documented
+   bound of the fit).  Margins of held-back folds calibrate it to probabilities.
 3. Every whole text is scored in one pass; the model is ``FEATURES`` numbers,
    whatever the corpus.
 
 Tokens are runs of word bytes (letters, digits, all non-ASCII bytes) or runs of
 other visible bytes.  Besides the tokens themselves there are abstract n-grams
 that say how often a token comes again next or after next, so repetition of any
-token is seen.  Only the text enters a score.
+token is seen.  Only texts and the labels of training rows enter a score: ids
+neither choose nor order the rows of the fit, so other ids give the same scores.
 
 Cases: null and empty texts have no features and get the score of the
-intercept; rows without a label (or a label other than 0 and 1) are only
+intercept; a text of any length is scored whole; rows without a label (or a label other than 0 and 1) are only
 scored; repeated labelled rows each count; with no training rows of both labels
 every score is the share of label 1 (0.5 without rows).  Other columns are
 ignored.
@@ -172,13 +173,13 @@ def _margins(rows: list, scale: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
-    """Model of ``labelled(doc_id, text, label)``; see the module's text.
+    """Model of ``labelled(text, label)``; see the module's text.
 
     Only ``FEATURES`` sums and the fitted weights come to the driver.
     """
     rows = (labelled.where(F.col("label").isin(0, 1))
             .select(F.col("label").cast("int").alias("label"),
-                    F.xxhash64("doc_id", "text").alias("pick"),
+                    F.xxhash64("text").alias("pick"),
                     F.coalesce("text", F.lit("")).cast("binary").alias("text")))
     sets = stored(rows.mapInArrow(_feature_sets, "label int, pick bigint, feats binary"), "nbsvm-sets")
     n = {r["label"]: r["count"] for r in sets.groupBy("label").count().collect()}
@@ -195,10 +196,10 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
     scale[(c[0] + c[1]) < MIN_DOCS] = 0.0
     share = min(1.0, fit_rows / (n0 + n1))
     bound = int(share * (1 << 63)) - 1
-    sample = sets.where(F.expr("pick & 9223372036854775807") <= bound).orderBy("pick").limit(fit_rows)
+    sample = sets.where(F.expr("pick & 9223372036854775807") <= bound).orderBy("pick", "label").limit(fit_rows)
 
     def solve(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("pick", "ascending"), ("feats", "ascending")])
+        rows = rows.sort_by([("pick", "ascending"), ("feats", "ascending"), ("label", "ascending")])
         sets_ = [_unpack(f.as_py()) for f in rows["feats"]]
         y01 = rows["label"].to_numpy()
         y = np.where(y01 == 1, 1.0, -1.0)
