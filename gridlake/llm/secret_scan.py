@@ -3,19 +3,22 @@
 Candidates are found in every whole text by three patterns (assignments, access
 key ids, long hex runs).  Each candidate value is hashed, and the distinct
 repositories and owners that hold it are counted over the corpus: a value that
-many owners hold is a copied example, a value that one owner holds and that
-looks random is a live-looking credential and gets a span of its own, ``live``,
-on the value.
-
-All DataFrame functions.  Positions come from splitting a text at its matches:
-pieces and matches alternate, so a running sum of their lengths gives each start
-(code points).  Counting first reduces to distinct (value, repository, owner),
-so a value copied into a third of all rows leaves each map task once.
+``EXAMPLE_OWNERS`` owners or ``EXAMPLE_REPOS`` repositories hold is a copied
+example, whatever it looks like; one that fewer hold is a live-looking
+credential and gets a span of its own, ``live``, on the value, unless it names
+itself a placeholder or is a hex run that does not look random (a digest or a
+bar of one digit).  The report and the redaction follow this one rule.
+
+All DataFrame functions.  Texts are read once for all kinds and leave that pass
+as spans only.  Positions come from splitting a text at its matches: pieces and
+matches alternate, so a running sum of their lengths gives each start (code
+points).  Counting first reduces to distinct (value, repository, owner), so a
+value copied into a third of all rows leaves each map task once.
 
 Which columns name repository and owner are parameters.  By default a
 repository is a (source, language) pair and an owner a source.
 
-Cases: a null text counts as empty; a row without candidates has zeros and
+Cases: a null text counts as empty; a text of any length is searched whole; a row without candidates has zeros and
 empty lists; repeated rows are reported each; null repository or owner counts
 as one unnamed holder; null ids are allowed; extra columns are ignored.
 """
@@ -35,34 +38,42 @@ ACCESS_LONG = r"""AKIA[A-Z0-9]{16,}"""
 
 KINDS = ("assign", "access", "hex")
 EXAMPLE_OWNERS = 3      # a value that so many owners hold is an example
+EXAMPLE_REPOS = 4       # and so is one in so many repositories, be they of one owner
 PLACEHOLDERS = "example|placeholder|changeme|your_|xxxx"
-LIVE_CHARS = 16         # shorter values are not taken for credentials
-
-
-def _matches(texts: DataFrame, kind: str, pattern: str, group: int) -> DataFrame:
-    """(row columns, kind, start, end, value) of a kind's matches, all of them."""
-    cut = (texts.where(F.col("text").rlike(pattern))
-           .select("doc_id", "text_hash",
-                   F.split("text", pattern, -1).alias("pieces"),
-                   F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("found"),
-                   F.regexp_extract_all("text", F.lit(pattern), F.lit(group)).alias("vals"))
-           .select("doc_id", "text_hash", F.posexplode(F.arrays_zip("pieces", "found", "vals")).alias("i", "x")))
-    before = Window.partitionBy("doc_id", "text_hash").orderBy("i")
-    end = F.sum(F.length("x.pieces") + F.coalesce(F.length("x.found"), F.lit(0))).over(before)
-    return (cut.withColumn("end", end).where("x.found is not null")
-            .select("doc_id", "text_hash", F.lit(kind).alias("kind"),
-                    (F.col("end") - F.length("x.found")).alias("start"), "end",
-                    F.col("x.vals").alias("value")))
-
-
-def candidates(docs: DataFrame) -> DataFrame:
-    """Base spans of ``docs(doc_id, text)``; a row is known by doc_id and the hash of its text."""
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).where("text is not null")
-    distinct = texts.where(F.col("text").rlike(f"{ASSIGN}|{ACCESS_LONG}|{HEX_LONG}")) \
-                    .dropDuplicates(["doc_id", "text_hash"])
-    return (_matches(distinct, "assign", ASSIGN, 2).where(F.length("value") >= 6)
-            .unionByName(_matches(distinct, "access", ACCESS_LONG, 0))
-            .unionByName(_matches(distinct, "hex", HEX_LONG, 0)))
+RANDOM_CHARS = 8        # different characters of a hex run that looks random
+
+
+def _holder(columns):
+    return F.concat_ws("\u0000", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+
+
+def candidates(docs: DataFrame, repo=("source", "lang"), owner=("source",)) -> DataFrame:
+    """Base spans of ``docs``: row, doc_id, text_hash, repo, owner, kind, start, end, value.
+
+    ``row`` numbers the rows of this pass; doc_id and the hash of the text name a row elsewhere.
+    """
+    texts = (docs.where(F.col("text").rlike(f"{ASSIGN}|{ACCESS_LONG}|{HEX_LONG}"))
+             .select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"),
+                     _holder(repo).alias("repo"), _holder(owner).alias("owner"), "text"))
+
+    def cut(kind, pattern, group):
+        """Pieces and matches of one kind; null if the text has none."""
+        def when(c):
+            return F.when(F.col("text").rlike(pattern), c)
+        return F.struct(F.lit(kind).alias("kind"), when(F.split("text", pattern, -1)).alias("pieces"),
+                        when(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("found"),
+                        when(F.regexp_extract_all("text", F.lit(pattern), F.lit(group))).alias("vals"))
+    key = ["row", "doc_id", "text_hash", "repo", "owner"]
+    by_kind = texts.select(*key, F.inline(F.array(
+        cut("assign", ASSIGN, 2), cut("access", ACCESS_LONG, 0), cut("hex", HEX_LONG, 0)))).where("found is not null")
+    parts = by_kind.select(*key, "kind", F.posexplode(F.transform(
+        F.arrays_zip("pieces", "found", "vals"),
+        lambda x: F.struct((F.length(x["pieces"]) + F.coalesce(F.length(x["found"]), F.lit(0))).alias("step"),
+                           F.length(x["found"]).alias("long"), x["vals"].alias("value")))).alias("i", "x"))
+    before = Window.partitionBy("row", "kind").orderBy("i")
+    return (parts.select(*key, "kind", "i", "x.*").withColumn("end", F.sum("step").over(before))
+            .where(F.col("long").isNotNull() & ((F.col("kind") != "assign") | (F.length("value") >= 6)))
+            .select(*key, "kind", (F.col("end") - F.col("long")).alias("start"), "end", "value"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -73,46 +84,41 @@ def ownership(found: DataFrame) -> DataFrame:
                                                F.sum("n").alias("n_uses"))
 
 
-def looks_random(value: str = "value"):
-    """Long, with digits and letters, no placeholder word and more than a handful of different characters."""
+def looks_like_credential(kind: str = "kind", value: str = "value"):
+    """No placeholder word; a hex run also has digits, letters and more than a handful of different characters."""
     v = F.col(value)
     kinds = F.size(F.array_distinct(F.filter(F.split(v, ""), lambda c: c != "")))
-    return ((F.length(v) >= LIVE_CHARS) & v.rlike("[0-9]") & v.rlike("[A-Za-z]") & (kinds >= 8)
-            & no_placeholder(value))
-
-
-def no_placeholder(value: str = "value"):
-    return ~F.lower(F.col(value)).rlike(PLACEHOLDERS)
+    random = v.rlike("[0-9]") & v.rlike("[a-f]") & (kinds >= RANDOM_CHARS)
+    return ~F.lower(v).rlike(PLACEHOLDERS) & ((F.col(kind) != "hex") | random)
 
 
-def scan(docs: DataFrame, repo=("source", "lang"), owner=("source",), by_owners: bool = False) -> DataFrame:
-    """All spans: doc_id, text_hash, kind, start, end, n_repos, n_owners, verdict.
+def scan(docs: DataFrame, repo=("source", "lang"), owner=("source",)) -> DataFrame:
+    """All spans: row, doc_id, text_hash, kind, start, end, n_repos, n_owners, verdict.
 
-    ``verdict``: example (many owners), live (one row of owners and looks
-    random) or weak.  With ``by_owners`` ownership alone decides for assignments
-    and access keys without a placeholder word, so that short passwords and values
-    of one kind of characters are live too; hex runs still must look random.  Live candidates have a further span of kind ``live``.
+    ``verdict``: example (many owners or repositories), live (few of both) or weak
+    (few, but a placeholder or no credential by its looks).  Live candidates have a
+    further span of kind ``live``.
     """
-    spans = candidates(docs).withColumn("value_hash", F.sha2("value", 256))
-    holders = docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
-                          F.concat_ws("\u0000", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in repo]).alias("repo"),
-                          F.concat_ws("\u0000", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in owner]).alias("owner"))
-    in_rows = (spans.select("doc_id", "text_hash", "value_hash").distinct().alias("s")
-               .join(holders.alias("h"), F.expr("s.doc_id <=> h.doc_id and s.text_hash = h.text_hash"))
-               .select("value_hash", "repo", "owner"))
-    counted = ownership(in_rows)
-    credential = looks_random()
-    if by_owners:
-        credential = credential | ((F.col("kind") != "hex") & no_placeholder())
+    spans = candidates(docs, repo, owner).withColumn("value_hash", F.sha2("value", 256))
+    counted = ownership(spans.select("value_hash", "repo", "owner"))
     judged = (spans.join(counted, "value_hash", "left")
-              .withColumn("verdict", F.when(F.col("n_owners") >= EXAMPLE_OWNERS, "example")
-                          .when(credential, "live").otherwise("weak")))
-    base = judged.select("doc_id", "text_hash", "kind", "start", "end", "n_repos", "n_owners", "verdict")
-    live = (judged.where("verdict = 'live'")
-            .select("doc_id", "text_hash", F.lit("live").alias("kind"),
-                    (F.col("end") - F.length("value")).alias("start"), "end", "n_repos", "n_owners", "verdict")
-            .distinct())
-    return base.unionByName(live)
+              .withColumn("verdict", F.when((F.col("n_owners") >= EXAMPLE_OWNERS)
+                                            | (F.col("n_repos") >= EXAMPLE_REPOS), "example")
+                          .when(looks_like_credential(), "live").otherwise("weak")))
+    columns = ["row", "doc_id", "text_hash", "kind", "start", "end", "n_repos", "n_owners", "verdict"]
+    kinds = F.when(F.col("verdict") == "live", F.array("kind", F.lit("live"))).otherwise(F.array("kind"))
+    # the base span, and for a live value its own, once however many kinds found it
+    both = judged.select("*", F.explode(kinds).alias("as")).select(
+        "row", "doc_id", "text_hash", F.col("as").alias("kind"),
+        F.when(F.col("as") == "live", F.col("end") - F.length("value")).otherwise(F.col("start")).alias("start"),
+        "end", "n_repos", "n_owners", "verdict")
+    return both.dropDuplicates(["row", "kind", "start", "end"]).select(columns)
+
+
+def _rows(spans: DataFrame, *aggregates) -> DataFrame:
+    """Aggregates of a row's spans, once for each doc_id and text (rows that repeat both have the same spans)."""
+    return (spans.groupBy("row", "doc_id", "text_hash").agg(*aggregates)
+            .dropDuplicates(["doc_id", "text_hash"]).drop("row"))
 
 
 def _joined(spans, base_only: bool):
@@ -126,10 +132,9 @@ def report(docs: DataFrame, **holders) -> DataFrame:
     """Per row of ``docs``: counts of base spans, their digest, all spans, live and example counts."""
     spans = scan(docs, **holders)
     rank = F.expr("array_position(array('assign', 'access', 'hex', 'live'), kind) - 1")
-    per_row = (spans.groupBy("doc_id", "text_hash")
-               .agg(F.sort_array(F.collect_list(F.struct("start", rank.alias("rank"), "end", "kind"))).alias("list"),
-                    *[F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in (*KINDS, "live")],
-                    F.count(F.when((F.col("verdict") == "example"), 1)).alias("n_example"))
+    per_row = (_rows(spans, F.sort_array(F.collect_list(F.struct("start", rank.alias("rank"), "end", "kind"))).alias("list"),
+                     *[F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in (*KINDS, "live")],
+                     F.count(F.when((F.col("verdict") == "example"), 1)).alias("n_example"))
                .withColumnRenamed("doc_id", "id").withColumnRenamed("text_hash", "hash"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"))
     out = rows.join(per_row, F.expr("doc_id <=> id and text_hash = hash"), "left")
@@ -145,9 +150,8 @@ def redact(docs: DataFrame, mark: str = "[secret]", **holders) -> DataFrame:
 
     A column n_chars, if there is one, follows the new text.
     """
-    live = (scan(docs, **holders).where("kind = 'live'")
-            .groupBy("doc_id", "text_hash")
-            .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__live"))
+    live = (_rows(scan(docs, **holders).where("kind = 'live'"),
+                  F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__live"))
             .withColumnRenamed("doc_id", "__id").withColumnRenamed("text_hash", "__hash"))
     # Overlapping spans are merged from left to right while the text is rebuilt.
     rebuilt = F.expr(
@@ -185,11 +189,12 @@ WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS o
 base AS ({_sql_kind('assign', 0, _SQL_ASSIGN, 2, 6)}
   UNION ALL {_sql_kind('access', 1, ACCESS, 0, 20)}
   UNION ALL {_sql_kind('hex', 2, HEX, 0, 24)}),
-owners AS (SELECT value, count(DISTINCT owner) AS n_owners FROM base JOIN t USING (rid) GROUP BY value),
-judged AS (SELECT base.*, CASE WHEN n_owners >= {EXAMPLE_OWNERS} THEN 'example'
-    WHEN length(value) >= {LIVE_CHARS} AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
-         AND len(list_distinct(string_split(value, ''))) >= 8
-         AND NOT regexp_matches(lower(value), 'example|placeholder|changeme|your_|xxxx') THEN 'live'
+owners AS (SELECT value, count(DISTINCT owner) AS n_owners, count(DISTINCT (owner, lang)) AS n_repos
+  FROM base JOIN t USING (rid) GROUP BY value),
+judged AS (SELECT base.*, CASE WHEN n_owners >= 3 OR n_repos >= 4 THEN 'example'
+    WHEN regexp_matches(lower(value), 'example|placeholder|changeme|your_|xxxx') THEN 'weak'
+    WHEN kind <> 'hex' OR (regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-f]')
+         AND len(list_distinct(string_split(value, ''))) >= 8) THEN 'live'
     ELSE 'weak' END AS verdict FROM base JOIN owners USING (value)),
 spans AS (SELECT rid, kind, rank, s, s + n AS e, verdict FROM judged
   UNION ALL SELECT DISTINCT rid, 'live', 3, s + n - length(value), s + n, verdict FROM judged WHERE verdict = 'live'),
