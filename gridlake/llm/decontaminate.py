@@ -12,14 +12,20 @@ same windows with case folded (Unicode) and names as plain words, so that copies
 in upper, title or lower case are found, and a third set of the folded words as
 they are, whatever they hold, whose hits always count; all sets share the coverage
 rule.  Whole items shorter than a window then need as large a share of plain words
-as a window does, and those of fewer than ``SHORTEST`` tokens match exactly.
+as a window does, and those of fewer than ``SHORTEST`` tokens match exactly and, by
+default (``short="line"``), only where they are a whole line or a whole text: a
+common word is no copy of an item that consists of it.  ``short="anywhere"`` takes
+them inside a line too.
 
 Hits of one document, item and alignment (document position less item position)
 are one match.  Its slots must be consistent: one item value may not stand for
-two different document values of its kind, with ``whole`` within a window, else
-in all windows of the match.  Then the item's tokens
-that consistent windows cover are counted; a document is contaminated by an item
-when at least ``MATCHED`` tokens are covered, or all of a shorter item.
+two different document values of its kind.  Without ``whole`` a match with such a
+clash is dropped.  With it, each item value stands for the document value that
+most windows of the match give it (of equally many the item's own, then the
+least), windows that say otherwise are dropped, and windows whose values are all
+the item's own stay.  Then the item's tokens that the remaining windows cover
+are counted; a document is contaminated by an item when at least ``MATCHED``
+tokens are covered, or all of a shorter item.
 
 Window hashes of the benchmark go to the tasks as a filter if they take at most
 ``FILTER_BYTES`` (checked by counting them); a larger benchmark is joined by a
@@ -27,8 +33,9 @@ shuffle of all window hashes.  Either way the join decides.
 
 Cases: null and empty texts have no windows; characters of scripts without spaces
 are a token each; items of fewer than ``SHORTEST`` tokens match nothing without
-``whole``; items of fewer than ``WINDOW`` tokens are one window; rows that repeat a doc_id add up to one document, rows
-that repeat an item_id are one item; null ids match nothing; extra columns are ignored.
+``whole``; items of fewer than ``WINDOW`` tokens are one window; a text of any length is matched whole; rows that repeat a
+doc_id add up to one document, rows that repeat an item_id are one item; null ids match nothing in
+``matches``, while ``clean`` judges a document without id by its text; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -188,8 +195,19 @@ def windows(h, token, text, size: int, least: int):
     return at, mix(x[at])
 
 
-def _emit(kinds_of_windows, keep):
-    """(id, text) -> a row for each window of the ``(set, size, least plain words)`` (whose hash ``keep`` has, if given)."""
+def whole_lines(first: np.ndarray, size: int, text: np.ndarray, low: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """Which windows of ``size`` tokens begin a line or text and end one."""
+    line = np.concatenate([[0], np.cumsum(low == 10)])
+    other = np.ones(len(text) + 1, bool)                   # token i is not on the line of the one before
+    other[1:-1] = (text[1:] != text[:-1]) | (line[starts[1:]] > line[ends[:-1]])
+    return other[first] & other[first + size]
+
+
+def _emit(kinds_of_windows, keep, short: str = "anywhere"):
+    """(id, text) -> a row for each window of the ``(set, size, least plain words)`` (whose hash ``keep`` has, if given).
+
+    ``short="line"``: windows of fewer than ``SHORTEST`` tokens only where they are whole lines.
+    """
     names = ["id", "family", "hash", "size", "pos", "tokens", "template", "slots"]
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string())]
 
@@ -204,6 +222,9 @@ def _emit(kinds_of_windows, keep):
                 if keep is not None and len(keep):
                     hit = keep[np.minimum(np.searchsorted(keep, x), len(keep) - 1)] == x
                     first, x = first[hit], x[hit]
+                if size < SHORTEST and short == "line" and len(first):
+                    on = whole_lines(first, size, text, low, starts, ends)
+                    first, x = first[on], x[on]
                 if family == EXACT and len(first):       # a text's equal windows cover the same
                     pairs = np.stack([text[first], x.view(np.int64)], axis=1)
                     once = np.sort(np.unique(pairs, axis=0, return_index=True)[1])
@@ -239,10 +260,10 @@ def _emit(kinds_of_windows, keep):
 SCHEMA = "id bigint, family int, hash bigint, size int, pos bigint, tokens bigint, template string, slots array<string>"
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, whole: bool = False, short: str = "line") -> DataFrame:
     """(doc_id, item_id, matched, item_tokens, changed): consistent matches, whatever their length.
 
-    ``whole``: also the folded and exact windows, slots judged per window.  ``matched``: item tokens covered; ``changed``: distinct item values with another value in the document.
+    ``whole``: also the folded and exact windows, windows against the vote of their match dropped.  ``matched``: item tokens covered; ``changed``: distinct item values with another value in the document.
     """
     def texts(df, key):
         return (df.where(F.col(key).isNotNull() & F.col("text").isNotNull())
@@ -265,7 +286,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataF
     keep = None
     if 8 * sum(per_size.values()) <= FILTER_BYTES:
         keep = np.unique(np.array([r["hash"] for r in items.select("hash").distinct().collect()], np.int64).view(U64))
-    hits = texts(docs, "doc_id").mapInArrow(_emit([x for x in sets if x[:2] in per_size], keep), SCHEMA) if per_size else items.limit(0)
+    hits = texts(docs, "doc_id").mapInArrow(_emit([x for x in sets if x[:2] in per_size], keep, short), SCHEMA) if per_size else items.limit(0)
     hits = hits.select(F.col("id").alias("doc_id"), "family", "hash", "template", F.col("pos").alias("doc_pos"),
                        F.col("slots").alias("doc_slots"))
     joined = stored(hits.join(items.withColumnRenamed("id", "item_id"), ["family", "hash", "template"])
@@ -273,11 +294,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataF
                       "slots", "doc_slots"), "bench-hits")
     covered = F.array_distinct(F.flatten(F.collect_set(F.sequence("pos", F.col("pos") + F.col("size") - 1))))
     if whole:
-        pairs = F.arrays_zip("slots", "doc_slots")
+        pairs = F.array_distinct(F.arrays_zip("slots", "doc_slots"))
         new = F.transform(F.filter(pairs, lambda x: x["slots"] != x["doc_slots"]), lambda x: x["slots"])
+        match = ["doc_id", "item_id", "shift", "tokens"]
+        # a window alone must not give an item value two document values
+        alone = joined.where(F.size(pairs) == F.size(F.array_distinct("slots"))).withColumn("pairs", pairs)
+        votes = (alone.where((F.col("family") != EXACT) & (F.size("pairs") > 0))
+                 .select(*match, F.explode("pairs").alias("p"))
+                 .groupBy(*match, F.col("p.slots").alias("value"), F.col("p.doc_slots").alias("stands")).agg(F.count("*").alias("n"))
+                 .groupBy(*match, "value")
+                 .agg(F.min_by("stands", F.struct(-F.col("n"), F.col("value") != F.col("stands"), "stands")).alias("stands"))
+                 .groupBy(*match).agg(F.map_from_entries(F.collect_list(F.struct("value", "stands"))).alias("vote")))
+        agrees = F.forall("pairs", lambda x: x["slots"] == x["doc_slots"]) \
+            | F.forall("pairs", lambda x: x["doc_slots"] == F.col("vote")[x["slots"]])
         # exact hits are one a text, so they say nothing about an alignment
-        consistent = (joined.where(F.size(F.array_distinct(pairs)) == F.size(F.array_distinct("slots")))
-                      .groupBy("doc_id", "item_id", "shift", "tokens")
+        consistent = (alone.join(votes, match, "left").where((F.col("family") == EXACT) | F.coalesce(agrees, F.lit(False)))
+                      .groupBy(*match)
                       .agg(covered.alias("covered"), F.max(F.col("family") != EXACT).alias("aligned"),
                            F.size(F.array_distinct(F.flatten(F.collect_set(new)))).alias("changed"))
                       .withColumn("changed", F.when(F.col("aligned"), F.col("changed"))))
@@ -298,12 +330,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataF
                  F.coalesce(F.min("changed"), F.lit(0)).cast("bigint").alias("changed")))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, whole: bool = False, short: str = "line") -> DataFrame:
     """Pairs that count: doc_id, item_id, matched, item_tokens, changed."""
-    return matches(docs, benchmark, whole).where(F.col("matched") >= F.least(F.lit(MATCHED), "item_tokens"))
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataFrame:
-    """``docs`` without contaminated documents; all columns stay."""
-    found = contaminated(docs, benchmark, whole).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    return matches(docs, benchmark, whole, short).where(F.col("matched") >= F.least(F.lit(MATCHED), "item_tokens"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, whole: bool = False, short: str = "line") -> DataFrame:
+    """``docs`` without contaminated documents; all columns stay.  Rows without id are judged each by its text."""
+    found = contaminated(docs, benchmark, whole, short).select("doc_id").distinct()
+    nameless = docs.where(F.col("doc_id").isNull())
+    kept = docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    if nameless.isEmpty():
+        return kept
+    by_text = nameless.select(F.xxhash64("text").alias("doc_id"), "text")
+    bad = contaminated(by_text, benchmark, whole, short).select(F.col("doc_id").alias("_text")).distinct()
+    return kept.where(F.col("doc_id").isNotNull()).unionByName(
+        nameless.withColumn("_text", F.xxhash64("text")).join(bad, "_text", "left_anti").select(*docs.columns))
