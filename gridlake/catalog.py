@@ -92,7 +92,10 @@ REGISTRY_SCHEMA = T.StructType([
 DATA_TYPES = ("string", "int", "float", "bool")
 TRANSFORM_OPS = ("multiply", "divide", "add", "subtract")
 
-# Messages stored in the reject table / status log.
+# --------------------------------------------------------------------------
+# Messages stored in the reject table and status log, names of the
+# measurement, its constant tag and the store, share of fields that a signature needs
+# --------------------------------------------------------------------------
 ERR_INVALID_JSON = "invalid JSON"
 ERR_UNKNOWN_SOURCE = "unknown data source"
 ERR_REQUIRED = "required field missing: "

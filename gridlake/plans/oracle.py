@@ -211,36 +211,41 @@ def _normal_cond() -> str:
     return "(alarm_1 = 0 AND alarm_2 = 0 AND alarm_3 = 0 AND fault_code = 0)"
 
 
+LEGACY = "kind IN ('purchase', 'signup')"
+
+
 def _convert(kind: str) -> str:
-    legacy = "FROM obj WHERE kind IN ('purchase', 'signup')"
+    def legacy(x):
+        return f"CASE WHEN {LEGACY} THEN {x} END"
     if kind in ("int", "float"):
         cast = "BIGINT" if kind == "int" else "DOUBLE"
         z = "CAST(0 AS BIGINT)" if kind == "int" else _d(0)
-        return w(f"""SELECT request_id,
-            CAST(cents AS {cast}) AS power,
-            CASE WHEN kind = 'purchase' THEN CAST(k AS {cast}) ELSE {z} END AS s1v,
-            CAST(k % 11 AS {cast}) AS fault,
-            CASE WHEN k % 2 = 1 THEN {z} END AS serial
-            {legacy}""")
-    if kind == "string":
-        return w(f"""SELECT request_id, {_s('cents')} AS power,
-            CASE WHEN kind = 'purchase' THEN {_s('k')} ELSE '' END AS s1v,
-            {_s('k % 11')} AS fault,
-            CASE WHEN k % 2 = 1 THEN 'SN' || {_s('uid')} END AS serial
-            {legacy}""")
-    return w(f"""SELECT request_id,
-        CASE WHEN kind = 'purchase' THEN cents <> 0 ELSE cents = 1 END AS power,
-        CASE WHEN kind = 'purchase' THEN k <> 0 ELSE false END AS s1v,
-        k % 11 <> 0 AS fault,
-        CASE WHEN k % 2 = 1 THEN false END AS serial
-        {legacy}""")
+        power, fault = f"CAST(cents AS {cast})", f"CAST(k % 11 AS {cast})"
+        s1v, serial = f"CASE WHEN kind = 'purchase' THEN CAST(k AS {cast}) ELSE {z} END", z
+    elif kind == "string":
+        power, fault = _s("cents"), _s("k % 11")
+        s1v, serial = f"CASE WHEN kind = 'purchase' THEN {_s('k')} ELSE '' END", f"'SN' || {_s('uid')}"
+    else:
+        power, fault = "CASE WHEN kind = 'purchase' THEN cents <> 0 ELSE cents = 1 END", "k % 11 <> 0"
+        s1v, serial = "CASE WHEN kind = 'purchase' THEN k <> 0 ELSE false END", "false"
+    return w(f"""SELECT request_id, {legacy(power)} AS power, {legacy(s1v)} AS s1v, {legacy(fault)} AS fault,
+        CASE WHEN {LEGACY} AND k % 2 = 1 THEN {serial} END AS serial FROM obj""")
 
 
 def _transform(op: str) -> str:
     spec = {"multiply": f"{_d('cents')} * {_d(2.5)}", "divide": f"{_d('cents')} / {_d(8)}",
             "add": f"{_d('cents')} + {_d(1.5)}", "subtract": f"{_d('cents')} - {_d(0.25)}"}[op]
-    second = (f"{_d('cents')} AS zero_divisor" if op == "divide" else f"{_d('cents')} AS raw")
-    return w(f"SELECT request_id, {spec} AS value, {second} FROM obj WHERE kind = 'view'")
+    second = "zero_divisor" if op == "divide" else "raw"
+    return w(f"""SELECT request_id, CASE WHEN kind = 'view' THEN {spec} END AS value,
+        CASE WHEN kind = 'view' THEN {_d('cents')} END AS {second} FROM obj""")
+
+
+def _unit_scale() -> str:
+    scaled = {"power": f"{_d('cents')} * {_d('0.001')}", "energy": f"{_d('cents')} * {_d('0.01')}",
+              "voltage": f"{_d('k')} * {_d('0.1')}", "current": f"{_d('cents')} * {_d('0.001')}",
+              "temperature": f"{_d('k')} * {_d('0.1')}", "frequency": f"{_d(5000)} * {_d('0.01')}"}
+    return w("SELECT request_id, " + ", ".join(f"CASE WHEN kind = 'view' THEN {x} END AS {n}" for n, x in scaled.items())
+             + " FROM obj")
 
 
 ENVELOPE = ("device_type", "device_name", "device_id", "date", "time", "time_zone", "latitude", "longitude",
@@ -437,7 +442,7 @@ def _mapping_preview() -> str:
         CASE WHEN kind = 'view' THEN 'SN' || {_s('uid')} END AS serial_no,
         CASE WHEN kind = 'view' THEN {_d('cents')} / {_d(1000)} END AS power,
         CASE WHEN kind = 'view' THEN NULL ELSE 'required field missing: sno' END AS error
-        FROM obj WHERE kind <> 'error'""")
+        FROM obj""")
 
 
 def _reprocess() -> str:
@@ -461,8 +466,7 @@ def statements() -> dict[str, str]:
         "detect_rule_join": w("SELECT src AS source_id, count(*) AS n FROM obj GROUP BY src"),
         "rejects": w("SELECT raw_id, request_id, error FROM rj"),
         "root_fallback_defaults": w(
-            "SELECT request_id, serial_no, inverter_temp, pv1_voltage FROM rd "
-            "WHERE device_type = 'current_format'"),
+            "SELECT request_id, serial_no, inverter_temp, pv1_voltage FROM rd"),
         "convert_int": _convert("int"),
         "convert_float": _convert("float"),
         "convert_string": _convert("string"),
@@ -471,11 +475,7 @@ def statements() -> dict[str, str]:
         "transform_divide": _transform("divide"),
         "transform_add": _transform("add"),
         "transform_subtract": _transform("subtract"),
-        "unit_scale": w(f"""SELECT request_id,
-            {_d('cents')} * {_d('0.001')} AS power, {_d('cents')} * {_d('0.01')} AS energy,
-            {_d('k')} * {_d('0.1')} AS voltage, {_d('cents')} * {_d('0.001')} AS current,
-            {_d('k')} * {_d('0.1')} AS temperature, {_d(5000)} * {_d('0.01')} AS frequency
-            FROM obj WHERE kind = 'view'"""),
+        "unit_scale": _unit_scale(),
         "payload_keys": w(f"SELECT {_keys_sql('all')} AS keys, count(*) AS n FROM obj GROUP BY 1"),
         "short_keys": w(f"SELECT {_keys_sql('short')} AS keys, count(*) AS n FROM obj "
                         "WHERE kind <> 'error' GROUP BY 1"),

@@ -148,19 +148,14 @@ def q_rejects(spark, sf):
 
 
 def q_root_fallback_defaults(spark, sf):
-    r = readings(spark, sf).where(F.col("device_type") == "current_format")
-    return r.select("request_id", "serial_no", "inverter_temp", "pv1_voltage")
-
-
-def _legacy_objects(spark, sf) -> DataFrame:
-    n = ingest(spark, sf)
-    return n.detected.where(F.col("source_id") == "current_format")
+    return readings(spark, sf).select("request_id", "serial_no", "inverter_temp", "pv1_voltage")
 
 
 def _convert_query(data_type: str):
     def q(spark, sf):
-        df = _legacy_objects(spark, sf)
+        df = ingest(spark, sf).firsts
         v = F.col("v")
+        # of every payload; null where it has no such key
         cols = {"power": ("data", "total_output_power"), "s1v": ("data", "s1v"),
                 "fault": ("data", "fault_code"), "serial": ("data", "serial_no")}
         out = [F.col("request_id")]
@@ -171,10 +166,6 @@ def _convert_query(data_type: str):
     return q
 
 
-def _view_objects(spark, sf) -> DataFrame:
-    return ingest(spark, sf).detected.where(F.col("source_id") == "Inv_short")
-
-
 def _transform_query(op: str):
     spec = {"source_id": f"t_{op}", "nested_path": "data",
             "rules": [("p", "value", "float", TRANSFORMS[op], None, False),
@@ -183,12 +174,12 @@ def _transform_query(op: str):
     mapping = R.compile_specs([spec])[0]
 
     def q(spark, sf):
-        return preview(_view_objects(spark, sf), mapping, keep=["request_id"]).drop("error")
+        return preview(ingest(spark, sf).firsts, mapping, keep=["request_id"]).drop("error")
     return q
 
 
 def q_unit_scale(spark, sf):
-    df = _view_objects(spark, sf)
+    df = ingest(spark, sf).firsts
     v = F.col("v")
 
     def num(key):
@@ -503,8 +494,7 @@ def q_mapping_lookup(spark, sf):
 def q_mapping_preview(spark, sf):
     n = ingest(spark, sf)
     mapping = R.compile_specs([SAMPLE_MAPPING])[0]
-    df = n.firsts.where(as_object(vget(F.col("v"), "data")).isNotNull())
-    return preview(df, mapping, keep=["request_id"])
+    return preview(n.firsts, mapping, keep=["request_id"])
 
 
 def q_typed_getters(spark, sf):

@@ -52,7 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) is a folder created here.
+    is; it is an error if it does not.  Only a local session without it (tests)
+    gets a folder here, which its context then keeps.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
@@ -61,8 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             current = None
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="gridlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
     try:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
