@@ -10,7 +10,7 @@ itself a placeholder or is a hex run that does not look random (a digest or a
 bar of one digit).  The report and the redaction follow this one rule.
 
 All DataFrame functions.  Texts are read once for all kinds and leave that pass
-as spans only.  Positions come from splitting a text at its matches: pieces and
+as spans only, which are written to the shared folder for counting and judging.  Positions come from splitting a text at its matches: pieces and
 matches alternate, so a running sum of their lengths gives each start (code
 points).  Counting first reduces to distinct (value, repository, owner), so a
 value copied into a third of all rows leaves each map task once.
@@ -28,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 # The patterns of the contract; letters of the assignment words in either case.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"""AKIA[A-Z0-9]+"""
@@ -99,7 +101,7 @@ def scan(docs: DataFrame, repo=("source", "lang"), owner=("source",)) -> DataFra
     (few, but a placeholder or no credential by its looks).  Live candidates have a
     further span of kind ``live``.
     """
-    spans = candidates(docs, repo, owner).withColumn("value_hash", F.sha2("value", 256))
+    spans = stored(candidates(docs, repo, owner).withColumn("value_hash", F.sha2("value", 256)), "secret-spans")
     counted = ownership(spans.select("value_hash", "repo", "owner"))
     judged = (spans.join(counted, "value_hash", "left")
               .withColumn("verdict", F.when((F.col("n_owners") >= EXAMPLE_OWNERS)
