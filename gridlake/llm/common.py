@@ -97,6 +97,7 @@ def _roots(a: np.ndarray, b: np.ndarray):
 
 
 EDGES_PER_PASS = 1 << 20
+SALTS = 32           # tasks among which the edges of one root are dealt
 
 
 def _contract(batches):
@@ -152,9 +153,14 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         stars = stored(current.select("a", "b").repartition("a").sortWithinPartitions("a")
                        .mapInArrow(_contract, schema), "components")
-        # one pointer a node, so that the join gives as many rows as there are edges
+        # one pointer a node, so that the join gives as many rows as there are edges;
+        # only roots that have one are looked up, each SALTS times, so that the edges of a
+        # root with very many are dealt to that many tasks
         up = stars.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("up"))
-        current = stored(stars.join(up, "b", "left").select(
+        moves = stars.select("b").distinct().join(up, "b")
+        moves = moves.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = stars.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)).cast("int"))
+        current = stored(salted.join(moves, ["b", "salt"], "left").select(
             "a", F.coalesce("up", "b").alias("b"), (F.col("moved") | F.col("up").isNotNull()).alias("moved")),
             "components")
         if current.where("moved").isEmpty():
