@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,7 +56,7 @@ class StatusLog:
 
     def _table(self, state: dict) -> str:
         """The session's name for the table at the state's folder."""
-        name = "status_" + re.sub(r"\W", "_", state["folder"]) + "_" + format(abs(hash(self.root)), "x")
+        name = "status_" + re.sub(r"\W", "_", state["folder"]) + "_" + format(zlib.crc32(self.root.encode()), "x")
         if not self.spark.catalog.tableExists(name):
             self.spark.sql(
                 f"CREATE TABLE {name} ({status_schema()}, received_at timestamp) USING parquet "

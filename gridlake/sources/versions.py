@@ -76,20 +76,24 @@ class VersionedTable:
         return max((int(n[:-5]) for n in self.files.names("versions") if n.endswith(".json") and n[:-5].isdigit()),
                    default=0)
 
-    def parts(self, version: int | None = None) -> list[Part]:
+    def _manifest(self, version: int | None) -> dict:
         version = self.version() if version is None else version
-        if not version:
-            return []
-        return [Part(**{**p, "hours": tuple(p["hours"])})
-                for p in json.loads(self.files.read(f"versions/{version}.json"))["parts"]]
+        return json.loads(self.files.read(f"versions/{version}.json")) if version else {"parts": [], "note": {}}
+
+    def parts(self, version: int | None = None) -> list[Part]:
+        return [Part(**{**p, "hours": tuple(p["hours"])}) for p in self._manifest(version)["parts"]]
+
+    def note(self, version: int | None = None) -> dict:
+        """What writers have left with the version (such as how far they have come)."""
+        return self._manifest(version)["note"]
 
-    def commit(self, add: list[Part], remove: list[Part], base: int) -> int:
-        """Version ``base + 1``: the parts of ``base`` without ``remove`` and with ``add``."""
+    def commit(self, add: list[Part], remove: list[Part], base: int, note: dict | None = None) -> int:
+        """Version ``base + 1``: the parts of ``base`` without ``remove`` and with ``add``; ``note`` adds to its note."""
         gone = {p.path for p in remove}
         kept = [p for p in self.parts(base) if p.path not in gone]
         if len(kept) != len(self.parts(base)) - len(gone):
             raise ConcurrentCommit("a part to be removed is not in the base version")
-        text = json.dumps({"parts": [vars(p) for p in [*kept, *add]]})
+        text = json.dumps({"parts": [vars(p) for p in [*kept, *add]], "note": {**self.note(base), **(note or {})}})
         if not self.files.create(f"versions/{base + 1}.json", text):
             raise ConcurrentCommit(f"version {base + 1} of {self.root} exists")
         return base + 1
@@ -130,13 +134,13 @@ class VersionedTable:
                      r["rows"], r["first"], r["last"], tuple(r["hours"]))
                 for r in sorted(rows, key=lambda r: str(r[self.date]))]
 
-    def append(self, df: DataFrame) -> int:
+    def append(self, df: DataFrame, note: dict | None = None) -> int:
         """Add rows: written first, committed on top of whatever the newest version is then."""
         parts = self.stage(df)
         while True:
             base = self.version()
             try:
-                return self.commit(parts, [], base)
+                return self.commit(parts, [], base, note)
             except ConcurrentCommit:
                 if self.version() == base:
                     raise

@@ -219,6 +219,40 @@ def batch_stats(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
     return M.batch_stats(batches(spark, cfg))
 
 
+# ------------------------------------------------------------------ from batches to tables
+
+def finished(spark: SparkSession, cfg: StreamConfig) -> int:
+    """The last batch that the stream has finished, by its checkpoint; -1 if there is none."""
+    done = Files(spark, cfg.checkpoint).names("commits")
+    return max((int(n) for n in done if n.isdigit()), default=-1)
+
+
+def publish(spark: SparkSession, cfg: StreamConfig, tables) -> int:
+    """Move finished batches into the stored tables of a :class:`~gridlake.plans.lake.Lake`; return the last one.
+
+    The stream writes small folders a batch; here many of them become a segment of
+    a table, its rows brought together by date.  Each table's version notes the batch
+    it has come to, in the same commit that adds the rows, so a job that is lost and
+    run again adds no batch twice.  Status entries are added before the note of
+    their table and may be added twice, which changes nothing that is read.
+    """
+    last = finished(spark, cfg)
+
+    def since(folder: str, done: int) -> DataFrame | None:
+        names = [n for n in Files(spark, cfg.path(folder)).names("") if n.startswith("batch_id=")
+                 and done < int(n.split("=")[1]) <= last]
+        return spark.read.option("basePath", cfg.path(folder)).parquet(*[f"{cfg.path(folder)}/{n}" for n in names]) \
+            if names else None
+    rows = since("status", tables.raw.note().get("through", -1))
+    if rows is not None:
+        tables.status.append(rows.drop("batch_id", "flush"))
+    for folder, table in (("readings", tables.readings), ("raw", tables.raw)):
+        rows = since(folder, table.note().get("through", -1))
+        if rows is not None:
+            table.append(rows, {"through": last})
+    return last
+
+
 # ------------------------------------------------------------------ bounded runs
 
 @dataclass

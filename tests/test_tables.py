@@ -391,3 +391,27 @@ def test_stream_knows_ids_by_state_alone(spark, registry, tmp_path):
     stream = spark.readStream.schema(S.RAW_INPUT_SCHEMA).parquet(f"{out.cfg.sink[:-5]}/input")
     plan = S.with_new_ids(stream)._jdf.queryExecution().analyzed().toString()
     assert "Deduplicate [request_id" in plan
+
+
+def test_published_batches_are_compacted_and_added_once(spark, registry, tmp_path, monkeypatch):
+    from gridlake.streaming import ingest as S
+    base = raw_frame(spark, [json.dumps(dict(GOOD, request_id=f"r{i}")) for i in range(5)] + ["bad"])
+    out = S.drain(spark, [base, base.withColumn("raw_id", F.concat(F.lit("again-"), "raw_id"))], registry)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    real = type(lake.raw).append
+
+    def dies(self, df, note=None):
+        if self.date == "received_date":
+            raise RuntimeError("planted")
+        return real(self, df, note)
+    monkeypatch.setattr(type(lake.raw), "append", dies)
+    with pytest.raises(RuntimeError):                      # readings are in, raw rows are not
+        S.publish(spark, out.cfg, lake)
+    monkeypatch.undo()
+    for _ in range(2):
+        assert S.publish(spark, out.cfg, lake) == 1
+        assert (lake.raw.read().count(), lake.readings.read().count()) == (12, 5)
+        assert lake.raw.note() == lake.readings.note() == {"through": 1}
+        # the invalid text and its copy have ids of their own: both wait
+        assert sorted(r["raw_id"] for r in lake.status.pending().collect()) == ["again-raw-5-0", "raw-5-0"]
+    assert len(lake.readings.parts()) == 1                 # one date, one part
