@@ -27,7 +27,8 @@ Cases: null or empty texts and texts without words have an empty set and link
 with nothing; fewer than ``k`` words give one shingle, the whole sequence; rows
 that repeat a doc_id are one document with the union of their links (each row
 is returned); a null doc_id is returned with its size, a null component and no
-links; extra columns are ignored.
+links; a text of any length gives all its shingles, in its task; extra columns
+are ignored.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ pass; only findings are shuffled.
 
 Cases: null and empty texts have no findings; templates without
 words match nothing; rows that repeat a doc_id add up to one finding for each
-license; a null doc_id is kept as such; extra columns are ignored.
+license; a null doc_id is kept as such; a text of any length is searched whole;
+extra columns are ignored.
 """
 
 from __future__ import annotations

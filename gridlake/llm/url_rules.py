@@ -17,7 +17,7 @@ support (a token set below it is not frequent), not by the number of pages.
 
 Cases: a null url or one without ``://`` has empty host and path and no tokens,
 so it is allowed; repeated rows are judged each; with no labelled urls no rule
-is mined; extra columns are ignored.
+is mined; a url of any length is judged whole; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ when a replica lost a record.
 To audit, the roots of two replicas are compared per file, and only the children of
 nodes that differ are looked at, level by level, down to the ids.
 
-All DataFrame code.  A null html counts as empty, a null url as none; rows
+All DataFrame code.  A null html counts as empty, a null url as none; line ends in
+a url are written as %0D and %0A, since a header line ends there; a record of any
+length is one record; rows
 without a page_id are in no archive; rows that repeat an id are records of one
 id; empty tables have no files, and against one every record is missing;
 extra columns are ignored.
@@ -35,7 +37,8 @@ def records(pages: DataFrame) -> DataFrame:
     body = F.coalesce("html", F.lit("")).cast("binary")
     head = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:"), F.col("page_id").cast("string"),
-        F.lit(">\r\nWARC-Target-URI: "), F.coalesce("url", F.lit("")),
+        F.lit(">\r\nWARC-Target-URI: "),
+        F.replace(F.replace(F.coalesce("url", F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A")),
         F.lit("\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length(body).cast("string"),
         F.lit("\r\n\r\n"))
     return (pages.where("page_id is not null")
@@ -161,7 +164,7 @@ sides AS (SELECT 'l' AS side, page_id, url, html FROM base
 recs AS (SELECT side, page_id,
                 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
                 || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
-                || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
+                || 'WARC-Target-URI: ' || replace(replace(url, chr(13), '%0D'), chr(10), '%0A') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
                 || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10)
                 || html || chr(13) || chr(10) || chr(13) || chr(10) AS rec
          FROM sides),
