@@ -19,9 +19,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..catalog import RAW_SCHEMA, READINGS_SCHEMA, REJECTS_COLUMNS
+from ..catalog import ERR_DUPLICATE, RAW_SCHEMA, READINGS_SCHEMA, REJECTS_COLUMNS
 from ..operators import lifecycle as L
 from ..operators import metrics as M
+from ..sources.files import Files
 from ..sources.status_log import StatusLog
 from ..sources.versions import VersionedTable
 from .normalize import as_readings, normalize
@@ -78,17 +79,39 @@ class Lake:
         return seen.get["landed"]
 
     def process(self, landed: int, registry: DataFrame, batch_id: int = 0, raw: DataFrame | None = None) -> None:
-        """Normalise landed rows and write results, readings, status entries and counters."""
+        """Normalise landed rows and write results, readings, status entries and counters.
+
+        Rows whose request id an earlier batch has settled are duplicates; only the
+        ids of earlier results are read for that.  (The stream keeps ids as state instead.)
+        Batch ids grow; a batch that is run again writes the same results and adds no reading twice.
+        """
         raw = self.raw.read() if raw is None else raw
-        run = normalize(raw.drop("received_date"), registry)
-        results, seen = M.observe_outcomes(run.results, "outcomes")
+        raw = raw.drop("received_date")
+        earlier = [n for n in Files(self.spark, self.root).names("results") if n.startswith("batch_id=")
+                   and int(n.split("=")[1]) < batch_id]
+        if earlier:
+            stored = self.spark.read.parquet(*[f"{self.root}/results/{n}" for n in earlier]).select("request_id").distinct()
+            raw = raw.join(stored.withColumn("_stored", F.lit(True)), "request_id", "left")
+            late = raw.where("_stored").select(
+                "raw_id", "request_id", "payload", "received_at", F.lit("duplicate").alias("outcome"),
+                F.lit(ERR_DUPLICATE).alias("error"), F.lit(False).alias("fault"))
+            found = normalize(raw.where("_stored is null").drop("_stored"), registry).results
+            found = found.unionByName(late, allowMissingColumns=True)
+        else:
+            found = normalize(raw, registry).results
+        results, seen = M.observe_outcomes(found, f"outcomes-{batch_id}")
         folder = f"{self.root}/results/batch_id={batch_id}"
         results.write.mode("overwrite").parquet(folder)
         results = self.spark.read.parquet(folder)
-        self.readings.append(as_readings(results.where("outcome = 'reading'")))
+        self._store(results, batch_id)
         self.status.append(L.status_entries(results))
         M.write_batch(self.spark, f"{self.root}/batches", batch_id, M.batch_row(landed, seen.get))
 
+    def _store(self, results: DataFrame, batch_id: int) -> None:
+        """Append a batch's readings, unless the table's version says that it has come to this batch."""
+        if self.readings.note().get("through", -1) < batch_id:
+            self.readings.append(as_readings(results.where("outcome = 'reading'")), {"through": batch_id})
+
     def retry(self, registry: DataFrame, batch_id: int) -> None:
         """Try pending rows again with the registry as it is now (R2); results are a batch of their own."""
         pending = self.status.pending()
@@ -99,7 +122,7 @@ class Lake:
         folder = f"{self.root}/results/batch_id={batch_id}"
         results.write.mode("overwrite").parquet(folder)
         results = self.spark.read.parquet(folder)
-        self.readings.append(as_readings(results.where("outcome = 'reading'")))
+        self._store(results, batch_id)
         self.status.append(results.select(
             "raw_id", F.col("outcome").isin("reading", "duplicate").alias("processed"), "error",
             (F.col("attempts") + 1).alias("attempts"), F.col("received_at").alias("at"),

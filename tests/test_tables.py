@@ -415,3 +415,19 @@ def test_published_batches_are_compacted_and_added_once(spark, registry, tmp_pat
         # the invalid text and its copy have ids of their own: both wait
         assert sorted(r["raw_id"] for r in lake.status.pending().collect()) == ["again-raw-5-0", "raw-5-0"]
     assert len(lake.readings.parts()) == 1                 # one date, one part
+
+
+def test_a_later_batch_knows_settled_ids(spark, registry, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    first = raw_frame(spark, [json.dumps(dict(GOOD, request_id=f"r{i}")) for i in range(4)])
+    again = raw_frame(spark, [json.dumps(dict(GOOD, request_id=r)) for r in ("r1", "n1", "n1", "r3")], "2025-11-19 00:00:00") \
+        .withColumn("raw_id", F.concat(F.lit("b-"), "raw_id"))
+    lake.process(lake.land(first), registry, 0)
+    n = lake.land(again)
+    for _ in range(2):                                     # the second time replaces the batch's results
+        lake.process(n, registry, 1, lake.raw.read(start=datetime(2025, 11, 19)))
+        got = {r["raw_id"]: r["outcome"] for r in lake.results().where("batch_id = 1").collect()}
+        assert lake.readings.read().count() == 5
+        assert got == {"b-raw-0-0": "duplicate", "b-raw-1-0": "reading", "b-raw-2-0": "duplicate", "b-raw-3-0": "duplicate"}
+    totals = M.ingest_stats(lake.batches()).first()
+    assert (totals["total_records"], totals["failed_count"], totals["buffer_size"]) == (5, 3, 0)
