@@ -184,7 +184,8 @@ def page_of(table, page_no: int, size: int) -> DataFrame:
 
     The manifest's rows by hour say which hours hold the page; if those hold many
     rows, only their time column is counted by minute and then by second.  The
-    range found is all that is read, sorted and skipped through.
+    range found is all that is read, sorted and skipped through.  Rows without a
+    time are on no page.
     """
     first = (max(int(page_no), 1) - 1) * size
     start, end, before, inside = _window(_slots(table), timedelta(hours=1), first, first + size)
@@ -227,6 +228,7 @@ def in_order(table, condition: Column, rows_per_range: int = LISTING_ROWS) -> Da
         return rows.coalesce(1).sortWithinPartitions(*newest_first(rows, table.time))
     cuts = F.array(*[F.lit(micros(b)).cast("bigint") for b in bounds])
     later = F.size(F.filter(cuts, lambda b: b > F.unix_micros(table.time)))      # 0: the newest range
+    later = F.when(F.col(table.time).isNull(), len(bounds)).otherwise(later)     # no time: last
     return (rows.repartitionById(len(bounds) + 1, later.cast("int"))
             .sortWithinPartitions(*newest_first(rows, table.time)))
 
