@@ -27,6 +27,7 @@ from ..functions.keys import count_present, has_key, key_set
 from ..functions.variant import as_object, string_if_string
 from ..sources.registry import CompiledMapping, active
 from ..functions.memo import memo
+from ..session import scratch_path
 from .common import project_once
 from .intake import vget
 
@@ -116,7 +117,7 @@ def rule_table(registry: DataFrame, as_of: bool = False) -> DataFrame:
 
 def detect_by_join(df: DataFrame, registry: DataFrame, *, v: str = "v",
                    default_source: str | None = None, use_signature: bool = True,
-                   out: str = "source_id", as_of: bool = False) -> DataFrame:
+                   out: str = "source_id", as_of: bool = False, payloads: DataFrame | None = None) -> DataFrame:
     """Same answer as :func:`detect`, as joins whose plan does not grow with the registry.
 
     With ``as_of`` rows and registry carry ``_epoch`` (see ``registry.in_force``), and
@@ -124,22 +125,29 @@ def detect_by_join(df: DataFrame, registry: DataFrame, *, v: str = "v",
 
     A signature depends on the payload's keys only, and there are few distinct
     key sets however many payloads: each distinct set is exploded, joined to the
-    rule table and scored once, and its source is joined back.
+    rule table and scored once, and its source is joined back.  The scored sets are
+    written first, so that the join back goes by their size: rows are not brought
+    together by key set, of which a few hold them all, unless there are very many.
+    ``payloads``: frame that holds all payloads of ``df`` and costs less to read;
+    scores of sets that ``df`` does not have are not looked up.
     """
     epoch = ["_epoch"] if as_of else []
     rules = rule_table(registry, as_of)
     ids = (registry if as_of else active(registry)).select(*epoch, "source_id")
     sid = string_if_string(vget(F.col(v), "source_id"))
     dtype = string_if_string(vget(F.col(v), "device_type"))
-    base = project_once(df, sid.alias("_sid"), dtype.alias("_dt"),
-                        F.array_sort(F.array_distinct(key_set(as_object(F.col(v))))).alias("_keys"))
-    base = (base.join(ids.select(*epoch, F.col("source_id").alias("_sid"), F.col("source_id").alias("_h1")),
-                      [*epoch, "_sid"], "left")
-                .join(ids.select(*epoch, F.col("source_id").alias("_dt"), F.col("source_id").alias("_h2")),
-                      [*epoch, "_dt"], "left"))
+    def hinted(rows):
+        rows = project_once(rows, sid.alias("_sid"), dtype.alias("_dt"),
+                            F.array_sort(F.array_distinct(key_set(as_object(F.col(v))))).alias("_keys"))
+        return (rows.join(ids.select(*epoch, F.col("source_id").alias("_sid"), F.col("source_id").alias("_h1")),
+                          [*epoch, "_sid"], "left")
+                    .join(ids.select(*epoch, F.col("source_id").alias("_dt"), F.col("source_id").alias("_h2")),
+                          [*epoch, "_dt"], "left"))
+    base = hinted(df)
     parts = [F.col("_h1"), F.col("_h2")]
     if use_signature:
-        sets = base.where("_h1 is null and _h2 is null and _keys is not null").select(*epoch, "_keys").distinct()
+        sets = (hinted(df if payloads is None else payloads)
+                .where("_h1 is null and _h2 is null and _keys is not null").select(*epoch, "_keys").distinct())
         hits = sets.select(*epoch, "_keys", F.explode("_keys").alias("key")).join(rules, [*epoch, "key"])
         scores = hits.groupBy(*epoch, "_keys", "source_id").agg(
             F.count("*").alias("score"), F.count_if("required").alias("req_hit"),
@@ -147,7 +155,9 @@ def detect_by_join(df: DataFrame, registry: DataFrame, *, v: str = "v",
         best = (scores.where("req_hit = n_required and score >= threshold and score > 0")
                 .groupBy(*epoch, "_keys").agg(F.min(F.struct((-F.col("score")).alias("low"), "source_id"))
                                       .getField("source_id").alias("_sig")))
-        base = base.join(best, [*epoch, "_keys"], "left")
+        path = scratch_path(df.sparkSession, "key-sets")
+        best.write.parquet(path)
+        base = base.join(df.sparkSession.read.schema(best.schema).parquet(path), [*epoch, "_keys"], "left")
         parts.append(F.col("_sig"))
     if default_source is not None and ids.where(F.col("source_id") == default_source).take(1):
         parts.append(F.lit(default_source))

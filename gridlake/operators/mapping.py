@@ -26,6 +26,7 @@ from ..functions.transform import apply_transform
 from ..functions.variant import number_value, to_bool, to_string
 from ..sources.registry import CompiledMapping, Rule
 from ..functions.memo import memo
+from .common import project_once
 from .intake import vget
 
 NATIVE = {"string": "string", "int": "double", "float": "double", "bool": "boolean"}
@@ -271,7 +272,10 @@ _OPS = ("multiply", "divide", "add", "subtract")
 
 
 def rule_arrays(registry: DataFrame, as_of: bool = False) -> DataFrame:
-    """Active registry -> ``[_epoch,] _rule_source, _nested_path, _rules`` (one row per source)."""
+    """Active registry -> ``[_epoch,] _rule_source, _nested_path, _rules, _at`` (one row per source).
+
+    ``_at`` holds for each canonical column the places of its rules in ``_rules``.
+    """
     from ..catalog import STANDARD_ALIASES
     from ..functions.variant import number_value as _num
     from ..sources.registry import active
@@ -302,10 +306,14 @@ def rule_arrays(registry: DataFrame, as_of: bool = False) -> DataFrame:
             F.when(dflt.isNotNull(), to_bool(dflt)).alias("def_b"),
             F.coalesce(r["required"], F.lit(False)).alias("required"))
 
-    return (registry if as_of else active(registry)).select(
+    def places(name):
+        return F.array_compact(F.transform("_rules", lambda r, i: F.when(r["target"] == name, i)))
+
+    rows = project_once((registry if as_of else active(registry)).select(
         *(["_epoch"] if as_of else []), F.col("source_id").alias("_rule_source"),
-        F.coalesce("nested_path", F.lit("")).alias("_nested_path"),
+        F.coalesce("nested_path", F.lit("")).alias("_nested_path"), "mappings"),
         F.transform("mappings", rule).alias("_rules"))
+    return rows.drop("mappings").withColumn("_at", F.struct(*[places(c).alias(c) for c in DETAIL_COLUMNS]))
 
 
 def _apply_op(x: Column, op: Column, k: Column) -> Column:
@@ -318,9 +326,9 @@ def map_by_rules(df: DataFrame, registry: DataFrame, *, v: str = "v", source: st
     """Same output as :func:`map_canonical`, with the rules joined in as data.
 
     Spark picks the join by the rules' size in bytes.  With ``as_of`` the rules are those
-    of the row's ``_epoch``.
+    of the row's ``_epoch``.  Each rule's value is looked up and converted once a row, and
+    a column looks only at its own rules.
     """
-    from .common import project_once
     rules = rule_arrays(registry, as_of)
     on = F.col(source) == F.col("_rule_source")
     if as_of:
@@ -333,25 +341,31 @@ def map_by_rules(df: DataFrame, registry: DataFrame, *, v: str = "v", source: st
                                          as_object_col(F.col("_root")[F.col("_nested_path")]))
                           .alias("_nest"))
 
-    def value(r):
-        raw = F.coalesce(F.col("_nest")[r["field"]], F.col("_root")[r["field"]])
-        missing = raw.isNull()
+    staged = project_once(staged, F.transform(
+        "_rules", lambda r: F.coalesce(F.col("_nest")[r["field"]], F.col("_root")[r["field"]])).alias("_raws"))
+
+    def value(r, raw):
+        missing, ntype = raw.isNull(), r["ntype"]
         num = _apply_op(F.coalesce(number_value(raw), F.lit(0.0)), r["op"], r["k"])
         if int_mode == "truncate":
             num = F.when(r["dtype"] == "int", num.try_cast("bigint").cast("double")).otherwise(num)
         return F.struct(
-            r["field"].alias("field"), r["target"].alias("target"), r["ntype"].alias("ntype"),
+            r["field"].alias("field"), ntype.alias("ntype"),
             (~missing | r["has_default"]).alias("present"),
             (missing & ~r["has_default"] & r["required"]).alias("fails"),
-            F.when(missing, F.when(r["has_default"], r["def_d"])).otherwise(num).alias("d"),
-            F.when(missing, r["def_s"]).otherwise(to_string(raw)).alias("s"),
-            F.when(missing, r["def_b"]).otherwise(to_bool(raw)).alias("b"))
+            F.when(ntype == "double", F.when(missing, F.when(r["has_default"], r["def_d"])).otherwise(num)).alias("d"),
+            F.when(ntype == "string", F.when(missing, r["def_s"]).otherwise(to_string(raw))).alias("s"),
+            F.when(ntype == "boolean", F.when(missing, r["def_b"]).otherwise(to_bool(raw))).alias("b"))
+
+    def last_present(name):
+        own = F.transform(F.col("_at")[name], lambda i: F.get("_vals", i))
+        return F.try_element_at(F.filter(own, lambda x: x["present"]), F.lit(-1))
 
-    staged = project_once(staged, F.transform("_rules", value).alias("_vals"))
+    staged = project_once(staged, F.zip_with("_rules", "_raws", value).alias("_vals"))
+    staged = project_once(staged, *[last_present(c).alias(f"_last_{c}") for c in DETAIL_COLUMNS])
     out = []
     for name in DETAIL_COLUMNS:
-        e = F.try_element_at(F.filter("_vals", lambda x: (x["target"] == name) & x["present"]), F.lit(-1))
-        want = canonical_type(name)
+        e, want = F.col(f"_last_{name}"), canonical_type(name)
         if want == "double":
             val = F.when(e["ntype"] == "double", e["d"]).when(e["ntype"] == "string", e["s"].try_cast("double"))
         elif want == "bigint":

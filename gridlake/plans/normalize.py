@@ -79,7 +79,7 @@ class Normalized:
     def _detect(self, rows: DataFrame) -> DataFrame:
         if self.plan == "rules":
             return detect_by_join(rows, self.registry, default_source=self.default_source,
-                                  use_signature=self.use_signature, as_of=self.as_of)
+                                  use_signature=self.use_signature, as_of=self.as_of, payloads=self.parsed)
         return detect(rows, self.mappings, default_source=self.default_source,
                       use_signature=self.use_signature)
 
@@ -176,11 +176,11 @@ class Normalized:
             self.results.unpersist()
 
 
-def as_readings(mapped: DataFrame) -> DataFrame:
-    """Reading columns of mapped rows, missing values filled with 0 / ""."""
+def as_readings(mapped: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Reading columns of mapped rows, missing values filled with 0 / "", and the ``keep`` columns."""
     cols = [F.col(c) for c in READING_COLUMNS[:7]]
     cols += [fill_canonical(c, F.col(c)).alias(c) for c in DETAIL_COLUMNS]
-    return mapped.select(*cols)
+    return mapped.select(*cols, *keep)
 
 
 def normalize(raw: DataFrame, registry: DataFrame | None = None, *,
