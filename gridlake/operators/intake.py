@@ -97,9 +97,9 @@ def flag_first(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """All ``rows`` with ``is_first``: whether the row is the first of its request id.
 
     One decision for winners and losers alike.  Rows are only looked up in the
-    contested ids, so payloads are not shuffled when those fit a broadcast, and
-    otherwise by a join that the runtime plan splits for a hot id.
+    contested ids: a hash join over those, which the runtime plan splits for a hot
+    id, so that rows with their payloads are never sorted (and do not spill).
     """
-    return (rows.join(contested(keys), "request_id", "left")
+    return (rows.join(contested(keys).hint("shuffle_hash"), "request_id", "left")
             .withColumn("is_first", F.col("_winner").isNull() | (F.col("_winner") == F.col("raw_id")))
             .drop("_winner"))

@@ -80,10 +80,10 @@ def outcome_status(outcomes: DataFrame, attempt: int = 1, seq: int = 1,
         F.lit(seq).cast("bigint").alias("seq"))
 
 
-def status_entries(results: DataFrame) -> DataFrame:
+def status_entries(results: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Both entries of freshly landed and processed rows, landing and outcome, from one pass over ``results``.
 
-    They carry ``received_at``, as the stored log does.
+    They carry ``received_at``, as the stored log does, and the ``keep`` columns.
     """
     settled = F.col("outcome").isin("reading", "duplicate")
     entry = "processed", "error", "attempts", "at", "seq"
@@ -91,7 +91,8 @@ def status_entries(results: DataFrame) -> DataFrame:
     both = F.array(*[F.struct(*[c.alias(n) for n, c in zip(entry, values)]) for values in (
         (F.lit(False), none, F.lit(0), F.col("received_at"), F.lit(0).cast("bigint")),
         (settled, F.col("error"), F.lit(1), F.col("received_at"), F.lit(1).cast("bigint")))])
-    return results.select("raw_id", "received_at", F.inline(both)).select("raw_id", *entry, "received_at")
+    return (results.select("raw_id", "received_at", *keep, F.inline(both))
+            .select("raw_id", *entry, "received_at", *keep))
 
 
 def mark(raw_ids: DataFrame, raw: DataFrame, processed: bool, error: str | None,
@@ -101,17 +102,23 @@ def mark(raw_ids: DataFrame, raw: DataFrame, processed: bool, error: str | None,
     Returns ``(entries, unknown)``.  Any landed id is valid, whatever its shape;
     ids that were never landed come back in ``unknown`` (``raw_id, error``), so
     nothing is lost silently.  With the current ``status`` the entries follow it
-    in ``seq`` and keep counting attempts; a reset starts counting anew.
+    in ``seq`` and keep counting attempts; a reset starts counting anew.  A status
+    that stands for the landed rows too (``raw is status``) is looked up once for both.
     """
     ids = raw_ids.select("raw_id").distinct()
-    landed = raw.select("raw_id").distinct()
-    unknown = (ids.join(landed, "raw_id", "left_anti")
-               .select("raw_id", F.lit(ERR_UNKNOWN_RAW_ID).alias("error")))
-    known = ids.join(landed, "raw_id", "left_semi")
     reset = not processed and error is None
+    if status is not None and raw is status:
+        asked = ids.join(status.select("raw_id", F.col("attempts").alias("_n"), F.col("seq").alias("_s"),
+                                       F.lit(True).alias("_landed")), "raw_id", "left")
+        unknown, known = asked.where("_landed is null"), asked.where("_landed")
+    else:
+        landed = raw.select("raw_id").distinct()
+        unknown, known = ids.join(landed, "raw_id", "left_anti"), ids.join(landed, "raw_id", "left_semi")
+    unknown = unknown.select("raw_id", F.lit(ERR_UNKNOWN_RAW_ID).alias("error"))
     if status is not None:
-        known = known.join(status.select("raw_id", F.col("attempts").alias("_n"), F.col("seq").alias("_s")),
-                           "raw_id", "left")
+        if raw is not status:
+            known = known.join(status.select("raw_id", F.col("attempts").alias("_n"), F.col("seq").alias("_s")),
+                               "raw_id", "left")
         attempts = F.lit(0) if reset else F.coalesce("_n", F.lit(0)) + 1
         seq = F.coalesce("_s", F.lit(0)) + 1
     else:
