@@ -91,6 +91,15 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest(spark, sf_dir).readings
 
 
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """The input's path and the times of its files' last changes."""
+    source = f"{sf_dir.rstrip('/')}/events.parquet"
+    files = Files(spark, source)
+    names = files.names("")
+    return source, tuple((n, files.modified(n if len(names) > 1 or n != source.rsplit("/", 1)[1] else ""))
+                         for n in sorted(names))
+
+
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
     """The stored tables of one ingest of the input, written once per application and state of its files.
 
@@ -98,17 +107,13 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
     over stored tables then read those, as they would on a running service.
     """
     prepare(spark)
-    source = f"{sf_dir.rstrip('/')}/events.parquet"
-    files = Files(spark, source)
-    names = files.names("")
-    state = tuple((n, files.modified(n if len(names) > 1 or n != source.rsplit("/", 1)[1] else "")) for n in sorted(names))
 
     def build():
         made = Lake(spark, scratch_path(spark, "lake"))
         landed = made.land(payloads(spark, sf_dir))
         made.process(landed, registry(spark))
         return made.root
-    return Lake(spark, memo(("lake", source, state), build))
+    return Lake(spark, memo(("lake", *input_state(spark, sf_dir)), build))
 
 
 def stored_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -529,7 +534,8 @@ def _drained(spark, sf):
         later = rows.where("copy = 1").withColumn("received_at", F.col("received_at") + F.make_dt_interval(days=F.lit(1)))
         out = drain(spark, [first, later], registry(spark))
         return out.cfg.sink, out.cfg.checkpoint
-    sink, checkpoint = memo(("drained", sf, lake(spark, sf).root), run)
+    prepare(spark)
+    sink, checkpoint = memo(("drained", *input_state(spark, sf)), run)
     return Drained(spark, StreamConfig(sink=sink, checkpoint=checkpoint))
 
 
