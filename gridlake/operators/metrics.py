@@ -18,15 +18,24 @@ COUNTERS = ("landed", "readings", "faults", "rejects", "duplicates", "errors", "
 SCHEMA = ", ".join(f"{c} bigint" for c in COUNTERS) + ", flushed_at timestamp, batch_id bigint, flush bigint"
 
 
+def _outcome_counts() -> list:
+    reading, duplicate = F.col("outcome") == "reading", F.col("outcome") == "duplicate"
+    return [F.count_if(reading).alias("readings"), F.count_if(reading & F.col("fault")).alias("faults"),
+            F.count_if(F.col("outcome") == "reject").alias("rejects"), F.count_if(duplicate).alias("duplicates"),
+            F.count_if(F.col("error").isNotNull() & (F.col("error") != "")).alias("errors")]
+
+
+def count_outcomes(outcomes: DataFrame, by: str) -> DataFrame:
+    """The rows of counters of landed ``outcomes`` (outcome, error, fault), one for each value of ``by``."""
+    counts = outcomes.groupBy(by).agg(F.count("*").alias("landed"), *_outcome_counts())
+    return (counts.withColumn("processed", F.col("readings") + F.col("duplicates"))
+            .select(by, *COUNTERS, F.current_timestamp().alias("flushed_at")))
+
+
 def observe_outcomes(outcomes: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """``outcomes`` (outcome, error, fault) with its counters observed by whoever writes it."""
     seen = Observation(name)
-    reading, duplicate = F.col("outcome") == "reading", F.col("outcome") == "duplicate"
-    return outcomes.observe(
-        seen, F.count("*").alias("settled"), F.count_if(reading).alias("readings"),
-        F.count_if(reading & F.col("fault")).alias("faults"),
-        F.count_if(F.col("outcome") == "reject").alias("rejects"), F.count_if(duplicate).alias("duplicates"),
-        F.count_if(F.col("error").isNotNull() & (F.col("error") != "")).alias("errors")), seen
+    return outcomes.observe(seen, F.count("*").alias("settled"), *_outcome_counts()), seen
 
 
 def observe_landing(raw: DataFrame, name: str) -> tuple[DataFrame, Observation]:

@@ -56,5 +56,15 @@ class Files:
             return False
         return True
 
+    def move(self, name: str, to: str) -> None:
+        """Give a file or folder another name, in place of whatever has that; nothing if there is no such file."""
+        source, target = self.path(name), self.path(to)
+        if not self._fs.exists(source):
+            return
+        if not self._fs.delete(target, True):
+            self._fs.mkdirs(target.getParent())
+        if not self._fs.rename(source, target):
+            raise OSError(f"{source.toString()} cannot be moved to {target.toString()}")
+
     def delete(self, name: str) -> None:
         self._fs.delete(self.path(name), True)

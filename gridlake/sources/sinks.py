@@ -19,20 +19,25 @@ TAG_COLUMNS = ["device_type", "device_name", "device_id"]
 
 
 def write_readings(readings: DataFrame, path: str, mode: str = "append",
-                   max_records_per_file: int = 5_000_000) -> None:
+                   max_records_per_file: int = 5_000_000, within: str | None = None) -> None:
     """Write readings partitioned by event date, clustered by device and time.
 
     A rebalance brings the rows of a date together before the write; the runtime
     plan splits a busy date over several tasks and merges quiet ones, by bytes,
     so files follow bytes and not tasks times dates.  Row groups carry min/max
     statistics (sorted device and time) and a bloom filter on ``device_id``, so
-    device lookups skip row groups without the device.
+    device lookups skip row groups without the device.  ``within``: column of folders
+    above the date's, by which rows have been brought together.
     """
-    (readings.withColumn("ts_date", F.to_date("ts")).hint("rebalance", F.col("ts_date"))
-     .sortWithinPartitions("ts_date", "device_id", "ts")
+    rows, folders = readings.withColumn("ts_date", F.to_date("ts")), ["ts_date"]
+    if within is None:
+        rows = rows.hint("rebalance", F.col("ts_date"))
+    else:
+        folders = [within, *folders]
+    (rows.sortWithinPartitions(*folders, "device_id", "ts")
      .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .option("parquet.bloom.filter.enabled#device_id", "true")
-     .partitionBy("ts_date").parquet(path))
+     .partitionBy(*folders).parquet(path))
 
 
 def read_readings(spark, path: str) -> DataFrame:
