@@ -211,8 +211,8 @@ def join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, sample: int
     member = usable.join(classes.where("rep < last"), "digest").where("doc_id <> rep").select("doc_id", "rep")
 
     # documents that can have a partner with another set, one of each class
-    counts = (shared_keys(plain.where("doc_id is not null"), sampled(k, sample), with_keys=False)
-              .groupBy("doc_id").agg(F.sum("n").alias("n_shared")))
+    counts = stored(shared_keys(plain.where("doc_id is not null"), sampled(k, sample), with_keys=False)
+                    .groupBy("doc_id").agg(F.sum("n").alias("n_shared")), "jaccard-counts")
     per_doc = (usable.join(counts, "doc_id", "left")
                .where(f"coalesce(n_shared, 0) * {den} >= n_sampled * {den} - n_shingles * {den - num}"))
     able = (per_doc.join(classes, "digest").where("doc_id = rep")
