@@ -17,15 +17,16 @@ from ..session import scratch_path
 PLACE_BITS = 33          # monotonically_increasing_id: partition above, place in the partition below
 
 
-def numbered(rows: DataFrame, *order: str, ranges: int | None = None) -> DataFrame:
+def numbered(rows: DataFrame, *order: str, ranges: int | None = None, path: str | None = None) -> DataFrame:
     """``rows`` with ``number``, the 0-based position in ``order`` (which must tell rows apart).
 
     The ranges come from a sample that differs from run to run, so rows are written
-    with their places and both passes read those; give slim rows.
+    with their places (to ``path``, which the caller may delete later, or a folder of
+    their own) and both passes read those; give slim rows.
     """
     spark = rows.sparkSession
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_path(spark, "numbered")
+    path = path or scratch_path(spark, "numbered")
     (rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
      .withColumn("_place", F.monotonically_increasing_id()).write.parquet(path))
     placed = spark.read.parquet(path)
@@ -38,9 +39,9 @@ def numbered(rows: DataFrame, *order: str, ranges: int | None = None) -> DataFra
             .drop("_range", "_offset", "_place"))
 
 
-def cut(rows: DataFrame, size: int, *order: str, ranges: int | None = None) -> DataFrame:
+def cut(rows: DataFrame, size: int, *order: str, ranges: int | None = None, path: str | None = None) -> DataFrame:
     """``rows`` with ``flush``: rows 0 to size - 1 of the order are flush 0, and so on; the last may be smaller."""
     if size < 1:
         raise ValueError("a flush has at least one record")
-    return (numbered(rows, *order, ranges=ranges)
+    return (numbered(rows, *order, ranges=ranges, path=path)
             .withColumn("flush", F.floor(F.col("number") / size).cast("bigint")).drop("number"))
